@@ -55,16 +55,18 @@ def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min
     )
 
 
-def annotate(pages: DataFrame, row: Callable[[list[str], list[bool]], tuple], schema: T.StructType, key: str, host: str, text: str) -> DataFrame:
-    """For each page, the key as ``page_id`` and what ``row(lines, flags)`` makes of its lines and furniture flags.
+def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType, key: str, host: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """For each page, the key as ``page_id`` and what ``row(lines, flags, *extra)`` makes of its lines, furniture flags and extra columns.
 
-    Null texts give ``row([], [])``. ``row`` runs in Python workers on Arrow batches.
+    Null texts give ``row([], [], ...)``. ``row`` runs in Python workers on Arrow batches.
     """
-    base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"))
+    more = [f"extra_{i}" for i in range(len(extra))]
+    base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"), *[F.col(x).alias(y) for x, y in zip(extra, more)])
     templates = as_table(site_templates(base, "tpl_host", "text"), "templates", 1)
     ready = base.join(templates, "tpl_host", "left").select(
         "page_id",
         "text",
+        *more,
         F.when(F.col("templates").isNotNull(), F.transform(line_hashes(F.col("text")), lambda h: F.array_contains(F.col("templates"), h))).alias("recurring"),
     )
     names = schema.fieldNames()
@@ -73,9 +75,10 @@ def annotate(pages: DataFrame, row: Callable[[list[str], list[bool]], tuple], sc
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = []
-            for value, recurring in zip(batch["text"], batch["recurring"]):
+            for value, recurring, *rest in zip(batch["text"], batch["recurring"], *[batch[x] for x in more]):
                 lines = [] if value is None else value.split("\n")
-                made.append(row(lines, furniture_flags(lines, list(recurring) if recurring is not None and len(recurring) == len(lines) else None)))
+                flags = furniture_flags(lines, list(recurring) if recurring is not None and len(recurring) == len(lines) else None)
+                made.append(row(lines, flags, *rest))
             result = pd.DataFrame(made, columns=names, dtype=object)
             result.insert(0, "page_id", batch["page_id"].to_numpy())
             yield result

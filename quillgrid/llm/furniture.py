@@ -193,6 +193,14 @@ def hits(text: str, starts: list[int]) -> dict[int, int]:
     return found
 
 
+def has_message(lines: list[str]) -> bool:
+    """Is one of the lines a message, filler or unrendered value that stands in place of a story?"""
+    lines = [squeeze(x) for x in lines]
+    lows = [x.lower() for x in lines]
+    held = hits("\n".join(lows), [0, *accumulate(len(x) + 1 for x in lows)][:-1])
+    return any(x and (len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) for i, x in enumerate(lines))
+
+
 def furniture_flags(lines: list[str], recurring: list[bool] | None = None) -> list[bool]:
     """For each line of a page, whether it is furniture. Blank lines are never furniture.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import boilerplate, near_duplicates, repeated_lines
+from quillgrid.llm import boilerplate, names, near_duplicates, repeated_lines, template_residue
 from quillgrid.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.excess_lines(articles, newest)
 
 
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.same_entity_pairs(table(spark, d, "entities"), table(spark, d, "name_forms"))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return template_residue.residue_fields(table(spark, d, "articles"))
+
+
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.furniture_lines(table(spark, d, "articles"))

@@ -28,7 +28,7 @@ PLACEHOLDER = re.compile(
     r"|\[object [A-Z]\w+\]"
     r"|\bXX+ [^\n]{0,60}\bto come XX+\b|\bTK\b[^\n]{1,60}\bTK\b|\bTKTK\b|\bXXX+\b"
     r"|(?:^|(?<=[\s(:]))(?:TODO|FIXME)(?:[:\s]+(?:fill|add|insert|write|check|replace|update)\b)"
-    r"|\$[A-Z][A-Z_]{3,40}\$|@@[A-Z_]{2,40}@@|\{[A-Z][A-Z0-9_]{2,40}\}"
+    r"|@@[A-Z_]{2,40}@@|\{[A-Z][A-Z0-9_]{2,40}\}"
     r"|&lt;%|\bMISSING_[A-Z_]+\b|\[\?\?\?\]"
 )
 #: A field or line made of nothing but values that were never rendered.
@@ -44,7 +44,8 @@ _MESSAGES = [
     r".{0,80}\bjava ?script (?:is|seems to be|appears to be|must be) (?:disabled|required|needed|turned off|switched off|not (?:enabled|available)|off|blocked|enabled)\b.{0,160}",
     r".{0,80}\b(?:requires?|needs?|works? (?:only|best) with|does not work without|cannot (?:be shown|load) without) java ?script\b.{0,40}",
     r".{0,60}\bjava ?script (?:aktivieren|einschalten|zu aktivieren|activado|activer|requis|erforderlich|necesario|nécessaire)\b.{0,100}",
-    r"(?:bitte |veuillez |por favor,? )?(?:aktivieren sie|activez|activer|active|habilite|habilitar|activar) (?:bitte )?java ?script\b.{0,160}",
+    r"(?:bitte |veuillez |por favor,? )?(?:aktivieren sie|activez|activer|active|habilite|habilitar|activar) (?:bitte )?(?:java ?script|(?:les |los |die )?scripts?)\b.{0,160}",
+    r"(?:please )?(?:enable|turn on|activate|allow) (?:the )?scripts?\b.{0,160}|.{0,60}\bscripts? (?:are|is|must be) (?:required|needed|disabled|blocked|switched off|turned off)\b.{0,100}",
     # status lines
     r"(?:error|fehler|erreur|http(?:/\d(?:\.\d)?)?(?: error| status)?|status(?: code)?)[ :]*[45]\d\d\b.{0,120}",
     r"[45]\d\d(?:\s*[-–:|.]\s*|\s+)(?:bad gateway|not found|forbidden|unauthorized|bad request|internal server error|server error|service (?:temporarily )?unavailable|gateway time-?out|too many requests|gone|error|page not found|access denied|moved|request time-?out|payment required|method not allowed|temporarily unavailable)\b.{0,120}",
@@ -80,18 +81,18 @@ _MESSAGES = [
 MESSAGE = re.compile("^(?:" + "|".join(f"(?:{x})" for x in _MESSAGES) + ")$", re.I | re.S)
 #: A line that is no short one can only be a message if it holds one of these (in lower case).
 MESSAGE_KEYS = (
-    "javascript", "java script", "error", "exception", "denied", "blocked", "forbidden", "not found", "be found", "unavailable", "too many", "human", "robot", "browser", "moment",
+    "javascript", "java script", "script", "error", "exception", "denied", "blocked", "forbidden", "not found", "be found", "unavailable", "too many", "human", "robot", "browser", "moment",
     "maintenance", "<!doctype", "<html", "<title", "<noscript", "<body", "captcha", "please wait", "loading", "timed out", "refused", "ip logged", "was logged", "ray id", "reference",
     "no longer", "not exist", "t exist", "removed", "moved", "try again", "wrong", "oops", "sorry", "placeholder", "goes here", "permission", "gateway", "traffic", "rate limit",
     "cookies", "incident", "expired", "redirect", "unable", "could not", "couldn", "can't find", "nicht gefunden", "introuvable", "no encontrada", "checking", "verif",
-    "security", "offline", "reload", "undefined", "null", "nan", " here", "lorem", "ipsum", "ornare", "aliqua", "the requested", "from ",
+    "security", "offline", "reload", "undefined", "null", "nan", " here", "lorem", "ipsum", "ornare", "aliqua", "tempori", "egestor", "deseri", "ploret", "dolor", "consect", "miratus", "undique", "vernat", "quister", "amentis", "excer", "the requested", "from ",
 )
 
 #: Words that only filler has; two of them in a short line, or a fifth of a longer one, make filler.
 _LATIN = re.compile(
     r"\b(?:lorem|ipsum|dolor|amet|consectetur|adipiscing|elit|eiusmod|tempor|incididunt|labore|aliqua|minim|veniam|nostrud|exercitation|ullamco|laboris|nisi|aliquip|commodo"
     r"|consequat|duis|aute|irure|reprehenderit|voluptate|velit|cillum|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|proident|culpa|officia|deserunt|mollit|laborum"
-    r"|praesent|vestibulum|curabitur|pellentesque|maecenas|suspendisse|phasellus|donec|etiam|vivamus|aenean|quisque|morbi|ornare|lectus|lacus|augue|sapien|turpis|ligula|mauris)\b",
+    r"|praesent|vestibulum|curabitur|pellentesque|maecenas|suspendisse|phasellus|donec|etiam|vivamus|aenean|quisque|morbi|tempori|vernat|nontra|egestor|cupidam|amentis|excer|deseri|ploret|belit|fugor|quister|tinci|ullat|vitum|lacum|praes|miratus|undique|voluptam|dolo|ornare|lectus|lacus|augue|sapien|turpis|ligula|mauris)\b",
     re.I,
 )
 _ENGLISH = re.compile(r"\b(?:the|of|and|to|in|for|is|was|with|that|by|der|die|das|und|le|la|les|des|el|los|en|de|une?|von|im|zu|que|del)\b", re.I)
@@ -127,5 +128,9 @@ def is_message(line: str) -> bool:
     return known
 
 
+#: Without one of these no placeholder can be there.
+_SIGNS = ("{", "<%", "%%", "[[", "[I", "[Y", "[A", "[E", "[P", "[T", "[F", "[o", "[?", "__", "XX", "TK", "TODO", "FIXME", "@@", " here>", "&lt;%", "MISSING_")
+
+
 def has_placeholder(text: str) -> bool:
-    return bool(PLACEHOLDER.search(text))
+    return any(x in text for x in _SIGNS) and bool(PLACEHOLDER.search(text))
