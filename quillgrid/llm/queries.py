@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import boilerplate, names, near_duplicates, repeated_lines, template_residue
+from quillgrid.llm import boilerplate, mixture, names, near_duplicates, repeated_lines, shared_spans, template_residue, tokenize
 from quillgrid.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,33 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.furniture_lines(table(spark, d, "articles"))
+
+
+@query
+def p6_body(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.main_content(table(spark, d, "articles")).select(F.col("page_id").alias("article_id"), "body")
+
+
+@query
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenize.corpus_ids(table(spark, d, "documents"))
+
+
+@query
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mixture(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[0]
+
+
+@query
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mixture(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[1]
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.span_pairs(table(spark, d, "documents"))
+
+
+@query
+def p9_shared(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.shared_amounts(table(spark, d, "documents"))
