@@ -31,11 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _local[app]
 
 
-def as_table(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+def as_table(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgrid/{name}-{uuid.uuid4().hex}"
-    (df.coalesce(partitions) if partitions else df).write.option("compression", "lz4").parquet(path)
+    df.write.option("compression", "lz4").parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
