@@ -62,7 +62,7 @@ def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType,
     """
     more = [f"extra_{i}" for i in range(len(extra))]
     base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"), *[F.col(x).alias(y) for x, y in zip(extra, more)])
-    templates = as_table(site_templates(base, "tpl_host", "text"), "templates", 1)
+    templates = as_table(site_templates(base, "tpl_host", "text"), "templates")
     ready = base.join(templates, "tpl_host", "left").select(
         "page_id",
         "text",

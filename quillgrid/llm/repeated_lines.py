@@ -91,5 +91,5 @@ def excess_lines(documents: DataFrame, newest: Column, key: str = "id", source:
     Each row is a document. Lines of null texts or null sources are no case.
     """
     both = _documents(documents, key, source, text, min_chars, newest)
-    over = as_table(_merged(_tally(both), threshold).where(F.col("n") >= threshold).select(*_KEYS), "repeated", 4)
+    over = as_table(_merged(_tally(both), threshold).where(F.col("n") >= threshold).select(*_KEYS), "repeated")
     return postings(both, over).select(F.col("document").alias("article_id"), "line_no")

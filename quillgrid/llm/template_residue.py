@@ -83,7 +83,7 @@ def residue_fields(articles: DataFrame, key: str = "id", host: str = "source_id"
     """(article_id, field_name): the fields to exclude. Null, empty and blank fields, and pages of nothing but furniture, are no case."""
     schema = T.StructType([T.StructField("detected", T.BooleanType()), T.StructField("words", T.ArrayType(T.StringType()))])
     judged = annotate(articles, _judge, schema, key, host, text, (title, url))
-    judged = as_table(judged.where("detected or words is not null"), "judged", 4)
+    judged = as_table(judged.where("detected or words is not null"), "judged")
     low = judged.where("words is not null").join(articles.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("host")), "page_id")
     each = low.select("page_id", "host", F.explode("words").alias("word"))
     common = each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON).select("word")
