@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from quillgrid.operators import timestamps
+from quillgrid.plans import content, dashboard, knowledge, pipeline, urls  # noqa: F401 - they register their queries
+from quillgrid.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from quillgrid.runtime import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
-
 
-@query
+@query()
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.table_instants(table(spark, d, "articles"), table(spark, d, "source_category_targets"), table(spark, d, "source_locale"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return next(iter(QUERIES.values()))(spark, sf_dir)
+    return urls.rank_candidates_final(spark, sf_dir)
