@@ -106,7 +106,7 @@ def processing_branch(failed: Column, lane: Column, stored_hash: Column, new_has
 
 def budget_mode(remaining: Column, total: Column, burn_per_day: Column, days_left: Column) -> Column:
     """'normal' above 30 % projected rest, 'conserve' above 10 %, else 'critical'."""
-    rest = (remaining - burn_per_day * days_left) / total
+    rest = F.try_divide(remaining - burn_per_day * days_left, total)
     return F.when(rest > 0.3, "normal").when(rest > 0.1, "conserve").otherwise("critical")
 
 

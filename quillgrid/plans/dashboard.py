@@ -71,11 +71,11 @@ def score_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"with w as (select * from crawl_runs where epoch_us(started_at) >= {NOW_MICROS} - 90 * {_DAY_US}), l as (select article_count from crawl_runs order by started_at desc, id limit 7)"
-    " select round(100.0 * count(*) filter (where status = 'success') / count(*), 4) as success_rate, sum(error_count)::bigint as errors, (select round(avg(article_count), 4) from l) as avg_articles from w"
+    " select round(100.0 * count(*) filter (where status = 'success') / nullif(count(*), 0), 4) as success_rate, sum(error_count)::bigint as errors, (select round(avg(article_count), 4) from l) as avg_articles from w"
 )
 def run_health(spark: SparkSession, d: str) -> DataFrame:
     runs = table(spark, d, "crawl_runs")
-    recent = runs.where(F.unix_micros("started_at") >= NOW_MICROS - 90 * _DAY_US).agg(F.round(100.0 * F.count_if(F.col("status") == "success") / F.count(F.lit(1)), 4).alias("success_rate"), F.sum("error_count").alias("errors"))
+    recent = runs.where(F.unix_micros("started_at") >= NOW_MICROS - 90 * _DAY_US).agg(F.round(F.try_divide(100.0 * F.count_if(F.col("status") == "success"), F.count(F.lit(1))), 4).alias("success_rate"), F.sum("error_count").alias("errors"))
     last = runs.orderBy(F.desc("started_at"), "id").limit(7).agg(F.round(F.avg("article_count"), 4).alias("avg_articles"))
     return recent.crossJoin(last)
 
@@ -155,7 +155,7 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
 def budget(spark: SparkSession, d: str) -> DataFrame:
     u = table(spark, d, "articles").agg(F.count(F.lit(1)).alias("used"), F.count_distinct(_day("created_at")).alias("days"))
     total = F.col("used") * 2.0
-    return u.select("used", "days", budget_mode(total - F.col("used"), total, F.col("used") / F.col("days"), F.lit(10)).alias("mode"))
+    return u.select("used", "days", budget_mode(total - F.col("used"), total, F.try_divide(F.col("used"), F.col("days")), F.lit(10)).alias("mode"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.schemas import TABLES
+from quillgrid.schemas import schema_of
 
 # The rules of known sources; a source without one has an empty rule.
 SOURCE_RULES = {
@@ -36,7 +36,7 @@ REFRESH_POLICY = {"preprint": (True, 30, 168, "high"), "journal": (True, 30, 720
 
 def rules_table(spark: SparkSession, rules: dict[str, dict] = SOURCE_RULES) -> DataFrame:
     """The rules as a table; lists that a rule lacks are empty, flags false."""
-    schema = TABLES["source_rules"]
+    schema = schema_of("source_rules")
     empty = {f.name: [] if f.dataType.simpleString().startswith("array") else False if f.dataType.simpleString() == "boolean" else None for f in schema.fields}
     return spark.createDataFrame([tuple((empty | rule | {"name": name})[f.name] for f in schema.fields) for name, rule in rules.items()], schema)
 

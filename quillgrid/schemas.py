@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +28,14 @@ _DDL = {
     "writer_article": "title string, url string, summary string, priority_level string",
     "writer_entity": "name string, entity_type string, role_in_article string, mention_count int",
 }
-TABLES: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+
+@lru_cache(maxsize=None)
+def schema_of(name: str) -> T.StructType:
+    """The schema of a table or payload; read when used, since the reader of DDL needs a session."""
+    return T.StructType.fromDDL(_DDL[name])
+
+
 #: Unique keys and references, for the integrity assertions.
 UNIQUE = {"sources": [("url",)], "articles": [("url",), ("normalized_url",)], "entities": [("name", "entity_type")], "source_category_targets": [("source_id", "url")]}
 REFERENCES = [("articles", "source_id", "sources"), ("articles", "crawl_run_id", "crawl_runs"), ("article_entities", "article_id", "articles"), ("article_entities", "entity_id", "entities"), ("source_category_targets", "source_id", "sources")]
@@ -35,4 +44,4 @@ REFERENCES = [("articles", "source_id", "sources"), ("articles", "crawl_run_id",
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The columns of a table in order and type: missing ones null, others dropped (rows from before a migration)."""
     have = set(df.columns)
-    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema_of(name).fields])

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.schemas import TABLES
+from quillgrid.schemas import schema_of
 
 REQUIRED = ("name", "url", "domain", "source_type", "enabled", "crawl_frequency")
 SURFACES = ("map", "rss", "sitemap")
@@ -24,7 +24,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         for item in rows:
             if isinstance(item, dict) and item.get("name"):
                 items[str(item["name"])] = item
-    schema = TABLES["manifest"]
+    schema = schema_of("manifest")
     return spark.createDataFrame([tuple(item.get(f.name) for f in schema.fields) for item in items.values()], schema)
 
 
