@@ -1 +1,15 @@
-ORACLES: dict[str, str] = {}
+"""SQL for the queries that SQL can express on whole tables. The others are tested against brute force."""
+
+_LINES = (
+    "l as (select id, source_id, unnest(range(1, len(s) + 1)) as line_no, unnest(s) as raw from (select id, source_id, string_split(raw_markdown, chr(10)) as s from articles where raw_markdown is not null and source_id is not null)),"
+    " k as (select id, source_id, line_no, trim(regexp_replace(raw, '[ \\t\\r]+', ' ', 'g')) as line from l),"
+    " n as (select id, source_id, line_no, regexp_replace(lower(line), '[0-9]+', '0', 'g') as normal from k where length(line) >= 20)"
+)
+
+ORACLES: dict[str, str] = {
+    "p2_found": f"with {_LINES}, o as (select source_id, normal from n group by all having count(distinct id) >= 8) select n.id as article_id, n.line_no::int as line_no from n join o on o.source_id = n.source_id and o.normal = n.normal",
+    "p2_body": f"with {_LINES}, o as (select source_id, normal from n group by all having count(distinct id) >= 8), bad as (select n.id, n.line_no from n join o on o.source_id = n.source_id and o.normal = n.normal),"
+    " kept as (select l.id, string_agg(l.raw, chr(10) order by l.line_no) as body from l where not exists (select 1 from bad where bad.id = l.id and bad.line_no = l.line_no) group by 1)"
+    " select a.id as article_id, case when a.raw_markdown is null then null else coalesce(k.body, case when a.source_id is null then a.raw_markdown else '' end) end as body from articles a left join kept k on k.id = a.id",
+    "p8_sources": "select source, count(*) as records, count(*) filter (where coalesce(text, '') <> '') as with_text, sum(length(text))::bigint as chars from documents where source in (select source from mixture_targets) group by 1",
+}

@@ -23,6 +23,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.same_story_pairs(table(spark, d, "articles"))
 
 
+@query
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.story_groups(table(spark, d, "articles"))
+
+
 @query
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     articles = table(spark, d, "articles")
@@ -30,11 +35,24 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.excess_lines(articles, newest)
 
 
+@query
+def p2_body(spark: SparkSession, d: str) -> DataFrame:
+    articles = table(spark, d, "articles")
+    state = repeated_lines.merge_counts(None, repeated_lines.count_lines(articles))
+    return repeated_lines.rebuild(articles, state, only_crossed=False).select(F.col("document").alias("article_id"), "body")
+
+
 @query
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return names.same_entity_pairs(table(spark, d, "entities"), table(spark, d, "name_forms"))
 
 
+@query
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    classes = names.entity_classes(table(spark, d, "entities"), table(spark, d, "name_forms"))
+    return classes.select(F.col("id").alias("entity_id"), F.col("class").alias("class_key"))
+
+
 @query
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return template_residue.residue_fields(table(spark, d, "articles"))
@@ -65,6 +83,12 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[1]
 
 
+@query
+def p8_sources(spark: SparkSession, d: str) -> DataFrame:
+    listed = table(spark, d, "documents").join(table(spark, d, "mixture_targets").select("source"), "source", "left_semi")
+    return listed.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("text") != "").alias("with_text"), F.sum(F.length("text")).cast("long").alias("chars"))
+
+
 @query
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.span_pairs(table(spark, d, "documents"))
