@@ -40,7 +40,7 @@ LEGAL = frozenset(
 )
 TITLES = frozenset("dr prof professor mr mrs ms miss sir dame phd md msc bsc mba dphil jr sr ii iii iv mph rn pharmd dvm frcp".split())
 DRUG_FORMS = frozenset(
-    "tablet tablets injection injections sol solution hydrochloride hcl sc iv im oral capsule capsules cream gel spray infusion biosimilar free mg mcg ml sodium acetate mesylate sulfate phosphate"
+    "tablet tablets injection injections sol solution hydrochloride hcl sc iv im oral capsule capsules cream gel spray infusion biosimilar free sodium acetate mesylate sulfate phosphate"
     " maleate tartrate potassium vial vials syringe pen patch drops er xr sr".split()
 )
 # Common short forms of given names beside those of the table.
@@ -70,6 +70,8 @@ TECHNOLOGIES = {
     "viral vector process": ("viral vector", "process proc"),
     "single cell sequencing": ("single cell sc sequencing seq", ""),
 }
+#: A code: up to five letters, perhaps with points, and three to six digits, with or without a joint.
+_CODE = re.compile(r"(?<![a-z0-9])[a-z](?:\.?[a-z]){0,4}\.?[\s\-]*\d{3,6}[a-z]?(?![a-z0-9])")
 _KIND = {w: k for k, words in DEALS.items() for w in words.split()}
 _TECH = {w: k for k, (own, rest) in TECHNOLOGIES.items() for w in own.split()}
 _TECH_REST = {w for _, rest in TECHNOLOGIES.values() for w in rest.split()}
@@ -216,12 +218,13 @@ class Parser:
         return "", core, self.given.get(first, first)
 
     def drug(self, name: str) -> list[tuple[str, str, str]]:
-        low = name.lower()
-        words = [w for w in re.findall(r"[a-z0-9]+", re.sub(r"\b\d+(?:\.\d+)?\s*(?:mg|mcg|ml|g)\b", " ", low)) if w not in DRUG_FORMS]
-        core = "".join(words)
-        if re.search(r"\d", core):
+        low = re.sub(r"\b\d+(?:\.\d+)?\s*(?:mg|mcg|ml|g)\b", " ", name.lower())
+        code = _CODE.search(low)
+        if code:
+            core = re.sub(r"[^a-z0-9]", "", code[0])
             return [("code:" + core, core, "")]
-        return [("", core, "")]
+        core = "".join(w for w in re.findall(r"[a-z0-9]+", low) if w not in DRUG_FORMS)
+        return [("code:" + core if re.search(r"\d", core) else "", core, "")]
 
     def technology(self, name: str) -> list[tuple[str, str, str]]:
         words = [re.sub(r"[^a-z0-9]", "", w) for w in re.sub(r"'s\b", "", name.lower()).replace("-", " ").replace("(", " ").replace(")", " ").replace("/", " ").split()]

@@ -72,6 +72,7 @@ SAME = [
     ("company", "Rumbi Klixce Biosciences", ["Rumbi Klixce Bio Sciences", "Rumbi Klixce Bio-Sciences"]),
     ("person", "Robert Brixstix-Vlorvul", ["Bob Brixstix-Vlorvul", "R. Brixstix-Vlorvul", "Brixstix-Vlorvul, Robert", "BRIXSTIX-VLORVUL Robert", "Dr. Robert B. Brixstix-Vlorvul, PhD", "robert brixstix-vlorvul", "Robret Brxistix-Vlorvul", "R.W. Brixstix-Vlorvul"]),
     ("drug", "KCX-9914", ["kcx-9914", "KCX9914", "KCX–9914", "(KCX-9914)", "K.CX-9914", "KCX_9914", "KCX-9914®"]),
+    ("drug", "XMG-5217", ["X.MG-5217", "xmg 5217 tablets", "XMG5217 SC"]),
     ("drug", "Drepracivamelmab", ["Drepracivaemlmab tablets", "DREPRACIVAMELMAB", "Drepracivamelmab (biosimilar-free)", "Drepracivamelmab 300 mg"]),
     ("technology", "Prate Trelkivci base editing platform", ["base editing platform (Prate Trelkivci)", "Prate Trelkivci BE platform", "Prate-Trelkivci base-editor platform", "Prate Trelkivci's base editing platform"]),
     ("deal", "Jummor-Yinello collaboration", ["Jummor & Yinello collab", "Yinello/Jummor partnership", "JUMMOR-YINELLO collaboration"]),
