@@ -1,13 +1,12 @@
 """Problem 9: long exact spans shared between records, by level-wise doubling.
 
-Level 0 are windows of ``BASE`` characters at *anchors*: of each run of ``RUN`` neighbouring
+Level 0 are windows of ``BASE`` = 50 characters at *anchors*: of each run of ``RUN`` neighbouring
 positions the one with the least hash. Two records that share a span share its anchors, and a span
-of ``MIN_SPAN`` characters has one so near its start that windows of 2 and 4 times ``BASE`` at the
-anchor still lie inside the span. A window that stands in one record only is dropped; the others
-are extended to twice their length, until the last doubling. Around the few anchors that survive,
-every window of ``MIN_SPAN`` characters is hashed (128 bits); those that stand in two records are
-exactly the shared spans, and their union is what a record shares. Nothing is sampled: each shared
-span is found.
+of ``MIN_SPAN`` = 200 characters has one so near its start that the window of 100 characters there
+still lies inside the span. A window that stands in one record only is dropped; the others are
+extended to twice their length: 50, 100, 200. At the last level every window of 200 characters
+whose first run of positions has an anchor that survives is hashed (128 bits); the windows that stand in two records are exactly the shared spans, and their
+union is what a record shares. Nothing is sampled: each shared span is found.
 
 Equal texts are one class from the start and are represented by one member. Windows are grouped by
 the *set* of records that hold them (a sum of record hashes, combined map-side), so records that
@@ -27,9 +26,11 @@ from pyspark.sql.window import Window
 
 from quillgrid.runtime import as_table
 
-#: RUN - 1 + 4 * BASE must not exceed MIN_SPAN.
-MIN_SPAN, BASE, RUN = 200, 32, 64
-LEVELS = 3
+#: RUN - 1 + 2 * BASE must not exceed MIN_SPAN, nor RUN - 1 + BASE.
+MIN_SPAN, BASE, RUN = 200, 50, 101
+LEVELS = 2
+#: Texts are hashed together in pieces of so many characters; longer ones are cut into overlapping pieces.
+PIECE = 1 << 20
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -63,55 +64,85 @@ def window_hashes(codes: np.ndarray, sizes: tuple[int, ...], seed: int = 1) -> d
     return out
 
 
-def anchors(hashes: np.ndarray, run: int = RUN) -> np.ndarray:
-    """The positions that have the least hash (the last of them) in some run of neighbouring positions."""
-    n = len(hashes)
-    if n == 0:
-        return np.empty(0, np.int64)
-    if n <= run:
-        return np.array([n - 1 - int(np.argmin(hashes[::-1]))])
+def run_anchors(hashes: np.ndarray, run: int = RUN) -> np.ndarray:
+    """For each run of neighbouring positions, by its start, the position of its least hash (the last of them)."""
     # sliding minimum of (hash, position) by doubling; ties go to the later position
-    best, at, width = hashes, np.arange(n), 1
+    best, at, width = hashes, np.arange(len(hashes)), 1
     while width < run:
         step = min(width, run - width)
-        later = best[step:] <= best[: len(best) - step]
-        best, at = np.where(later, best[step:], best[: len(best) - step]), np.where(later, at[step:], at[: len(at) - step])
+        later = best[step:] <= best[: max(0, len(best) - step)]
+        best, at = np.where(later, best[step:], best[: max(0, len(best) - step)]), np.where(later, at[step:], at[: max(0, len(at) - step)])
         width += step
-    return np.unique(at)
+    return at
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def _pieces(texts) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
+    """Texts packed into arrays of characters: (codes, [(text number, its offset here, length here, offset of that part in the text)]).
+
+    Parts of one long text overlap by MIN_SPAN + RUN, so that each run of anchors with its windows
+    lies in one of them.
+    """
+    codes, parts, size = [], [], 0
+    for number, text in enumerate(texts):
+        c = _codes(text)
+        at = 0
+        while True:
+            part = c[at : at + PIECE]
+            if size and size + len(part) > PIECE:
+                yield np.concatenate(codes), parts
+                codes, parts, size = [], [], 0
+            parts.append((number, size, len(part), at))
+            codes.append(part)
+            size += len(part)
+            if at + PIECE >= len(c):
+                break
+            at += PIECE - MIN_SPAN - RUN
+    if size:
+        yield np.concatenate(codes), parts
+
+
+def _owners(at: np.ndarray, parts: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """For positions in packed texts: the number of the text, and the position in it."""
+    k = np.searchsorted([x for _, x, _, _ in parts], at, side="right") - 1
+    table = np.array(parts, np.int64)
+    return table[k, 0], at - table[k, 1] + table[k, 3]
+
+
+def _starts(parts: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """Where windows of MIN_SPAN characters begin in packed texts; the run of anchors that begins there lies inside the window."""
+    return np.concatenate([np.arange(x, x + n - MIN_SPAN + 1) for _, x, n, _ in parts])
+
+
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sizes = tuple(BASE << level for level in range(LEVELS))
     for batch in batches:
-        parts = []
-        for record, text in zip(batch["record"], batch["text"]):
-            codes = _codes(text)
+        records = batch["record"].to_numpy()
+        for codes, parts in _pieces(batch["text"]):
             h = window_hashes(codes, sizes)
-            at = anchors(h[BASE])
-            at = at[at + sizes[-1] <= len(codes)]
-            parts.append((np.full(len(at), record), at, *[h[s][at] for s in sizes]))
-        if parts:
-            cols = [np.concatenate(x) for x in zip(*parts)]
-            yield pd.DataFrame({"record": cols[0], "at": cols[1].astype(np.int32)} | {f"h{i}": c.astype(np.int64) for i, c in enumerate(cols[2:])})
+            at = np.unique(run_anchors(h[BASE])[_starts(parts)])
+            number, place = _owners(at, parts)
+            rows = pd.DataFrame({"record": records[number], "at": place.astype(np.int32)} | {f"h{i}": h[s][at].astype(np.int64) for i, s in enumerate(sizes)})
+            yield rows.drop_duplicates(["record", "at"])
 
 
 def _span_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for record, text, starts in zip(batch["record"], batch["text"], batch["starts"]):
-            codes = _codes(text)
-            last = len(codes) - MIN_SPAN
-            at = np.unique((np.asarray(starts, np.int64)[:, None] - np.arange(RUN)).ravel())
-            at = at[(at >= 0) & (at <= last)]
-            if len(at):
-                x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][at].astype(np.int64) for seed in (3, 4))
-                pairs = np.stack([x, y], axis=1)
-                first = np.zeros(len(at), bool)
-                first[np.unique(pairs, axis=0, return_index=True)[1]] = True
-                yield pd.DataFrame({"record": record, "at": at.astype(np.int32), "x": x, "y": y, "first": first})
+        records, alive = batch["record"].to_numpy(), batch["alive"].to_numpy()
+        for codes, parts in _pieces(batch["text"]):
+            w = _starts(parts)
+            at = run_anchors(window_hashes(codes, (BASE,))[BASE])[w]
+            number, place = _owners(at, parts)
+            cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])
+            w = w[np.concatenate([np.isin(place[i:j], alive[number[i]]) for i, j in zip(cut, cut[1:])])]
+            if len(w):
+                number, place = _owners(w, parts)
+                x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][w].astype(np.int64) for seed in (3, 4))
+                rows = pd.DataFrame({"record": records[number], "at": place.astype(np.int32), "x": x, "y": y}).drop_duplicates(["record", "at"])
+                yield rows.assign(first=~rows.duplicated(["record", "x", "y"]))
 
 
 def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -121,23 +152,26 @@ def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text")
     return as_table(long.join(least, ["text_key", "chars"]).select("id", "record", "chars"), "text-classes")
 
 
-def repeated_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(record, at, x, y, first, holders, n): the windows of MIN_SPAN characters that stand in two records, at every place; a table."""
+def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(record, at, x, y, first): the windows of MIN_SPAN characters that may stand in two records, as a table; first: the first such window of its record."""
     heads = classes.where("id = record").select(F.col("record").alias("head"))
     texts = documents.where(F.length(F.col(text)) >= MIN_SPAN).select(F.col(key).alias("record"), F.col(text).alias("text"))
     texts = texts.join(heads, texts["record"] == heads["head"], "left_semi").dropDuplicates(["record"])
     kind = texts.schema["record"].dataType.simpleString()
     schema = f"record {kind}, at int, " + ", ".join(f"h{i} long" for i in range(LEVELS))
-    alive = as_table(texts.mapInPandas(_anchor_rows, schema), "windows-0")
+    alive = as_table(texts.mapInPandas(_anchor_rows, schema), "windows")
     for level in range(LEVELS):  # windows that stand in one record only end here; the others double
         h = f"h{level}"
         twice = alive.groupBy(h).agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select(h)
         alive = alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + 1, LEVELS)])
-    starts = alive.groupBy("record").agg(F.sort_array(F.collect_list("at")).alias("starts"))
-    spans = as_table(texts.join(starts, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans")
-    one = F.when(F.col("first"), F.xxhash64("record").cast("decimal(20,0)"))
-    holders = spans.groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count_if("first").alias("n")).where("n > 1")
-    return as_table(spans.join(holders, ["x", "y"]), "repeated-spans")
+    living = alive.groupBy("record").agg(F.collect_list("at").alias("alive"))
+    return as_table(texts.join(living, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans")
+
+
+def _holders(spans: DataFrame) -> DataFrame:
+    """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number."""
+    one = F.xxhash64("record").cast("decimal(20,0)")
+    return spans.where("first").groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -146,9 +180,10 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     Null and shorter texts share nothing; records with equal texts share them whole.
     """
     classes = text_classes(documents, key, text)
-    repeated = repeated_windows(documents, classes, key, text)
-    chosen = repeated.groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y")
-    groups = as_table(repeated.where("first").join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")
+    spans = long_windows(documents, classes, key, text)
+    # one window stands for all that the same records hold
+    chosen = as_table(_holders(spans).groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y"), "chosen")
+    groups = as_table(spans.where("first").join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")
     pairs = groups.alias("p").join(groups.alias("q"), ["x", "y"]).where("p.record < q.record").select(F.col("p.record").alias("r"), F.col("q.record").alias("s")).distinct()
     one, two = classes.select(F.col("record").alias("r"), F.col("id").alias("i")), classes.select(F.col("record").alias("s"), F.col("id").alias("j"))
     between = pairs.join(one, "r").join(two, "s").select(F.least("i", "j").alias("doc_id_a"), F.greatest("i", "j").alias("doc_id_b"))
@@ -162,7 +197,8 @@ def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text"
     Null text: null chars and nothing shared.
     """
     classes = text_classes(documents, key, text)
-    repeated = repeated_windows(documents, classes, key, text)
+    spans = long_windows(documents, classes, key, text)
+    repeated = spans.join(_holders(spans).select("x", "y"), ["x", "y"], "left_semi")
     following = F.lead("at").over(Window.partitionBy("record").orderBy("at"))
     covered = repeated.select("record", F.least(F.lit(MIN_SPAN), F.coalesce(following - F.col("at"), F.lit(MIN_SPAN))).alias("c")).groupBy("record").agg(F.sum("c").alias("covered"))
     copies = classes.groupBy("record").agg(F.count(F.lit(1)).alias("copies"))

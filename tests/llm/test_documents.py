@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillgrid.llm.mixture import fill, mixture
-from quillgrid.llm.shared_spans import BASE, MIN_SPAN, RUN, anchors, shared_amounts, span_pairs, window_hashes
+from quillgrid.llm.shared_spans import BASE, LEVELS, MIN_SPAN, RUN, run_anchors, shared_amounts, span_pairs, window_hashes
 from quillgrid.llm.tokenize import RANKS, chunks, corpus_ids, cuts, encoding, join_chunks
 
 SCHEMA = "doc_id long, text string, source string, record string, n int, at int, h0 long, ids string, part string"
@@ -68,17 +68,19 @@ def test_other_vocabulary(spark):
     assert {r.doc_id: r.ids for r in corpus_ids(documents(spark, texts), ranks=other).collect()} == {0: enc.encode_ordinary(texts[0]), 1: []}
 
 
-def test_anchor_guarantee():
+def test_anchors_of_runs():
     rng = random.Random(3)
     for _ in range(200):
         n = rng.randrange(1, 400)
         h = np.array([rng.randrange(50) for _ in range(n)], np.uint64)
-        at = set(anchors(h, 16).tolist())
-        for s in range(max(1, n - 15)):
-            window = h[s : s + 16]
-            assert s + len(window) - 1 - int(np.argmin(window[::-1])) in at
+        at = run_anchors(h, 16)
+        assert len(at) == max(0, n - 15)
+        for s in range(n - 15):
+            assert s + 15 - int(np.argmin(h[s : s + 16][::-1])) == at[s]
     codes = np.arange(500, dtype=np.uint32)
-    assert RUN - 1 + 4 * BASE <= MIN_SPAN and len(window_hashes(codes, (200,))[200]) == 301 and len(window_hashes(codes[:50], (200,))[200]) == 0
+    # the run of anchors at the start of a span, and the doubled window at its anchor, lie inside the span
+    assert RUN - 1 + (BASE << (LEVELS - 1)) <= MIN_SPAN and RUN - 1 + BASE <= MIN_SPAN
+    assert len(window_hashes(codes, (200,))[200]) == 301 and len(window_hashes(codes[:50], (200,))[200]) == 0
 
 
 def brute(texts):
@@ -110,6 +112,24 @@ def test_spans_against_brute_force(spark):
     assert span_pairs(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
+    import quillgrid.llm.shared_spans as spans
+
+    rng = random.Random(8)
+    shared = text_of(rng, 400)
+    texts = [text_of(rng, 300) + shared[k * 40 : k * 40 + 700] + text_of(rng, 200) for k in range(12)]
+    pairs, amounts = brute(texts)
+    monkeypatch.setattr(spans, "PIECE", 700)
+    packed = list(spans._pieces(texts))
+    assert len(packed) > 12 and max(len(c) for c, _ in packed) <= 700
+    pieces = spans._anchor_rows
+    frame = __import__("pandas").DataFrame({"record": range(12), "text": texts})
+    small = {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
+    monkeypatch.setattr(spans, "PIECE", 1 << 20)
+    assert small == {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
+    assert {tuple(r) for r in span_pairs(documents(spark, texts)).collect()} == pairs and pairs
+
+
 def test_filling():
     assert fill([("a", 0.5, 100, 1), ("b", 0.5, 1000, 1)], 600) == {"a": 100.0, "b": 500.0}
     assert fill([("a", 0.6, 100, 2), ("b", 0.3, 100, 1), ("c", 0.1, 1000, 1)], 600) == {"a": 200.0, "b": 100.0, "c": 300.0}
