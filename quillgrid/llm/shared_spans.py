@@ -30,7 +30,7 @@ from quillgrid.runtime import as_table
 MIN_SPAN, BASE, RUN = 200, 50, 101
 LEVELS = 2
 #: Texts are hashed together in pieces of so many characters; longer ones are cut into overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 16
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -83,8 +83,7 @@ def _codes(text: str) -> np.ndarray:
 def _pieces(texts) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
     """Texts packed into arrays of characters: (codes, [(text number, its offset here, length here, offset of that part in the text)]).
 
-    Parts of one long text overlap by MIN_SPAN + RUN, so that each run of anchors with its windows
-    lies in one of them.
+    Parts of one long text overlap so that each window of MIN_SPAN characters lies in exactly one.
     """
     codes, parts, size = [], [], 0
     for number, text in enumerate(texts):
@@ -100,7 +99,7 @@ def _pieces(texts) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]
             size += len(part)
             if at + PIECE >= len(c):
                 break
-            at += PIECE - MIN_SPAN - RUN
+            at += PIECE - MIN_SPAN + 1
     if size:
         yield np.concatenate(codes), parts
 
@@ -134,13 +133,14 @@ def _span_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         records, alive = batch["record"].to_numpy(), batch["alive"].to_numpy()
         for codes, parts in _pieces(batch["text"]):
             w = _starts(parts)
-            at = run_anchors(window_hashes(codes, (BASE,))[BASE])[w]
+            h = window_hashes(codes, (BASE, MIN_SPAN))
+            at = run_anchors(h[BASE])[w]
             number, place = _owners(at, parts)
             cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])
             w = w[np.concatenate([np.isin(place[i:j], alive[number[i]]) for i, j in zip(cut, cut[1:])])]
             if len(w):
                 number, place = _owners(w, parts)
-                x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][w].astype(np.int64) for seed in (3, 4))
+                x, y = (z[MIN_SPAN][w].astype(np.int64) for z in (h, window_hashes(codes, (MIN_SPAN,), seed=4)))
                 rows = pd.DataFrame({"record": records[number], "at": place.astype(np.int32), "x": x, "y": y}).drop_duplicates(["record", "at"])
                 yield rows.assign(first=~rows.duplicated(["record", "x", "y"]))
 
@@ -153,7 +153,7 @@ def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(record, at, x, y, first): the windows of MIN_SPAN characters that may stand in two records, as a table; first: the first such window of its record."""
+    """(record, at, x, y, first): the windows of MIN_SPAN characters that may stand in two records, as a table; first: the first such window of its piece of the record."""
     heads = classes.where("id = record").select(F.col("record").alias("head"))
     texts = documents.where(F.length(F.col(text)) >= MIN_SPAN).select(F.col(key).alias("record"), F.col(text).alias("text"))
     texts = texts.join(heads, texts["record"] == heads["head"], "left_semi").dropDuplicates(["record"])
@@ -163,7 +163,7 @@ def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id",
     for level in range(LEVELS):  # windows that stand in one record only end here; the others double
         h = f"h{level}"
         twice = alive.groupBy(h).agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select(h)
-        alive = alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + 1, LEVELS)])
+        alive = as_table(alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + 1, LEVELS)]), "windows")
     living = alive.groupBy("record").agg(F.collect_list("at").alias("alive"))
     return as_table(texts.join(living, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans")
 
@@ -171,7 +171,8 @@ def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id",
 def _holders(spans: DataFrame) -> DataFrame:
     """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number."""
     one = F.xxhash64("record").cast("decimal(20,0)")
-    return spans.where("first").groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = spans.where("first").groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n"), F.min("record").alias("a"), F.max("record").alias("b"))
+    return counted.where("a < b").select("x", "y", "holders", "n")
 
 
 def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

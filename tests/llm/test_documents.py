@@ -103,7 +103,7 @@ def test_spans_against_brute_force(spark):
     rng = random.Random(4)
     passages = [text_of(rng, 200)[:n] for n in (199, 200, 201, 230, 264, 400, 900)]
     texts = [text_of(rng, rng.randrange(1, 120)) + (x := rng.choice(passages))[: rng.choice([len(x), 150])] + text_of(rng, rng.randrange(1, 60)) for _ in range(70)]
-    texts += [None, "", "a" * 199, "a" * 200, "a" * 300, "ab" * 150, texts[0], texts[0], texts[1], passages[1], passages[0], "汉字" * 120, "x" + "汉字" * 120, "😀" * 210, "é" * 250, text_of(rng, 20_000)]
+    texts += [None, "", "a" * 199, "a" * 200, "a" * 300, "ab" * 150, texts[0], texts[0], texts[1], passages[1], passages[0], "汉字" * 120, "x" + "汉字" * 120, "😀" * 210, "é" * 250, text_of(rng, 20_000), (long := text_of(rng, 9_000)) + long[:50_000]]
     pairs, amounts = brute(texts)
     got = [tuple(r) for r in span_pairs(documents(spark, texts)).collect()]
     assert len(got) == len(set(got)) and set(got) == pairs and pairs
@@ -125,7 +125,11 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     pieces = spans._anchor_rows
     frame = __import__("pandas").DataFrame({"record": range(12), "text": texts})
     small = {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
+    frame["alive"] = [np.arange(len(t)) for t in texts]
+    windows = [(r.record, r.at, r.x, r.y) for f in spans._span_rows(iter([frame])) for r in f.itertuples()]
+    assert len(windows) == len(set(windows)) == sum(len(t) - MIN_SPAN + 1 for t in texts)
     monkeypatch.setattr(spans, "PIECE", 1 << 20)
+    assert set(windows) == {(r.record, r.at, r.x, r.y) for f in spans._span_rows(iter([frame])) for r in f.itertuples()}
     assert small == {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
     assert {tuple(r) for r in span_pairs(documents(spark, texts)).collect()} == pairs and pairs
 
