@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillgrid.operators import timestamps
-from quillgrid.plans import content, dashboard, knowledge, pipeline, streams, urls  # noqa: F401 - they register their queries
+from quillgrid.plans import content, dashboard, knowledge, pipeline, runs, streams, urls  # noqa: F401 - they register their queries
 from quillgrid.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from quillgrid.runtime import table
 

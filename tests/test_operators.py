@@ -190,3 +190,32 @@ def test_manifest(spark, tmp_path):
     got = {r.name: r.errors for r in manifest_errors(m).collect()}
     assert got == {"A": ["missing: crawl_frequency"], "B": ["primary_discovery_surface unknown: category_page", "feed_url not absolute", "sitemap_urls not absolute"]}
     assert read_manifest(spark, str(tmp_path / "none.yaml")).count() == 0
+
+
+def test_runs_and_targets(spark):
+    from quillgrid.operators.runs import finish_run, in_flight, patch_targets, run_totals
+
+    w = spark.createDataFrame([("r", "inserted", 0, None), ("r", "failed", 1, 2), ("q", "duplicate", 0, 0)], "run string, d string, a int, l int")
+    totals = run_totals(w, "run", "d", "a", "l")
+    assert rows(totals) == [("q", 1, 0, "success"), ("r", 1, 3, "partial_success")]
+    runs = spark.createDataFrame([("r", "in_progress", 0, 0, None), ("z", "failed", 7, 1, None)], "id string, status string, article_count int, error_count int, completed_at timestamp")
+    assert in_flight(runs) and not in_flight(finish_run(runs, totals, "run", F.lit("2026-01-01").cast("timestamp"))) and not in_flight(runs.limit(0))
+    t = spark.createDataFrame([("a", "u0", "old", "x"), ("b", "u0", None, None), ("c", None, None, None), ("d", "u0", "e", "t")], "id string, last_seen_url string, last_error string, error_type string").withColumns({"last_checked_at": F.lit(None).cast("timestamp"), "detected_at": F.lit(None).cast("timestamp")})
+    res = spark.createDataFrame([("a", "u1", None, None), ("b", None, "boom", "net"), ("c", None, None, None)], "id string, newest_url string, error string, error_type string")
+    got = {r.id: (r.last_seen_url, r.last_error, r.error_type, r.last_checked_at is not None) for r in patch_targets(t, res, F.lit("2026-01-01").cast("timestamp")).collect()}
+    assert got == {"a": ("u1", None, None, True), "b": ("u0", "boom", "net", True), "c": (None, None, None, True), "d": ("u0", "e", "t", False)}
+
+
+def test_model_callback(spark):
+    from quillgrid.operators.runs import ask_model
+
+    calls = spark.createDataFrame([("a", "good"), ("b", "bad"), ("c", None)], "id string, p string")
+    got = {r.id: (r.answer, r.attempts) for r in ask_model(calls, "id", "p", lambda ps, n: [f"{p}{n}" for p in ps], lambda a: a.startswith("good")).collect()}
+    assert got == {"a": ("good1", 1), "b": ("bad2", 2), "c": (None, 0)}
+
+
+def test_scan_of_missing_table(spark, data):
+    from quillgrid.sources.tables import scan
+
+    assert scan(spark, data, "delivery_logs").count() == 0
+    assert scan(spark, data, "sources", {"source_type": "preprint"}, ["id"], 1).count() == 1
