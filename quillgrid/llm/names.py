@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -109,9 +109,15 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 
 def allowed(length: int) -> int:
+    """Edits between two cores, by the length of the shorter one."""
     return 2 if length >= TWO_EDITS else 1 if length >= ONE_EDIT else 0
 
 
+def allowed_given(length: int) -> int:
+    """Edits between two given names, which are shorter but lie within one family name."""
+    return 2 if length >= 7 else 1 if length >= 4 else 0
+
+
 def plain(name: str) -> str:
     """Without accents, with plain dashes, quotes and blanks; case kept."""
     text = unicodedata.normalize("NFKD", name)
@@ -271,17 +277,17 @@ def _cuts(length: int, k: int, cutting: int) -> list[tuple[int, int]]:
     return [(x, y - x) for x, y in zip(at, at[1:])]
 
 
-def index_keys(core: str) -> list[tuple]:
+def index_keys(core: str, edits: Callable[[int], int] = allowed) -> list[tuple]:
     """(length, cutting, segment, text) under which a core stands in the inverted index."""
-    k = allowed(len(core))
+    k = edits(len(core))
     return [(len(core), c, s, core[x : x + n]) for c in range(k + 1) for s, (x, n) in enumerate(_cuts(len(core), k, c))]
 
 
-def probe_keys(core: str) -> set[tuple]:
+def probe_keys(core: str, edits: Callable[[int], int] = allowed) -> set[tuple]:
     """The keys to look up: for each shorter or equal length within k, the substrings at compatible shifts."""
     keys = set()
     for length in range(max(1, len(core) - 2), len(core) + 1):
-        k = allowed(length)
+        k = edits(length)
         extra = len(core) - length
         if extra > k:
             continue
@@ -310,13 +316,13 @@ def parsed_names(entities: DataFrame, forms: DataFrame, key: str = "id", name: s
     return base.mapInPandas(run, f"id {base.schema['id'].dataType.simpleString()}, kind string, qualifier string, core string, given string")
 
 
-def similar_cores(cores: DataFrame) -> DataFrame:
+def similar_cores(cores: DataFrame, edits: Callable[[int], int] = allowed) -> DataFrame:
     """(block, core_a, core_b): the different cores of one block within the allowed edits of the shorter one. Input (block, core), distinct."""
 
     def keys(make):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = [(b, c, "|".join(map(str, k))) for b, c in zip(batch["block"], batch["core"]) for k in make(c)]
+                rows = [(b, c, "|".join(map(str, k))) for b, c in zip(batch["block"], batch["core"]) for k in make(c, edits)]
                 yield pd.DataFrame(rows, columns=["block", "core", "k"], dtype=object)
 
         return cores.mapInPandas(run, "block string, core string, k string").select("block", "core", F.xxhash64("block", "k").alias("k"))
@@ -326,21 +332,12 @@ def similar_cores(cores: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = [edit_distance(a, b, k) <= k if (k := allowed(min(len(a), len(b)))) else False for a, b in zip(batch["core"], batch["other"])]
+            keep = [edit_distance(a, b, k) <= k if (k := edits(min(len(a), len(b)))) else False for a, b in zip(batch["core"], batch["other"])]
             yield batch[keep].rename(columns={"core": "core_a", "other": "core_b"})
 
     return near.mapInPandas(verify, "block string, core_a string, core_b string")
 
 
-def _given_agree(a: str, b: str) -> bool:
-    if a == b:
-        return True
-    short, long = sorted((a, b), key=len)
-    if len(short) >= 3 and long.startswith(short):
-        return True
-    return len(short) >= 4 and edit_distance(a, b, 2) <= (2 if len(short) >= 7 else 1)
-
-
 def entity_classes(entities: DataFrame, forms: DataFrame, key: str = "id", name: str = "name", kind: str = "entity_type") -> DataFrame:
     """(id, class): entities of one type that name the same thing share a class. A class is named by a key, not by an id."""
     parsed = as_table(parsed_names(entities, forms, key, name, kind), "names")
@@ -362,13 +359,13 @@ def _persons(named: DataFrame) -> DataFrame:
     nodes = named.select("family", "given").distinct()
     whole = nodes.where(F.length("given") > 1)
 
-    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[[_given_agree(a, b) for a, b in zip(batch["given"], batch["given2"])]]
-
-    pairs = whole.join(whole.withColumnRenamed("given", "given2"), "family").where("given < given2").mapInPandas(agree, "family string, given string, given2 string")
-    node = lambda c: F.concat_ws("|", "family", c)
-    parts = connected_components(pairs.select(node("given").alias("src"), node("given2").alias("dst")))
+    close = similar_cores(whole.select(F.col("family").alias("block"), F.col("given").alias("core")), allowed_given)
+    # a given name that is cut short ("Zach") is a prefix of the whole one
+    prefixes = whole.where(F.length("given") > 3).select(F.col("family").alias("block"), F.col("given").alias("core_a"), F.explode(F.transform(F.sequence(F.lit(3), F.length("given") - 1), lambda n: F.col("given").substr(F.lit(1), n))).alias("core_b"))
+    cut = prefixes.join(whole.select(F.col("family").alias("block"), F.col("given").alias("core_b")), ["block", "core_b"], "left_semi")
+    pairs = close.unionByName(cut)
+    node = lambda c, f="family": F.concat_ws("|", f, c)
+    parts = connected_components(pairs.select(node("core_a", "block").alias("src"), node("core_b", "block").alias("dst")))
     known = whole.withColumn("node", node("given")).join(parts, "node", "left").select("family", "given", F.coalesce("component", "node").alias("class"))
     initial = nodes.where(F.length("given") <= 1)
     fits = (
