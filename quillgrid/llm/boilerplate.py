@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgrid.llm.furniture import furniture_flags
+from quillgrid.llm.furniture import page_flags
 from quillgrid.runtime import as_table
 
 #: A template is on at least this many pages of its host, and on at least this share of them.
@@ -55,10 +55,11 @@ def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min
     )
 
 
-def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType, key: str, host: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType, key: str, host: str, text: str, extra: tuple[str, ...] = (), suspects: bool = False) -> DataFrame:
     """For each page, the key as ``page_id`` and what ``row(lines, flags, *extra)`` makes of its lines, furniture flags and extra columns.
 
-    Null texts give ``row([], [], ...)``. ``row`` runs in Python workers on Arrow batches.
+    Null texts give ``row([], [], ...)``. With ``suspects`` the row function also gets, before the
+    extra columns, the lines of the story that may be messages. ``row`` runs in Python workers on Arrow batches.
     """
     more = [f"extra_{i}" for i in range(len(extra))]
     base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"), *[F.col(x).alias(y) for x, y in zip(extra, more)])
@@ -77,8 +78,8 @@ def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType,
             made = []
             for value, recurring, *rest in zip(batch["text"], batch["recurring"], *[batch[x] for x in more]):
                 lines = [] if value is None else value.split("\n")
-                flags = furniture_flags(lines, list(recurring) if recurring is not None and len(recurring) == len(lines) else None)
-                made.append(row(lines, flags, *rest))
+                flags, told = page_flags(lines, list(recurring) if recurring is not None and len(recurring) == len(lines) else None)
+                made.append(row(lines, flags, told, *rest) if suspects else row(lines, flags, *rest))
             result = pd.DataFrame(made, columns=names, dtype=object)
             result.insert(0, "page_id", batch["page_id"].to_numpy())
             yield result

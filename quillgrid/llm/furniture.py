@@ -206,6 +206,11 @@ def furniture_flags(lines: list[str], recurring: list[bool] | None = None) -> li
 
     ``recurring`` has, for each line, whether its template recurs on the host.
     """
+    return page_flags(lines, recurring)[0]
+
+
+def page_flags(lines: list[str], recurring: list[bool] | None = None) -> tuple[list[bool], list[str]]:
+    """(the furniture flags, the squeezed lines of the story that may be messages)."""
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
     starts = [0, *accumulate(len(x) + 1 for x in lows)][:-1]
@@ -234,4 +239,5 @@ def furniture_flags(lines: list[str], recurring: list[bool] | None = None) -> li
             continue
         if (recurring and recurring[i]) or ((short or held.get(i, 0) & _FORMED) and is_form(line)):
             out[i] = not ((short or held.get(i, 0) & _TOLD) and is_message(line))
-    return out
+    suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held.get(i, 0) & _TOLD)]
+    return out, suspects

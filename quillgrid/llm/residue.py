@@ -89,11 +89,13 @@ MESSAGE_KEYS = (
 )
 
 #: Words that only filler has; two of them in a short line, or a fifth of a longer one, make filler.
-_LATIN = re.compile(
-    r"\b(?:lorem|ipsum|dolor|amet|consectetur|adipiscing|elit|eiusmod|tempor|incididunt|labore|aliqua|minim|veniam|nostrud|exercitation|ullamco|laboris|nisi|aliquip|commodo"
-    r"|consequat|duis|aute|irure|reprehenderit|voluptate|velit|cillum|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|proident|culpa|officia|deserunt|mollit|laborum"
-    r"|praesent|vestibulum|curabitur|pellentesque|maecenas|suspendisse|phasellus|donec|etiam|vivamus|aenean|quisque|morbi|tempori|vernat|nontra|egestor|cupidam|amentis|excer|deseri|ploret|belit|fugor|quister|tinci|ullat|vitum|lacum|praes|miratus|undique|voluptam|dolo|ornare|lectus|lacus|augue|sapien|turpis|ligula|mauris)\b",
-    re.I,
+_LATIN = frozenset(
+    (
+        "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore aliqua minim veniam nostrud exercitation ullamco laboris nisi aliquip commodo consequat "
+        "duis aute irure reprehenderit voluptate velit cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit laborum praesent vestibulum "
+        "curabitur pellentesque maecenas suspendisse phasellus donec etiam vivamus aenean quisque morbi tempori vernat nontra egestor cupidam amentis excer deseri ploret belit fugor "
+        "quister tinci ullat vitum lacum praes miratus undique voluptam dolo ornare lectus lacus augue sapien turpis ligula mauris"
+    ).split()
 )
 _ENGLISH = re.compile(r"\b(?:the|of|and|to|in|for|is|was|with|that|by|der|die|das|und|le|la|les|des|el|los|en|de|une?|von|im|zu|que|del)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -102,13 +104,13 @@ BLANKS = re.compile(r"\s+")
 
 def is_filler(line: str) -> bool:
     """Pseudo-Latin: words of the well-known filler, without the small words of a language."""
-    hits = len(_LATIN.findall(line))
+    words = _WORD.findall(line.lower())
+    hits = sum(w in _LATIN for w in words)
     if not hits:
         return False
     if re.search(r"\blorem\b.{0,12}\b(?:ipsum|dolo)", line, re.I):
         return True
-    words = len(_WORD.findall(line))
-    return not _ENGLISH.search(line) and (hits >= 2 or hits * 4 >= words)
+    return not _ENGLISH.search(line) and (hits >= 2 or hits * 4 >= len(words))
 
 
 _seen: dict[str, bool] = {}
@@ -129,7 +131,7 @@ def is_message(line: str) -> bool:
 
 
 #: Without one of these no placeholder can be there.
-_SIGNS = ("{", "<%", "%%", "[[", "[I", "[Y", "[A", "[E", "[P", "[T", "[F", "[o", "[?", "__", "XX", "TK", "TODO", "FIXME", "@@", " here>", "&lt;%", "MISSING_")
+_SIGNS = ("{", "<%", "%%", "[[", "[INSERT", "[YOUR", "[ADD", "[ENTER", "[PLACEHOLDER", "[TBD", "[TODO", "[FIXME", "[object", "[???", "__", "XX", "TK", "TODO", "FIXME", "@@", " here>", "&lt;%", "MISSING_")
 
 
 def has_placeholder(text: str) -> bool:

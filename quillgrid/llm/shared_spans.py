@@ -149,7 +149,7 @@ def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text")
     """(id, record) of the records long enough to share a span: record is the least id with the same text."""
     long = documents.where(F.length(F.col(text)) >= MIN_SPAN).select(F.col(key).alias("id"), F.md5(F.col(text)).alias("text_key"), F.length(F.col(text)).alias("chars"))
     least = long.groupBy("text_key", "chars").agg(F.min("id").alias("record"))
-    return as_table(long.join(least, ["text_key", "chars"]).select("id", "record", "chars"), "text-classes")
+    return as_table(long.join(least, ["text_key", "chars"]).select("id", "record", "chars").distinct(), "text-classes")
 
 
 def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,7 +178,8 @@ def _holders(spans: DataFrame) -> DataFrame:
 def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id_a, doc_id_b): every two records that share a span of MIN_SPAN characters, a < b.
 
-    Null and shorter texts share nothing; records with equal texts share them whole.
+    Null and shorter texts share nothing; records with equal texts share them whole. Rows with a
+    repeated key count as one record.
     """
     classes = text_classes(documents, key, text)
     spans = long_windows(documents, classes, key, text)
@@ -189,7 +190,7 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     one, two = classes.select(F.col("record").alias("r"), F.col("id").alias("i")), classes.select(F.col("record").alias("s"), F.col("id").alias("j"))
     between = pairs.join(one, "r").join(two, "s").select(F.least("i", "j").alias("doc_id_a"), F.greatest("i", "j").alias("doc_id_b"))
     within = classes.alias("p").join(classes.alias("q"), "record").where("p.id < q.id").select(F.col("p.id").alias("doc_id_a"), F.col("q.id").alias("doc_id_b"))
-    return between.unionByName(within)
+    return between.unionByName(within).where("doc_id_a < doc_id_b").distinct()
 
 
 def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

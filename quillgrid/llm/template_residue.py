@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from quillgrid.llm.boilerplate import annotate
 from quillgrid.llm.furniture import has_message, squeeze
-from quillgrid.llm.residue import has_placeholder
+from quillgrid.llm.residue import has_placeholder, is_message
 from quillgrid.runtime import as_table
 
 #: A story of fewer words than this is low in information; below this overlap it does not match its address and title.
@@ -56,12 +56,12 @@ def is_residue(text: str | None) -> bool:
     return has_placeholder(text) or has_message(text.split("\n"))
 
 
-def _judge(lines: list[str], flags: list[bool], title: str | None, url: str | None) -> tuple:
+def _judge(lines: list[str], flags: list[bool], suspects: list[str], title: str | None, url: str | None) -> tuple:
     """(flagged by a detector, words of an unmatched low-information story or None)."""
     story = [x for x, bad in zip(lines, flags) if not bad and x.strip()]
     if not story:
         return False, None
-    if has_placeholder("\n".join(lines)) or has_message(story):
+    if has_placeholder("\n".join(lines)) or any(map(is_message, suspects)):
         return True, None
     if len(story) > 8 or any(squeeze(x).startswith("# ") for x in story):
         return False, None
@@ -82,7 +82,7 @@ def _notes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def residue_fields(articles: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown", notes: str = "analysis_notes", title: str = "title", url: str = "url") -> DataFrame:
     """(article_id, field_name): the fields to exclude. Null, empty and blank fields, and pages of nothing but furniture, are no case."""
     schema = T.StructType([T.StructField("detected", T.BooleanType()), T.StructField("words", T.ArrayType(T.StringType()))])
-    judged = annotate(articles, _judge, schema, key, host, text, (title, url))
+    judged = annotate(articles, _judge, schema, key, host, text, (title, url), suspects=True)
     judged = as_table(judged.where("detected or words is not null"), "judged")
     low = judged.where("words is not null").join(articles.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("host")), "page_id")
     each = low.select("page_id", "host", F.explode("words").alias("word"))

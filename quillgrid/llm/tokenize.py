@@ -113,14 +113,14 @@ def join_chunks(parts: list[str], ids: list[np.ndarray], ranks: str = RANKS) ->
 
 
 def corpus_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", ranks: str = RANKS) -> DataFrame:
-    """(doc_id, ids): a row for each row of ``documents``, which must have distinct keys; null or empty text: an empty list."""
+    """(doc_id, ids): a row for each distinct key and text; null or empty text: an empty list."""
     base = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(d, n, xxhash.xxh3_128_digest(c.encode("utf-8", "surrogatepass")), c) for d, t in zip(batch["doc_id"], batch["text"]) for n, c in enumerate(chunks(t))]
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "chunk", "part"])
+            rows = [(d, xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63), n, xxhash.xxh3_128_digest(c.encode("utf-8", "surrogatepass")), c) for d, t in zip(batch["doc_id"], batch["text"]) for n, c in enumerate(chunks(t))]
+            yield pd.DataFrame(rows, columns=["doc_id", "whole", "n", "chunk", "part"])
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, _ = encoding(ranks)
@@ -131,15 +131,15 @@ def corpus_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", ra
         for batch in batches:
             made = []
             for pieces in batch["pieces"]:
-                pieces = sorted(pieces, key=lambda x: x["n"])
+                pieces = [x for _, x in sorted({x["n"]: x for x in pieces}.items())]  # a repeated row gives its pieces again
                 made.append(join_chunks([x["part"] for x in pieces], [np.asarray(x["ids"], np.int64) for x in pieces], ranks).tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": made})
 
-    parts = as_table(base.where("text <> ''").mapInPandas(split, f"doc_id {kind}, n int, chunk binary, part string"), "chunks")
+    parts = as_table(base.where("text <> ''").mapInPandas(split, f"doc_id {kind}, whole long, n int, chunk binary, part string"), "chunks")
     once = parts.groupBy("chunk").agg(F.first("part").alias("part")).mapInPandas(encode, "chunk binary, part string, ids array<int>")
-    found = parts.select("doc_id", "n", "chunk").join(once, "chunk")
-    whole = found.groupBy("doc_id").agg(F.collect_list(F.struct("n", "part", "ids")).alias("pieces")).mapInPandas(mend, f"doc_id {kind}, ids array<int>")
-    blank = base.where("text is null or text = ''").select("doc_id", F.array().cast("array<int>").alias("ids"))
+    found = parts.select("doc_id", "whole", "n", "chunk").join(once, "chunk")
+    whole = found.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("n", "part", "ids")).alias("pieces")).select("doc_id", "pieces").mapInPandas(mend, f"doc_id {kind}, ids array<int>")
+    blank = base.where("text is null or text = ''").select("doc_id", F.array().cast("array<int>").alias("ids")).dropDuplicates(["doc_id"])
     return whole.unionByName(blank)
 
 

@@ -59,6 +59,8 @@ def test_corpus_ids(spark):
     got = {r.doc_id: r.ids for r in corpus_ids(documents(spark, texts)).collect()}
     assert got == {i: enc.encode_ordinary(t) if t else [] for i, t in enumerate(texts)}
     assert corpus_ids(documents(spark, texts).limit(0)).count() == 0
+    twice = documents(spark, texts).unionByName(documents(spark, texts))
+    assert sorted((r.doc_id, r.ids) for r in corpus_ids(twice).collect()) == sorted(got.items())
 
 
 def test_other_vocabulary(spark):
@@ -110,6 +112,8 @@ def test_spans_against_brute_force(spark):
     shared = {r.doc_id: (r.chars, r.shared_chars) for r in shared_amounts(documents(spark, texts)).collect()}
     assert shared == {i: (None if t is None else len(t), amounts[i]) for i, t in enumerate(texts)}
     assert span_pairs(documents(spark, texts).limit(0)).count() == 0
+    again = [tuple(r) for r in span_pairs(documents(spark, texts).unionByName(documents(spark, texts))).collect()]
+    assert sorted(again) == sorted(pairs)
 
 
 def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
