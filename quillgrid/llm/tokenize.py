@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +85,11 @@ def join_chunks(parts: list[str], ids: list[np.ndarray], ranks: str = RANKS) ->
     tokens = np.concatenate(ids)
     # where each token ends, and each character begins, in bytes
     ends = np.cumsum(size[tokens])
-    lengths = np.fromiter((len(c.encode("utf-8", "surrogatepass")) for c in text), np.int64, len(text)) if not text.isascii() else None
-    byte = np.arange(len(text) + 1) if lengths is None else np.concatenate([[0], np.cumsum(lengths)])
+    if text.isascii():
+        byte = np.arange(len(text) + 1)
+    else:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        byte = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
     starts = np.concatenate([[0], ends])
 
     def boundary(i: int) -> bool:
@@ -117,32 +121,53 @@ def corpus_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", ra
     base = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63), n, xxhash.xxh3_128_digest(c.encode("utf-8", "surrogatepass")), c) for d, t in zip(batch["doc_id"], batch["text"]) for n, c in enumerate(chunks(t))]
-            yield pd.DataFrame(rows, columns=["doc_id", "whole", "n", "chunk", "part"])
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            pieces, owner, number, whole, keys = [], [], [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                of_text = xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+                for n, c in enumerate(chunks(text)):
+                    owner.append(row)
+                    whole.append(of_text)
+                    number.append(n)
+                    pieces.append(c)
+                    keys.append(xxhash.xxh3_128_digest(c.encode()))
+            columns = [batch.column("doc_id").take(pa.array(owner, pa.int32())), pa.array(whole, pa.int64()), pa.array(number, pa.int32()), pa.array(keys, pa.binary()), pa.array(pieces, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "whole", "n", "chunk", "part"])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, _ = encoding(ranks)
         for batch in batches:
-            yield pd.DataFrame({"chunk": batch["chunk"], "part": batch["part"], "ids": [enc.encode_ordinary(x) for x in batch["part"]]})
+            ids = [enc.encode_ordinary(x) for x in batch.column("part").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), _lists(ids)], ["chunk", "part", "ids"])
 
-    def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            groups = batch.column("pieces")
+            ends, flat = groups.offsets.to_numpy(), groups.values
+            number, part, ids = flat.field("n").to_numpy(), flat.field("part").to_pylist(), flat.field("ids")
+            at, values = ids.offsets.to_numpy(), ids.values.to_numpy()
             made = []
-            for pieces in batch["pieces"]:
-                pieces = [x for _, x in sorted({x["n"]: x for x in pieces}.items())]  # a repeated row gives its pieces again
-                made.append(join_chunks([x["part"] for x in pieces], [np.asarray(x["ids"], np.int64) for x in pieces], ranks).tolist())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": made})
+            for x, y in zip(ends, ends[1:]):
+                order = np.unique(number[x:y], return_index=True)[1] + x  # by number; a repeated row gives its pieces again
+                made.append(join_chunks([part[i] for i in order], [values[at[i] : at[i + 1]].astype(np.int64) for i in order], ranks))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(made)], ["doc_id", "ids"])
 
-    parts = as_table(base.where("text <> ''").mapInPandas(split, f"doc_id {kind}, whole long, n int, chunk binary, part string"), "chunks")
-    once = parts.groupBy("chunk").agg(F.first("part").alias("part")).mapInPandas(encode, "chunk binary, part string, ids array<int>")
+    parts = as_table(base.where("text <> ''").mapInArrow(split, f"doc_id {kind}, whole long, n int, chunk binary, part string"), "chunks")
+    once = parts.groupBy("chunk").agg(F.first("part").alias("part")).mapInArrow(encode, "chunk binary, part string, ids array<int>")
     found = parts.select("doc_id", "whole", "n", "chunk").join(once, "chunk")
-    whole = found.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("n", "part", "ids")).alias("pieces")).select("doc_id", "pieces").mapInPandas(mend, f"doc_id {kind}, ids array<int>")
+    whole = found.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("n", "part", "ids")).alias("pieces")).select("doc_id", "pieces").mapInArrow(mend, f"doc_id {kind}, ids array<int>")
     blank = base.where("text is null or text = ''").select("doc_id", F.array().cast("array<int>").alias("ids")).dropDuplicates(["doc_id"])
     return whole.unionByName(blank)
 
 
+def _lists(rows: list) -> pa.Array:
+    """Rows of whole numbers as an Arrow array of int32 lists."""
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+    values = np.concatenate([np.asarray(x, np.int32) for x in rows]) if len(rows) else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+
+
 def token_counts(documents: DataFrame, text: str = "text", ranks: str = RANKS, name: str = "tokens") -> DataFrame:
     """The documents with a column of their length in tokens; 0 for null and empty texts."""
 
