@@ -31,11 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _local[app]
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a DataFrame to the shared folder and read it back."""
+def as_table(df: DataFrame, name: str, hashes: tuple[str, ...] = ()) -> DataFrame:
+    """Write a DataFrame to the shared folder and read it back. ``hashes``: columns of hashes, for which a dictionary is a waste."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgrid/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "lz4").parquet(path)
+    writer = df.write.option("compression", "lz4")
+    for column in hashes:
+        writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
+    writer.parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
