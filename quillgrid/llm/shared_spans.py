@@ -154,18 +154,19 @@ def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
 def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(record, at, x, y, first): the windows of MIN_SPAN characters that may stand in two records, as a table; first: the first such window of its piece of the record."""
-    heads = classes.where("id = record").select(F.col("record").alias("head"))
+    # copies are few beside the texts: taking them out leaves the texts where they are, unless there are many
+    copies = as_table(classes.where("id <> record").select(F.col("id").alias("copy")), "copies")
     texts = documents.where(F.length(F.col(text)) >= MIN_SPAN).select(F.col(key).alias("record"), F.col(text).alias("text"))
-    texts = texts.join(heads, texts["record"] == heads["head"], "left_semi").dropDuplicates(["record"])
+    texts = texts.join(copies, texts["record"] == copies["copy"], "left_anti")
     kind = texts.schema["record"].dataType.simpleString()
     schema = f"record {kind}, at int, " + ", ".join(f"h{i} long" for i in range(LEVELS))
-    alive = as_table(texts.mapInPandas(_anchor_rows, schema), "windows")
+    alive = as_table(texts.mapInPandas(_anchor_rows, schema), "windows", tuple(f"h{i}" for i in range(LEVELS)))
     for level in range(LEVELS):  # windows that stand in one record only end here; the others double
         h = f"h{level}"
         twice = alive.groupBy(h).agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select(h)
         alive = as_table(alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + 1, LEVELS)]), "windows")
     living = alive.groupBy("record").agg(F.collect_list("at").alias("alive"))
-    return as_table(texts.join(living, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans")
+    return as_table(texts.join(living, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans", ("x", "y"))
 
 
 def _holders(spans: DataFrame) -> DataFrame:
@@ -196,7 +197,8 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
 def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, chars, shared_chars, shared_share): how much of each record stands in another one, a row for each record.
 
-    Null text: null chars and nothing shared.
+    Null text: null chars and nothing shared. Rows with a repeated key should have the same text;
+    they are reported as often as they come.
     """
     classes = text_classes(documents, key, text)
     spans = long_windows(documents, classes, key, text)
