@@ -327,6 +327,8 @@ def similar_cores(cores: DataFrame, edits: Callable[[int], int] = allowed) -> Da
 
         return cores.mapInPandas(run, "block string, core string, k string").select("block", "core", F.xxhash64("block", "k").alias("k"))
 
+    # each core makes dozens of keys, so the cores are spread out first, however few bytes they are
+    cores = cores.repartition(int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     index = keys(index_keys).withColumnRenamed("core", "other").withColumnRenamed("block", "block2")
     near = keys(probe_keys).join(index, "k").where("block = block2 and core <> other and (length(core) > length(other) or core > other)").select("block", "core", "other").distinct()
 
