@@ -15,6 +15,11 @@ _TODAY = "2026-04-10"
 _DATE = "make_timestamp(epoch_us({}))::date::varchar"
 
 
+def _at(micros: int):
+    """An instant as a literal, so that comparisons with it reach the scan."""
+    return F.timestamp_micros(F.lit(micros))
+
+
 def _day(c: str):
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -75,7 +80,7 @@ def score_histogram(spark: SparkSession, d: str) -> DataFrame:
 )
 def run_health(spark: SparkSession, d: str) -> DataFrame:
     runs = table(spark, d, "crawl_runs")
-    recent = runs.where(F.unix_micros("started_at") >= NOW_MICROS - 90 * _DAY_US).agg(F.round(F.try_divide(100.0 * F.count_if(F.col("status") == "success"), F.count(F.lit(1))), 4).alias("success_rate"), F.sum("error_count").alias("errors"))
+    recent = runs.where(F.col("started_at") >= _at(NOW_MICROS - 90 * _DAY_US)).agg(F.round(F.try_divide(100.0 * F.count_if(F.col("status") == "success"), F.count(F.lit(1))), 4).alias("success_rate"), F.sum("error_count").alias("errors"))
     last = runs.orderBy(F.desc("started_at"), "id").limit(7).agg(F.round(F.avg("article_count"), 4).alias("avg_articles"))
     return recent.crossJoin(last)
 
@@ -104,8 +109,7 @@ def source_coverage(spark: SparkSession, d: str) -> DataFrame:
 )
 def feed_filter_page(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "articles")
-    at = F.unix_micros("created_at")
-    kept = a.where(at.between(NOW_MICROS - 200 * _DAY_US, NOW_MICROS) & F.col("priority_level").isin("high", "medium") & (F.col("status") == "analyzed")).where(
+    kept = a.where(F.col("created_at").between(_at(NOW_MICROS - 200 * _DAY_US), _at(NOW_MICROS)) & F.col("priority_level").isin("high", "medium") & (F.col("status") == "analyzed")).where(
         F.arrays_overlap("topic_tags", F.array(F.lit("Oncology"), F.lit("M&A"), F.lit("Funding"))) & (F.col("title").ilike("%reports%") | F.col("title").ilike("%delays%"))
     )
     return kept.orderBy(F.desc("created_at"), "id").offset(5).limit(25).select("id")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quillgrid.functions.entity import priority_rank
 from quillgrid.functions.url import normalize_url
@@ -29,10 +28,11 @@ def enabled_sources(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sources").where("enabled").select("id", "name", "source_type", "extraction_mode")
 
 
-@query("select id, name, priority, row_number() over (partition by source_id order by case priority when 'high' then 3 when 'low' then 1 else 2 end desc, name, id) as n from source_category_targets where enabled")
+@query("select id, source_id, name, priority from source_category_targets where enabled")
 def category_targets(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("source_id").orderBy(priority_rank(F.col("priority")).desc(), "name", "id")
-    return table(spark, d, "source_category_targets").where("enabled").select("id", "name", "priority", F.row_number().over(w).alias("n"))
+    """Of each source, high priority first, then by name: one range-partitioned sort for all sources."""
+    t = table(spark, d, "source_category_targets").where("enabled")
+    return t.orderBy("source_id", priority_rank(F.col("priority")).desc(), "name", "id").select("id", "source_id", "name", "priority")
 
 
 _REFRESH = f"""f as (select a.id, a.url, a.normalized_url, s.id as source_id, s.refresh_enabled, s.refresh_window_days as win, s.refresh_cadence_hours as cad, epoch_us(a.created_at) as born, epoch_us(a.last_scraped_at) as sc from articles a join sources s on s.id = a.source_id),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quillgrid.functions.entity import fingerprint, invalidation, tags_of
 from quillgrid.functions.text import prompt
-from quillgrid.operators.graph import top_per_key
 from quillgrid.operators.runs import answer_status, ask_model, delivery_log, digest_markdown, finish_run, patch_targets, request_json, run_totals
 from quillgrid.operators.warehouse import cascade_delete, deletable
 from quillgrid.plans.registry import NOW, NOW_MICROS, query
@@ -30,10 +29,10 @@ def state_read(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sources").join(state, F.col("id") == F.col("source_id"), "left").select("id", "name", "cursor_type", F.coalesce("error_count", F.lit(0)).alias("error_count"))
 
 
-@query("select id, canonical_name, row_number() over (partition by entity_type order by created_at, id) as n from entities where canonical_name is not null")
+@query("select id, canonical_name from entities where canonical_name is not null")
 def named_entities(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "entities").where("canonical_name is not null")
-    return top_per_key(e, "entity_type", 2**31 - 1, F.col("created_at"), F.col("id")).select("id", "canonical_name", F.col("rank").alias("n"))
+    """In order of creation: a range-partitioned sort, not a rank."""
+    return table(spark, d, "entities").where("canonical_name is not null").orderBy("created_at", "id").select("id", "canonical_name")
 
 
 _WRITTEN = "w as (select crawl_run_id, case when status = 'error' then 'failed' when discovery_method = 'rss' then 'refreshed_changed' else 'inserted' end as disposition, case when status = 'error' then 1 else 0 end as ae, case when status = 'paywalled' then 1 end as le from articles), t as (select crawl_run_id, count(*) filter (where disposition <> 'failed') as articles, sum(ae + coalesce(le, 0))::bigint as errors from w group by 1)"
