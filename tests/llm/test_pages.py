@@ -145,9 +145,9 @@ def test_hot_shard_is_cut_into_blocks(spark, monkeypatch):
         w[rng.randrange(10, len(w))] = f"odd{i}"
         rows.append({"id": f"{i:02d}", "source_id": "s", "raw_markdown": " ".join(w)})
     df = articles(spark, rows)
-    whole = {tuple(sorted((r.story_a, r.story_b))) for r in similar_stories(story_sketches(df)).collect()}
+    whole = {tuple(sorted((bytes(r.story_a), bytes(r.story_b)))) for r in similar_stories(story_sketches(df)).collect()}
     monkeypatch.setattr(nd, "BLOCK", 7)
-    cut = {tuple(sorted((r.story_a, r.story_b))) for r in similar_stories(story_sketches(df)).collect()}
+    cut = {tuple(sorted((bytes(r.story_a), bytes(r.story_b)))) for r in similar_stories(story_sketches(df)).collect()}
     assert whole == cut and len(whole) == 60 * 59 // 2
 
 
