@@ -20,7 +20,7 @@ import re
 from bisect import bisect_right
 from itertools import accumulate
 
-from quillgrid.llm.residue import MESSAGE_KEYS, is_message
+from quillgrid.llm.residue import MESSAGE_KEYS, STEMS, is_filler, is_message
 
 LIST_ITEM = re.compile(r"^(?:[*\-+•]|\d{1,2}[.)])\s+\S")
 
@@ -166,19 +166,19 @@ def is_form(line: str) -> bool:
     return known
 
 
-_FORMED, _TOLD = 1, 2
+_FORMED, _TOLD, _LATIN = 1, 2, 4
 _machine = None
 
 
 def _words():
-    """One automaton over both word lists; each word carries the lists that it is in."""
+    """One automaton over the word lists; each word carries the lists that it is in."""
     global _machine
     if _machine is None:
         import ahocorasick
 
         machine = ahocorasick.Automaton()
-        for key in {*KEYS, *MESSAGE_KEYS}:
-            machine.add_word(key, _FORMED * (key in KEYS) | _TOLD * (key in MESSAGE_KEYS))
+        for key in {*KEYS, *MESSAGE_KEYS, *STEMS}:
+            machine.add_word(key, _FORMED * (key in KEYS) | _TOLD * (key in MESSAGE_KEYS) | _LATIN * (key in STEMS))
         machine.make_automaton()
         _machine = machine
     return _machine
@@ -198,7 +198,7 @@ def has_message(lines: list[str]) -> bool:
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
     held = hits("\n".join(lows), [0, *accumulate(len(x) + 1 for x in lows)][:-1])
-    return any(x and (len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) for i, x in enumerate(lines))
+    return any(x and ((len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) or held.get(i, 0) & _LATIN and is_filler(x)) for i, x in enumerate(lines))
 
 
 def furniture_flags(lines: list[str], recurring: list[bool] | None = None) -> list[bool]:
@@ -239,5 +239,5 @@ def page_flags(lines: list[str], recurring: list[bool] | None = None) -> tuple[l
             continue
         if (recurring and recurring[i]) or ((short or held.get(i, 0) & _FORMED) and is_form(line)):
             out[i] = not ((short or held.get(i, 0) & _TOLD) and is_message(line))
-    suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held.get(i, 0) & _TOLD)]
+    suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held.get(i, 0) & (_TOLD | _LATIN))]
     return out, suspects

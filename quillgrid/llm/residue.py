@@ -7,7 +7,7 @@ Detectors of three kinds:
 * ``MESSAGE``: a line that *is* a message of a failed, missing, blocked or checked page or a notice
   that scripts are needed; it must begin and end like one, so that a sentence of a story that
   speaks of denied access, outages or JavaScript does not match.
-* filler: pseudo-Latin, found by its words.
+* filler: pseudo-Latin, found by the beginnings of its words.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ UNRENDERED = re.compile(r"^\W*(?:(?:undefined|null|nan|none|n/a|nil)\b[\W_]*){1,
 INSTRUCTION = re.compile(r"^(?:write|insert|add|enter|put|describe|replace|type)\b.{0,80}(?:<[^<>]{1,60}>.{0,20}\bhere\b|\bhere\b\W*$)", re.I)
 
 _WHAT = r"(?:the |this |its |our |your |that )?"
+#: So many of the patterns are notices that scripts are needed.
+_SCRIPTS = 7
 _MESSAGES = [
     # scripts
     r"(?:please |you (?:need|have) to |to [^.]{3,80}, (?:please )?|kindly )?(?:enable|turn on|activate|allow|switch on) java ?script\b.*",
@@ -78,6 +80,7 @@ _MESSAGES = [
     # place holders in words
     r"(?:(?:this is (?:a |some )?)?(?:placeholder|dummy|sample|filler|test) (?:text|content|copy|headline|title|page|article|paragraph|post)|content goes here|text goes here|coming soon|under construction|untitled(?: document)?|default (?:title|text)|your (?:text|title|content) (?:goes )?here|hello world!?|example (?:page|text|title))\b.{0,60}",
 ]
+SCRIPTS = re.compile("^(?:" + "|".join(f"(?:{x})" for x in _MESSAGES[:_SCRIPTS]) + ")$", re.I | re.S)
 MESSAGE = re.compile("^(?:" + "|".join(f"(?:{x})" for x in _MESSAGES) + ")$", re.I | re.S)
 #: A line that is no short one can only be a message if it holds one of these (in lower case).
 MESSAGE_KEYS = (
@@ -85,37 +88,40 @@ MESSAGE_KEYS = (
     "maintenance", "<!doctype", "<html", "<title", "<noscript", "<body", "captcha", "please wait", "loading", "timed out", "refused", "ip logged", "was logged", "ray id", "reference",
     "no longer", "not exist", "t exist", "removed", "moved", "try again", "wrong", "oops", "sorry", "placeholder", "goes here", "permission", "gateway", "traffic", "rate limit",
     "cookies", "incident", "expired", "redirect", "unable", "could not", "couldn", "can't find", "nicht gefunden", "introuvable", "no encontrada", "checking", "verif",
-    "security", "offline", "reload", "undefined", "null", "nan", " here", "lorem", "ipsum", "ornare", "aliqua", "tempori", "egestor", "deseri", "ploret", "dolor", "consect", "miratus", "undique", "vernat", "quister", "amentis", "excer", "the requested", "from ",
+    "security", "offline", "reload", "undefined", "null", "nan", " here", "the requested", "from ",
 )
 
-#: Words that only filler has; two of them in a short line, or a fifth of a longer one, make filler.
-_LATIN = frozenset(
-    (
-        "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore aliqua minim veniam nostrud exercitation ullamco laboris nisi aliquip commodo consequat "
-        "duis aute irure reprehenderit voluptate velit cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit laborum praesent vestibulum "
-        "curabitur pellentesque maecenas suspendisse phasellus donec etiam vivamus aenean quisque morbi tempori vernat nontra egestor cupidam amentis excer deseri ploret belit fugor "
-        "quister tinci ullat vitum lacum praes miratus undique voluptam dolo ornare lectus lacus augue sapien turpis ligula mauris"
-    ).split()
-)
-_ENGLISH = re.compile(r"\b(?:the|of|and|to|in|for|is|was|with|that|by|der|die|das|und|le|la|les|des|el|los|en|de|une?|von|im|zu|que|del)\b", re.I)
+# The words of the printers' filler text and of the passages that generators add to it.
+_LATIN = (
+    "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore dolore magna aliqua minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat"
+    " duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum"
+    " pellentesque habitant morbi tristique senectus netus malesuada fames turpis egestas vestibulum tortor quam feugiat vitae ultricies eget donec mauris placerat eleifend leo"
+    " praesent dapibus neque cursus faucibus urna venenatis luctus ornare aliquam tincidunt curabitur maecenas suspendisse phasellus etiam vivamus aenean quisque lacus augue sapien ligula"
+).split()
+#: Filler is often garbled, so words count by their first letters.
+STEM = 5
+STEMS = frozenset(w[:STEM] for w in _LATIN if len(w) >= STEM)
+_FUNCTION = re.compile(r"\b(?:the|of|and|to|in|for|is|was|with|that|by|der|die|das|und|le|la|les|des|el|los|en|de|une?|von|im|zu|que|del)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 BLANKS = re.compile(r"\s+")
 
 
 def is_filler(line: str) -> bool:
-    """Pseudo-Latin: words of the well-known filler, without the small words of a language."""
+    """Pseudo-Latin: two words or more, and a fifth of all, begin like those of the filler, and no small word of a language stands between them."""
     words = _WORD.findall(line.lower())
-    hits = sum(w in _LATIN for w in words)
-    if not hits:
-        return False
-    if re.search(r"\blorem\b.{0,12}\b(?:ipsum|dolo)", line, re.I):
-        return True
-    return not _ENGLISH.search(line) and (hits >= 2 or hits * 4 >= len(words))
+    hits = sum(w[:STEM] in STEMS for w in words)
+    return hits >= 2 and hits * 5 >= len(words) and ("lorem" in words or not _FUNCTION.search(line))
 
 
 _seen: dict[str, bool] = {}
 
 
+def is_script_notice(line: str) -> bool:
+    """Is a whole line a notice that scripts are needed?"""
+    line = BLANKS.sub(" ", line).strip()
+    return "script" in line.lower() and bool(SCRIPTS.match(line) or SCRIPTS.match(line.strip("#*_> -\"'")))
+
+
 def is_message(line: str) -> bool:
     """Is a whole line a message, filler or unrendered value that stands in place of a story?"""
     line = BLANKS.sub(" ", line).strip()
