@@ -11,5 +11,10 @@ ORACLES: dict[str, str] = {
     "p2_body": f"with {_LINES}, o as (select source_id, normal from n group by all having count(distinct id) >= 8), bad as (select n.id, n.line_no from n join o on o.source_id = n.source_id and o.normal = n.normal),"
     " kept as (select l.id, string_agg(l.raw, chr(10) order by l.line_no) as body from l where not exists (select 1 from bad where bad.id = l.id and bad.line_no = l.line_no) group by 1)"
     " select a.id as article_id, case when a.raw_markdown is null then null else coalesce(k.body, case when a.source_id is null then a.raw_markdown else '' end) end as body from articles a left join kept k on k.id = a.id",
+    "p2_rebuilt": f"with {_LINES}, y as (select id, coalesce(year(created_at), 0) as y from articles), m as (select max(y) as y from y),"
+    " c as (select source_id, normal, count(distinct id) as n, count(distinct id) filter (where y.y < m.y) as old from n join y using (id) cross join m group by all),"
+    " o as (select source_id, normal, old < 8 as crossed from c where n >= 8), bad as (select n.id, n.line_no, o.crossed from n join o on o.source_id = n.source_id and o.normal = n.normal),"
+    " changed as (select bad.id from bad join y using (id) cross join m group by bad.id having bool_or(bad.crossed or y.y = m.y))"
+    " select l.id as article_id, coalesce(string_agg(l.raw, chr(10) order by l.line_no) filter (where not exists (select 1 from bad where bad.id = l.id and bad.line_no = l.line_no)), '') as body from l join changed using (id) group by 1",
     "p8_sources": "select source, count(*) as records, count(*) filter (where coalesce(text, '') <> '') as with_text, sum(length(text))::bigint as chars from documents where source in (select source from mixture_targets) group by 1",
 }

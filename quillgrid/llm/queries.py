@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.llm import boilerplate, mixture, names, near_duplicates, repeated_lines, shared_spans, template_residue, tokenize
-from quillgrid.runtime import table
+from quillgrid.runtime import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,18 +28,25 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.story_groups(table(spark, d, "articles"))
 
 
+def _line_store(spark: SparkSession, d: str) -> repeated_lines.LineStore:
+    """The articles merged year by year."""
+    return repeated_lines.merged_store(table(spark, d, "articles"), F.year("created_at"), scratch(spark, "lines"))
+
+
 @query
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    articles = table(spark, d, "articles")
-    newest = F.col("created_at") >= F.lit("2026-01-01").cast("timestamp")
-    return repeated_lines.excess_lines(articles, newest)
+    return _line_store(spark, d).repeated().withColumnRenamed("document", "article_id")
 
 
 @query
 def p2_body(spark: SparkSession, d: str) -> DataFrame:
-    articles = table(spark, d, "articles")
-    state = repeated_lines.merge_counts(None, repeated_lines.count_lines(articles))
-    return repeated_lines.rebuild(articles, state, only_crossed=False).select(F.col("document").alias("article_id"), "body")
+    return repeated_lines.bodies(table(spark, d, "articles"), _line_store(spark, d).repeated()).withColumnRenamed("document", "article_id")
+
+
+@query
+def p2_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    store = _line_store(spark, d)
+    return store.rebuilt(table(spark, d, "articles"), store.batches()[-1]).withColumnRenamed("document", "article_id")
 
 
 @query

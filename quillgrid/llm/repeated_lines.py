@@ -1,11 +1,17 @@
 """Problem 2: lines repeated across one site's documents, by incremental line-count tables.
 
-State: one row (source, line, n) for each line that a source has shown, where n counts documents.
-A new partition of documents brings a delta of the same shape (counted with a map-side combine);
-merging adds the counts, so no old document is read again. A line *crosses* when its count reaches
-the threshold in this merge. Only documents that contain a newly crossed line change, so only they
-are rebuilt: those of the new partition, and older ones found through the postings of the crossed
-lines.
+A :class:`LineStore` is a folder with three tables, each a partition for each batch of documents
+merged so far; a merge appends its own partitions and rewrites none:
+
+* ``lines``: the postings, a row for each document with the hashes of its lines in order;
+* ``counts``: the delta, a row for each (source, line) of the batch with the number of its documents;
+* ``crossed``: the lines whose count, over all batches, reached the threshold in this merge. A line
+  crosses once, so the lines over the threshold are simply all rows of this table.
+
+A merge reads no text but that of its own batch. A crossing concerns two kinds of documents: those of
+the new batch that hold a line over the threshold, whenever it crossed, and older ones that hold a
+newly crossed line, which their postings tell. Only these are rebuilt. A merge that was cut short
+may be run again; it replaces its own partitions.
 
 A line is known by a 64-bit hash of its normal form (blanks collapsed, case ignored, each run of
 digits one mark) within its source, so no text is shuffled. A source that holds a third of the
@@ -16,10 +22,11 @@ side being small.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from functools import reduce
 
-from quillgrid.runtime import as_table
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 8
 _KEYS = ["source", "line"]
@@ -32,64 +39,104 @@ def line_keys(text: Column, min_chars: int = MIN_CHARS) -> Column:
     return F.zip_with(F.split(flat, "\n"), F.split(normal, "\n"), lambda x, y: F.when(F.length(F.trim(x)) >= min_chars, F.xxhash64(F.trim(y))))
 
 
-def _documents(documents: DataFrame, key: str, source: str, text: str, min_chars: int, newest: Column | None = None) -> DataFrame:
-    usable = documents.where(F.col(text).isNotNull() & F.col(source).isNotNull())
-    return usable.select(F.col(key).alias("document"), F.col(source).alias("source"), line_keys(F.col(text), min_chars).alias("lines"), F.coalesce(newest if newest is not None else F.lit(True), F.lit(False)).alias("newest"))
-
-
-def count_lines(documents: DataFrame, key: str = "id", source: str = "source_id", text: str = "raw_markdown", min_chars: int = MIN_CHARS) -> DataFrame:
-    """The delta of a partition: (source, line, n), n the number of its documents with the line."""
-    return _tally(_documents(documents, key, source, text, min_chars)).select(*_KEYS, F.col("n_new").alias("n"))
-
-
-def _tally(documents: DataFrame) -> DataFrame:
-    each = documents.select("source", "newest", F.explode(F.array_distinct("lines")).alias("line")).where("line is not null")
-    return each.groupBy(*_KEYS).agg(F.count_if(~F.col("newest")).alias("n_old"), F.count_if("newest").alias("n_new"))
-
+def _postings(lines: DataFrame, over: DataFrame) -> DataFrame:
+    """(document, line_no) of the lines in ``over``."""
+    found = lines.select("document", "source", F.posexplode("lines").alias("at", "line")).where("line is not null")
+    return found.join(over, _KEYS).select("document", (F.col("at") + 1).cast("int").alias("line_no"))
 
-def _merged(both: DataFrame, threshold: int) -> DataFrame:
-    n = F.col("n_old") + F.col("n_new")
-    return both.select(*_KEYS, n.alias("n"), ((F.col("n_old") < threshold) & (n >= threshold)).alias("crossed"))
 
+class LineStore:
+    """The maintained state of one collection, below ``path``. Batches are whole numbers, merged in rising order.
 
-def merge_counts(state: DataFrame | None, delta: DataFrame, threshold: int = MIN_DOCUMENTS) -> DataFrame:
-    """The new state (source, line, n) with ``crossed``: whether a line reached the threshold in this merge."""
-    both = delta.select(*_KEYS, F.lit(0).cast("long").alias("n_old"), F.col("n").alias("n_new"))
-    if state is not None:
-        both = both.unionByName(state.select(*_KEYS, F.col("n").alias("n_old"), F.lit(0).cast("long").alias("n_new")))
-        both = both.groupBy(*_KEYS).agg(F.sum("n_old").alias("n_old"), F.sum("n_new").alias("n_new"))
-    return _merged(both, threshold)
-
-
-def postings(documents: DataFrame, over: DataFrame) -> DataFrame:
-    """(document, line_no, ...) of the lines in ``over``."""
-    found = documents.select("document", "source", F.posexplode("lines").alias("at", "line")).where("line is not null")
-    return found.join(over, _KEYS).select("document", (F.col("at") + 1).cast("int").alias("line_no"), *[c for c in over.columns if c not in _KEYS])
-
-
-def rebuild(documents: DataFrame, state: DataFrame, key: str = "id", source: str = "source_id", text: str = "raw_markdown", only_crossed: bool = True, threshold: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(document, body): documents without their repeated lines.
-
-    With ``only_crossed`` just the documents that hold a line that crossed in the last merge, else
-    all of them (null text: null body).
+    Each row of a batch is a document. Documents of null texts or null sources have no lines.
     """
-    over = state.where(F.col("n") >= threshold).select(*_KEYS, "crossed")
-    bad = postings(_documents(documents, key, source, text, min_chars), over).groupBy("document").agg(F.collect_set("line_no").alias("bad"), F.max("crossed").alias("crossed"))
-    joined = documents.select(F.col(key).alias("document"), F.col(text).alias("text")).join(bad, "document", "left")
-    if only_crossed:
-        joined = joined.where("crossed")
-    gone = F.coalesce("bad", F.array().cast("array<int>"))
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains(gone, i + 1), x)), lambda x: x.isNotNull())
+
+    def __init__(self, spark: SparkSession, path: str, threshold: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS):
+        self.spark, self.path, self.threshold, self.min_chars = spark, path.rstrip("/"), threshold, min_chars
+
+    def batches(self) -> list[int]:
+        """The batches merged so far, read from the folder."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/crossed")
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch=") and fs.exists(done(f"{self.path}/crossed/{n}/_SUCCESS")))
+
+    def _write(self, table: DataFrame, name: str, batch: int) -> None:
+        table.write.mode("overwrite").option("compression", "lz4").parquet(f"{self.path}/{name}/batch={batch}")
+
+    def _read(self, name: str, batches: list[int], schema: str | T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}/batch={b}" for b in batches]) if batches else self.spark.createDataFrame([], schema)
+
+    def lines(self, batches: list[int]) -> DataFrame:
+        return self._read("lines", batches, self.spark.read.parquet(f"{self.path}/lines/batch={self.batches()[0]}").schema)
+
+    def counts(self, batches: list[int]) -> DataFrame:
+        return self._read("counts", batches, "source string, line long, n long")
+
+    def crossed(self, batches: list[int]) -> DataFrame:
+        return self._read("crossed", batches, "source string, line long")
+
+    def merge(self, documents: DataFrame, batch: int, key: str = "id", source: str = "source_id", text: str = "raw_markdown") -> None:
+        """Add a batch of documents: write its postings, its delta, and the lines that cross by it."""
+        before = [b for b in self.batches() if b != batch]
+        if before and before[-1] > batch:
+            raise ValueError(f"batch {before[-1]} was merged before batch {batch}")
+        usable = documents.where(F.col(text).isNotNull() & F.col(source).isNotNull())
+        self._write(usable.select(F.col(key).alias("document"), F.col(source).cast("string").alias("source"), line_keys(F.col(text), self.min_chars).alias("lines")), "lines", batch)
+        lines = self.spark.read.parquet(f"{self.path}/lines/batch={batch}")
+        each = lines.select("source", F.explode(F.array_distinct("lines")).alias("line")).where("line is not null")
+        self._write(each.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n")), "counts", batch)
+        zero = F.lit(0).cast("long")
+        both = self.counts([batch]).select(*_KEYS, zero.alias("n_old"), F.col("n").alias("n_new"))
+        if before:
+            both = both.unionByName(self.counts(before).select(*_KEYS, F.col("n").alias("n_old"), zero.alias("n_new")))
+            both = both.groupBy(*_KEYS).agg(F.sum("n_old").alias("n_old"), F.sum("n_new").alias("n_new"))
+        crosses = (F.col("n_old") < self.threshold) & (F.col("n_old") + F.col("n_new") >= self.threshold)
+        self._write(both.where(crosses).select(*_KEYS), "crossed", batch)
+
+    def found(self, batch: int) -> DataFrame:
+        """(document, line_no): what the merge of a batch adds to the repeated lines.
+
+        Of its own documents every line over the threshold by then, of older ones the lines that
+        crossed in this merge. Over all batches each repeated line comes once.
+        """
+        upto = [b for b in self.batches() if b <= batch]
+        own = _postings(self.lines([batch]), self.crossed(upto))
+        return own.unionByName(_postings(self.lines(upto[:-1]), self.crossed([batch]))) if upto[:-1] else own
+
+    def repeated(self) -> DataFrame:
+        """(document, line_no) of all batches, from the parts that the merges added."""
+        return reduce(DataFrame.unionByName, [self.found(b) for b in self.batches()])
+
+    def rebuilt(self, documents: DataFrame, batch: int, key: str = "id", text: str = "raw_markdown") -> DataFrame:
+        """(document, body): the documents whose body changes by the merge of a batch, without all their repeated lines.
+
+        ``documents`` must hold the documents of all batches so far; those that do not change are not rebuilt.
+        """
+        upto = [b for b in self.batches() if b <= batch]
+        changed = self.found(batch).select("document").distinct()
+        bad = _postings(self.lines(upto).join(changed, "document", "left_semi"), self.crossed(upto))
+        return _without(documents, bad, key, text, "inner")
+
+
+def _without(documents: DataFrame, bad: DataFrame, key: str, text: str, how: str) -> DataFrame:
+    gone = bad.groupBy("document").agg(F.collect_set("line_no").alias("bad"))
+    joined = documents.select(F.col(key).alias("document"), F.col(text).alias("text")).join(gone, "document", how)
+    none = F.coalesce("bad", F.array().cast("array<int>"))
+    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains(none, i + 1), x)), lambda x: x.isNotNull())
     return joined.select("document", F.when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias("body"))
 
 
-def excess_lines(documents: DataFrame, newest: Column, key: str = "id", source: str = "source_id", text: str = "raw_markdown", threshold: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(article_id, line_no): every line that is repeated within its source once the partitions are merged.
+def bodies(documents: DataFrame, repeated: DataFrame, key: str = "id", text: str = "raw_markdown") -> DataFrame:
+    """(document, body): every document without its repeated lines (null text: null body). repeated: (document, line_no)."""
+    return _without(documents, repeated, key, text, "left")
 
-    ``newest`` is true for the documents of the newest partition (null counts as false): the others
-    make the state, it makes the delta, and one pass counts both. The result does not depend on it.
-    Each row is a document. Lines of null texts or null sources are no case.
-    """
-    both = _documents(documents, key, source, text, min_chars, newest)
-    over = as_table(_merged(_tally(both), threshold).where(F.col("n") >= threshold).select(*_KEYS), "repeated")
-    return postings(both, over).select(F.col("document").alias("article_id"), "line_no")
+
+def merged_store(documents: DataFrame, batch: Column, path: str, key: str = "id", source: str = "source_id", text: str = "raw_markdown", threshold: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS) -> LineStore:
+    """A store into which a table was merged batch by batch. ``batch``: the number of each document's batch, null counts as 0; there must be few batches."""
+    store = LineStore(documents.sparkSession, path, threshold, min_chars)
+    number = F.coalesce(batch.cast("int"), F.lit(0))
+    for (b,) in documents.select(number.alias("b")).distinct().orderBy("b").collect() or [(0,)]:
+        store.merge(documents.where(number == b), b, key, source, text)
+    return store
