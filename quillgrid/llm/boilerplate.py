@@ -1,16 +1,23 @@
 """Problem 6: main content of pages, by removal of site templates.
 
-Method: *site template removal*. Each page is split into elements (lines, and the subtrees that a
-section label owns). The template hash of each element is counted per host in Spark; an element
-whose hash recurs on many pages of its host is deleted with its subtree. Elements of the page whose
-text differs from page to page (bylines, reader comments, read-next links ...) carry no recurring
-hash; they are recognised by their form (:mod:`quillgrid.llm.furniture`).
+Method: *site template removal*. A page is an element tree: its blocks are lines (headings, labels,
+paragraphs, items), and a line that is followed by list items owns them. Each element is hashed with
+its *slots* left out: what a template fills anew on every page, that is runs of digits, links within
+the site, hash tags and the tail of a breadcrumb; and a list below a label is a slot of the label's
+subtree. The hashes are counted per host in Spark. An element whose hash recurs on ``MIN_PAGES``
+pages of its host is deleted; where nine in ten of a recurring element's pages show it with a list
+below, the whole subtree is deleted, whatever the items say. The threshold is a number of pages
+and the same for hosts of any size; versions of one story within a host stay under it.
+
+Free text that the page wraps around the story and words anew each time (reader comments,
+advertisements, event notes) has no recurring hash of any kind; such elements are recognised by
+their form (:mod:`quillgrid.llm.furniture`), which ``forms=False`` switches off.
 
 Plan: one scan hashes the lines in the JVM and counts (host, hash) with a map-side combine; the
-hashes above the threshold are written as one small row per host. A host has at most
-``lines per page / MIN_SHARE`` of them, so that row is bounded by the pages' length, not by their
-number. A second scan joins it to the pages by host: Catalyst broadcasts the table when its file
-size is under the session's threshold and shuffles otherwise, where AQE splits a hot host.
+hashes above the threshold are written as one small row per host. A host has at most as many of them
+as its pages together have lines per ``MIN_PAGES`` pages; what a site repeats is its template, which
+is small. A second scan joins that row to the pages by host: Catalyst broadcasts the table when its
+file size is under the session's threshold and shuffles otherwise, where AQE splits a hot host.
 """
 
 from __future__ import annotations
@@ -25,37 +32,50 @@ from pyspark.sql import types as T
 from quillgrid.llm.furniture import page_flags
 from quillgrid.runtime import as_table
 
-#: A template is on at least this many pages of its host, and on at least this share of them.
-MIN_PAGES, MIN_SHARE = 8, 0.02
+#: A template is on at least this many pages of its host.
+MIN_PAGES = 8
+#: The share of the pages with an element that must show it with a list below, for the list to belong to it.
+OWNS = 0.9
 
+_SITE_LINK = r"\[[^\]\n]*\]\((?:/|#|\?|mailto:)[^)\n]*\)"
+_CRUMBS = r"(\S) (>|/|»|›|→|::) .*"
+#: Ends a line that is followed by a list item.
+_MARK = "\u0001"
+_BELOW = r"\n(?=\s*(?:[*+•-]|9[.)]) \S)"
 
-def line_hashes(text: Column) -> Column:
-    """xxhash64 of each line, ignoring case and blanks and taking each run of digits as one mark; 0 for blank lines."""
+
+def _lines(text: Column) -> Column:
+    """The lines in lower case with single blanks and one mark for each run of digits; those with a list item below end with a mark."""
     flat = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]+", "9"), "[ \t\r]+", " ")
-    return F.transform(F.split(flat, "\n"), lambda x: F.when(F.trim(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(F.trim(x))))
+    return F.split(F.regexp_replace(flat, _BELOW, _MARK + "\n"), "\n")
+
+
+def _shape(line: Column) -> Column:
+    """A line without what its slots hold."""
+    linked = F.when(line.contains("]("), F.regexp_replace(line, _SITE_LINK, "[]()")).otherwise(line)
+    tagged = F.when(linked.contains("#"), F.regexp_replace(linked, r"#[\w&-]+", "#")).otherwise(linked)
+    return F.when(tagged.rlike(" [>/»›→] | :: "), F.regexp_replace(tagged, _CRUMBS, "$1 $2 *")).otherwise(tagged)
+
+
+def element_hashes(text: Column) -> Column:
+    """For each line (h, owner): xxhash64 of its shape, 0 for blank lines and titles; whether a list item follows it."""
 
+    def element(x: Column) -> Column:
+        bare = F.trim(F.translate(x, _MARK, ""))
+        return F.struct(F.when((bare == "") | bare.startswith("# "), F.lit(0).cast("long")).otherwise(F.xxhash64(_shape(bare))).alias("h"), x.endswith(_MARK).alias("owner"))
 
-def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates array<long>): the element hashes that recur on a host. A null host is one host of its own."""
+    return F.transform(_lines(text), element)
+
+
+def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, templates array<long>, owners array<long>): the element hashes that recur on a host, and those of them that own a list. A null host is one host of its own."""
     key = F.coalesce(F.col(host), F.lit("")).alias("tpl_host")
-    counts = (
-        pages.where(F.col(text).isNotNull())
-        .select(key, F.explode(F.array_distinct(line_hashes(F.col(text)))).alias("h"))
-        .where("h <> 0")
-        .groupBy("tpl_host", "h")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_pages)
-    )
-    sizes = pages.where(F.col(text).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("pages"))
-    return (
-        counts.join(sizes, "tpl_host")
-        .where(F.col("n") >= F.col("pages") * min_share)
-        .groupBy("tpl_host")
-        .agg(F.collect_list("h").alias("templates"))
-    )
+    each = pages.where(F.col(text).isNotNull()).select(key, F.explode(F.array_distinct(element_hashes(F.col(text)))).alias("e")).select("tpl_host", "e.h", "e.owner")
+    counts = each.where("h <> 0").groupBy("tpl_host", "h").agg(F.count(F.lit(1)).alias("n"), F.count_if("owner").alias("with_list")).where(F.col("n") >= min_pages)
+    return counts.groupBy("tpl_host").agg(F.collect_list("h").alias("templates"), F.collect_list(F.when(F.col("with_list") >= OWNS * F.col("n"), F.col("h"))).alias("owners"))
 
 
-def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType, key: str, host: str, text: str, extra: tuple[str, ...] = (), suspects: bool = False) -> DataFrame:
+def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType, key: str, host: str, text: str, extra: tuple[str, ...] = (), suspects: bool = False, forms: bool = True) -> DataFrame:
     """For each page, the key as ``page_id`` and what ``row(lines, flags, *extra)`` makes of its lines, furniture flags and extra columns.
 
     Null texts give ``row([], [], ...)``. With ``suspects`` the row function also gets, before the
@@ -64,11 +84,12 @@ def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType,
     more = [f"extra_{i}" for i in range(len(extra))]
     base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"), *[F.col(x).alias(y) for x, y in zip(extra, more)])
     templates = as_table(site_templates(base, "tpl_host", "text"), "templates")
-    ready = base.join(templates, "tpl_host", "left").select(
-        "page_id",
-        "text",
-        *more,
-        F.when(F.col("templates").isNotNull(), F.transform(line_hashes(F.col("text")), lambda h: F.array_contains(F.col("templates"), h))).alias("recurring"),
+    ready = (
+        base.join(templates, "tpl_host", "left")
+        .withColumn("hashes", F.when(F.col("templates").isNotNull(), F.transform(element_hashes(F.col("text")), lambda e: e["h"])))
+        # what recurs of this page, so that a line is not looked up among all templates of its host
+        .withColumns({"own": F.array_intersect("hashes", "templates"), "owning": F.array_intersect("hashes", "owners")})
+        .select("page_id", "text", *more, F.transform("hashes", lambda h: (F.array_contains("own", h).cast("byte") + F.array_contains("owning", h).cast("byte")).cast("byte")).alias("recurring"))
     )
     names = schema.fieldNames()
     out = T.StructType([base.schema["page_id"], *schema.fields])
@@ -78,7 +99,7 @@ def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType,
             made = []
             for value, recurring, *rest in zip(batch["text"], batch["recurring"], *[batch[x] for x in more]):
                 lines = [] if value is None else value.split("\n")
-                flags, told = page_flags(lines, list(recurring) if recurring is not None and len(recurring) == len(lines) else None)
+                flags, told = page_flags(lines, recurring.tolist() if recurring is not None and len(recurring) == len(lines) else None, forms)
                 made.append(row(lines, flags, told, *rest) if suspects else row(lines, flags, *rest))
             result = pd.DataFrame(made, columns=names, dtype=object)
             result.insert(0, "page_id", batch["page_id"].to_numpy())
@@ -102,8 +123,8 @@ def main_content(pages: DataFrame, key: str = "id", host: str = "source_id", tex
     return annotate(pages, _body, schema, key, host, text)
 
 
-def furniture_lines(pages: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown") -> DataFrame:
+def furniture_lines(pages: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown", forms: bool = True) -> DataFrame:
     """(article_id, line_no): each non-blank line that is furniture."""
     schema = T.StructType([T.StructField("removed", T.ArrayType(T.IntegerType()))])
-    found = annotate(pages, lambda lines, flags: ([i + 1 for i, bad in enumerate(flags) if bad],), schema, key, host, text)
+    found = annotate(pages, lambda lines, flags: ([i + 1 for i, bad in enumerate(flags) if bad],), schema, key, host, text, forms=forms)
     return found.select(F.col("page_id").alias("article_id"), F.explode("removed").alias("line_no"))

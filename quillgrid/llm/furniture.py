@@ -201,43 +201,63 @@ def has_message(lines: list[str]) -> bool:
     return any(x and ((len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) or held.get(i, 0) & _LATIN and is_filler(x)) for i, x in enumerate(lines))
 
 
-def furniture_flags(lines: list[str], recurring: list[bool] | None = None) -> list[bool]:
-    """For each line of a page, whether it is furniture. Blank lines are never furniture.
-
-    ``recurring`` has, for each line, whether its template recurs on the host.
-    """
+def furniture_flags(lines: list[str], recurring: list[int] | None = None) -> list[bool]:
+    """For each line of a page, whether it is furniture. Blank lines are never furniture. ``recurring`` as in :func:`page_flags`."""
     return page_flags(lines, recurring)[0]
 
 
-def page_flags(lines: list[str], recurring: list[bool] | None = None) -> tuple[list[bool], list[str]]:
-    """(the furniture flags, the squeezed lines of the story that may be messages)."""
+def _stands_for_story(lines: list[str], out: list[bool], held: dict[int, int], i: int, step: int) -> bool:
+    """Is the next line with text, in one direction, a message of the story?"""
+    i += step
+    while 0 <= i < len(lines) and not lines[i]:
+        i += step
+    return 0 <= i < len(lines) and not out[i] and (len(lines[i]) <= SHORT or bool(held.get(i, 0) & _TOLD)) and is_message(lines[i])
+
+
+def page_flags(lines: list[str], recurring: list[int] | None = None, forms: bool = True) -> tuple[list[bool], list[str]]:
+    """(the furniture flags, the squeezed lines of the story that may be messages).
+
+    recurring: for each line 1 where its template recurs on the host, 2 where it recurs and owns the
+    list below it. A recurring line beside a message that stands in place of a story belongs to it.
+    """
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
     starts = [0, *accumulate(len(x) + 1 for x in lows)][:-1]
     page = "\n".join(lows)
     held = hits(page, starts)
     out = [False] * len(lines)
-    owner = None
+    owner, told = None, []
     for i, line in enumerate(lines):
         if not line:
             continue
         low = lows[i]
         short, title = len(low) <= SHORT, low.startswith("# ")
-        if short and not title:
+        seen = recurring[i] if recurring and not title else 0
+        item = bool(owner or seen == 2) and bool(LIST_ITEM.match(line))
+        if forms and short and not title:
             kind = _label(low)
             if kind:
                 owner, out[i] = kind, True
                 continue
-        if owner == "list" and LIST_ITEM.match(line):
+        if seen == 2 and not item and not is_message(line):
+            owner, out[i] = "list", True
+            continue
+        if owner == "list" and item:
             out[i] = True
             continue
-        if held.get(i, 0) & _FORMED and COMMENT.match(low):
+        if forms and held.get(i, 0) & _FORMED and COMMENT.match(low):
             out[i] = True
             continue
         owner = None
         if title:
             continue
-        if (recurring and recurring[i]) or ((short or held.get(i, 0) & _FORMED) and is_form(line)):
+        formed = forms and (short or held.get(i, 0) & _FORMED) and is_form(line)
+        if seen or formed:
             out[i] = not ((short or held.get(i, 0) & _TOLD) and is_message(line))
+            if out[i] and not formed:
+                told.append(i)
+    for i in told:
+        if any(_stands_for_story(lines, out, held, i, step) for step in (-1, 1)):
+            out[i] = False
     suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held.get(i, 0) & (_TOLD | _LATIN))]
     return out, suspects
