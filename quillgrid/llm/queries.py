@@ -104,3 +104,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.shared_amounts(table(spark, d, "documents"))
+
+
+@query
+def p9_spans(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans.spans(table(spark, d, "documents"))

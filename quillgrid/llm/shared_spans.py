@@ -4,9 +4,12 @@ Level 0 are windows of ``BASE`` = 50 characters at *anchors*: of each run of ``R
 positions the one with the least hash. Two records that share a span share its anchors, and a span
 of ``MIN_SPAN`` = 200 characters has one so near its start that the window of 100 characters there
 still lies inside the span. A window that stands in one record only is dropped; the others are
-extended to twice their length: 50, 100, 200. At the last level every window of 200 characters
-whose first run of positions has an anchor that survives is hashed (128 bits); the windows that stand in two records are exactly the shared spans, and their
-union is what a record shares. Nothing is sampled: each shared span is found.
+extended to twice their length: 50, 100, 200. At 200 a window may lie to the right of its anchor, or
+as far to the left as the first 100 characters allow; these two are one row each (128-bit hashes).
+Only where the records of an anchor disagree on both sides, so that a span may begin and end within
+these bounds, are the windows between them compared one by one. Nothing is sampled: each shared span
+is found. For the report of spans (:func:`spans`) the surviving windows are doubled further, until no
+candidates survive.
 
 Equal texts are one class from the start and are represented by one member. Windows are grouped by
 the *set* of records that hold them (a sum of record hashes, combined map-side), so records that
@@ -16,6 +19,7 @@ share a passage meet once and not once for each of its positions.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -128,21 +132,66 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.drop_duplicates(["record", "at"])
 
 
-def _span_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hash_rows(n: int) -> np.ndarray:
+    """Two vectors of n odd multipliers."""
+    return np.random.default_rng(n).integers(0, 1 << 63, (2, n), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+_multipliers: dict[int, np.ndarray] = {}
+
+
+def hash_windows(codes: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the windows of some length at some positions, where all of them fit."""
+    if size not in _multipliers:
+        _multipliers[size] = _hash_rows(size)
+    found = [np.empty((0, 2), np.uint64)]
+    step = max(1, (1 << 20) // size)
+    for i in range(0, len(at), step):
+        w = codes[at[i : i + step, None] + np.arange(size)].astype(np.uint64) + np.uint64(1)
+        h = np.stack([(w * m).sum(axis=1, dtype=np.uint64) for m in _multipliers[size]], axis=1)
+        h ^= h >> np.uint64(32)
+        h *= _B
+        found.append(h)
+    both = np.concatenate(found).astype(np.int64)
+    return both[:, 0], both[:, 1]
+
+
+def _side_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The windows of MIN_SPAN characters that begin at the living anchors (side 0), or as far before them as the anchors' windows of the last level allow (side 1)."""
+    back = MIN_SPAN - (BASE << LEVELS - 1)
     for batch in batches:
-        records, alive = batch["record"].to_numpy(), batch["alive"].to_numpy()
-        for codes, parts in _pieces(batch["text"]):
-            w = _starts(parts)
-            h = window_hashes(codes, (BASE, MIN_SPAN))
-            at = run_anchors(h[BASE])[w]
-            number, place = _owners(at, parts)
-            cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])
-            w = w[np.concatenate([np.isin(place[i:j], alive[number[i]]) for i, j in zip(cut, cut[1:])])]
-            if len(w):
-                number, place = _owners(w, parts)
-                x, y = (z[MIN_SPAN][w].astype(np.int64) for z in (h, window_hashes(codes, (MIN_SPAN,), seed=4)))
-                rows = pd.DataFrame({"record": records[number], "at": place.astype(np.int32), "x": x, "y": y}).drop_duplicates(["record", "at"])
-                yield rows.assign(first=~rows.duplicated(["record", "x", "y"]))
+        made = []
+        for record, text, alive, groups in zip(batch["record"], batch["text"], batch["alive"], batch["groups"]):
+            codes, at, g = _codes(text), np.asarray(alive, np.int64), np.asarray(groups, np.int64)
+            for side, start in ((0, at), (1, at - back)):
+                fits = (start >= 0) & (start + MIN_SPAN <= len(codes))
+                x, y = hash_windows(codes, start[fits], MIN_SPAN)
+                made.append(pd.DataFrame({"record": record, "anchor": at[fits].astype(np.int32), "at": start[fits].astype(np.int32), "g": g[fits], "side": np.int8(side), "x": x, "y": y}))
+        yield pd.concat(made, ignore_index=True) if made else pd.DataFrame(columns=["record", "anchor", "at", "g", "side", "x", "y"])
+
+
+def _between_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All windows of MIN_SPAN characters that begin at some anchors or less than a level before them."""
+    back = MIN_SPAN - (BASE << LEVELS - 1)
+    for batch in batches:
+        for record, text, alive in zip(batch["record"], batch["text"], batch["alive"]):
+            codes = _codes(text)
+            at = np.unique(np.asarray(alive, np.int64)[:, None] - np.arange(back + 1))
+            at = at[(at >= 0) & (at + MIN_SPAN <= len(codes))]
+            x, y = hash_windows(codes, at, MIN_SPAN)
+            yield pd.DataFrame({"record": record, "at": at.astype(np.int32), "x": x, "y": y})
+
+
+def _double_rows(size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for record, text, alive in zip(batch["record"], batch["text"], batch["alive"]):
+                codes, at = _codes(text), np.unique(np.asarray(alive, np.int64))
+                at = at[at + size <= len(codes)]
+                x, y = hash_windows(codes, at, size)
+                yield pd.DataFrame({"record": record, "at": at.astype(np.int32), "x": x, "y": y})
+
+    return run
 
 
 def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -152,27 +201,59 @@ def text_classes(documents: DataFrame, key: str = "doc_id", text: str = "text")
     return as_table(long.join(least, ["text_key", "chars"]).select("id", "record", "chars").distinct(), "text-classes")
 
 
-def long_windows(documents: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(record, at, x, y, first): the windows of MIN_SPAN characters that may stand in two records, as a table; first: the first such window of its piece of the record."""
+def _texts(documents: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """(record, text): one member of each class of equal texts."""
     # copies are few beside the texts: taking them out leaves the texts where they are, unless there are many
     copies = as_table(classes.where("id <> record").select(F.col("id").alias("copy")), "copies")
     texts = documents.where(F.length(F.col(text)) >= MIN_SPAN).select(F.col(key).alias("record"), F.col(text).alias("text"))
-    texts = texts.join(copies, texts["record"] == copies["copy"], "left_anti")
+    return texts.join(copies, texts["record"] == copies["copy"], "left_anti")
+
+
+def living_anchors(texts: DataFrame) -> DataFrame:
+    """(record, at, g): the anchors whose windows stand in two records at every level below MIN_SPAN, as a table; g is the hash of the last."""
     kind = texts.schema["record"].dataType.simpleString()
     schema = f"record {kind}, at int, " + ", ".join(f"h{i} long" for i in range(LEVELS))
     alive = as_table(texts.mapInPandas(_anchor_rows, schema), "windows", tuple(f"h{i}" for i in range(LEVELS)))
     for level in range(LEVELS):  # windows that stand in one record only end here; the others double
         h = f"h{level}"
         twice = alive.groupBy(h).agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select(h)
-        alive = as_table(alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + 1, LEVELS)]), "windows")
-    living = alive.groupBy("record").agg(F.collect_list("at").alias("alive"))
-    return as_table(texts.join(living, "record").mapInPandas(_span_rows, f"record {kind}, at int, x long, y long, first boolean"), "spans", ("x", "y"))
+        last = level == LEVELS - 1
+        alive = as_table(alive.join(twice, h, "left_semi").select("record", "at", *[f"h{i}" for i in range(level + (not last), LEVELS)]), "windows")
+    return alive.withColumnRenamed(f"h{LEVELS - 1}", "g")
+
+
+def _with_texts(texts: DataFrame, alive: DataFrame, *also: str) -> DataFrame:
+    """(record, text, alive, ...): the texts that have living anchors, with these."""
+    lists = alive.groupBy("record").agg(F.collect_list(F.struct("at", *also)).alias("s"))
+    return texts.join(lists, "record").select("record", "text", F.col("s.at").alias("alive"), *[F.col(f"s.{c}").alias("groups") for c in also])
+
+
+def side_windows(texts: DataFrame, alive: DataFrame) -> DataFrame:
+    """(record, anchor, at, g, side, x, y): the two windows of MIN_SPAN characters at each living anchor that fit, as a table."""
+    kind = texts.schema["record"].dataType.simpleString()
+    return as_table(_with_texts(texts, alive, "g").mapInPandas(_side_rows, f"record {kind}, anchor int, at int, g long, side byte, x long, y long"), "sides", ("x", "y"))
+
+
+def _windows_between(texts: DataFrame, alive: DataFrame, groups: DataFrame) -> DataFrame:
+    """(record, at, x, y): the windows between the two sides of the anchors in ``groups`` (g), as a table."""
+    kind = texts.schema["record"].dataType.simpleString()
+    wanted = as_table(alive.join(groups, "g", "left_semi").select("record", "at"), "wanted")
+    return as_table(_with_texts(texts, wanted).mapInPandas(_between_rows, f"record {kind}, at int, x long, y long"), "between", ("x", "y"))
+
 
+def _disagreeing(alive: DataFrame, sides: DataFrame) -> DataFrame:
+    """(g): the anchors whose records differ in the window on either side; a record whose text ends there differs from all."""
+    lone = F.xxhash64("record", "anchor")
+    of = lambda side: sides.where(F.col("side") == side).select("record", "anchor", F.col("x").alias(f"x{side}"))
+    both = alive.select("record", F.col("at").alias("anchor"), "g").join(of(0), ["record", "anchor"], "left").join(of(1), ["record", "anchor"], "left")
+    told = both.select("g", F.coalesce("x0", lone).alias("x0"), F.coalesce("x1", lone).alias("x1"))
+    return told.groupBy("g").agg(*[f(x).alias(f"{n}_{x}") for x in ("x0", "x1") for n, f in (("min", F.min), ("max", F.max))]).where("min_x0 < max_x0 and min_x1 < max_x1").select("g")
 
-def _holders(spans: DataFrame) -> DataFrame:
-    """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number."""
+
+def _holders(windows: DataFrame) -> DataFrame:
+    """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number. windows: (record, x, y), distinct."""
     one = F.xxhash64("record").cast("decimal(20,0)")
-    counted = spans.where("first").groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n"), F.min("record").alias("a"), F.max("record").alias("b"))
+    counted = windows.groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n"), F.min("record").alias("a"), F.max("record").alias("b"))
     return counted.where("a < b").select("x", "y", "holders", "n")
 
 
@@ -183,10 +264,14 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     repeated key count as one record.
     """
     classes = text_classes(documents, key, text)
-    spans = long_windows(documents, classes, key, text)
+    texts = _texts(documents, classes, key, text)
+    alive = living_anchors(texts)
+    sides = side_windows(texts, alive)
+    between = _windows_between(texts, alive, as_table(_disagreeing(alive, sides), "disagreeing"))
+    windows = sides.select("x", "y", "record").unionByName(between.select("x", "y", "record")).distinct()
     # one window stands for all that the same records hold
-    chosen = as_table(_holders(spans).groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y"), "chosen")
-    groups = as_table(spans.where("first").join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")
+    chosen = as_table(_holders(windows).groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y"), "chosen")
+    groups = as_table(windows.join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")
     pairs = groups.alias("p").join(groups.alias("q"), ["x", "y"]).where("p.record < q.record").select(F.col("p.record").alias("r"), F.col("q.record").alias("s")).distinct()
     one, two = classes.select(F.col("record").alias("r"), F.col("id").alias("i")), classes.select(F.col("record").alias("s"), F.col("id").alias("j"))
     between = pairs.join(one, "r").join(two, "s").select(F.least("i", "j").alias("doc_id_a"), F.greatest("i", "j").alias("doc_id_b"))
@@ -194,6 +279,27 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     return between.unionByName(within).where("doc_id_a < doc_id_b").distinct()
 
 
+def _repeated(texts: DataFrame, alive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(repeated, sides). repeated: (record, at, n), as a table, windows that stand in n > 1 records; together they cover all that is shared.
+
+    A window between the two sides of an anchor only adds to them where one of the anchor's records is
+    not covered by its sides' windows all around; only these anchors are looked at more closely.
+    """
+    sides = side_windows(texts, alive)
+    held = sides.select("x", "y", "record").distinct().transform(_holders).select("x", "y", "n")
+    plain = as_table(sides.join(held, ["x", "y"]).select("record", "at", "n"), "repeated-sides")
+    back = MIN_SPAN - (BASE << LEVELS - 1)
+    around = lambda: Window.partitionBy("record").orderBy("at")
+    starts = plain.select("record", "at").distinct().withColumn("new", (F.col("at") > F.coalesce(F.lag("at").over(around()), F.lit(-MIN_SPAN - 1)) + MIN_SPAN).cast("int"))
+    regions = starts.withColumn("region", F.sum("new").over(around())).groupBy("record", "region").agg(F.min("at").alias("x1"), (F.max("at") + MIN_SPAN).alias("x2")).drop("region")
+    inside = alive.join(regions, "record").where(F.col("at") - back >= F.col("x1")).where(F.col("at") + MIN_SPAN <= F.col("x2")).select("record", "at")
+    edges = as_table(alive.join(inside, ["record", "at"], "left_anti").select("g").distinct(), "edges")
+    between = _windows_between(texts, alive, edges)
+    more = between.select("x", "y", "record").distinct().transform(_holders).select("x", "y", "n")
+    finer = between.join(more, ["x", "y"]).select("record", "at", "n")
+    return as_table(plain.unionByName(finer).groupBy("record", "at").agg(F.max("n").alias("n")), "repeated"), sides
+
+
 def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, chars, shared_chars, shared_share): how much of each record stands in another one, a row for each record.
 
@@ -201,8 +307,8 @@ def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text"
     they are reported as often as they come.
     """
     classes = text_classes(documents, key, text)
-    spans = long_windows(documents, classes, key, text)
-    repeated = spans.join(_holders(spans).select("x", "y"), ["x", "y"], "left_semi")
+    texts = _texts(documents, classes, key, text)
+    repeated, _ = _repeated(texts, living_anchors(texts))
     following = F.lead("at").over(Window.partitionBy("record").orderBy("at"))
     covered = repeated.select("record", F.least(F.lit(MIN_SPAN), F.coalesce(following - F.col("at"), F.lit(MIN_SPAN))).alias("c")).groupBy("record").agg(F.sum("c").alias("covered"))
     copies = classes.groupBy("record").agg(F.count(F.lit(1)).alias("copies"))
@@ -211,3 +317,50 @@ def shared_amounts(documents: DataFrame, key: str = "doc_id", text: str = "text"
     joined = base.join(known.dropDuplicates(["id"]), base["doc_id"] == known["id"], "left")
     shared = F.coalesce("shared", F.lit(0)).cast("long")
     return joined.select("doc_id", "chars", shared.alias("shared_chars"), F.when(F.col("chars") > 0, F.round(shared / F.col("chars"), 6)).otherwise(F.lit(0.0)).alias("shared_share"))
+
+
+def doubled(texts: DataFrame, repeated_sides: DataFrame) -> DataFrame:
+    """(record, at, longest): for each anchor whose window of MIN_SPAN characters stands in two records, the greatest doubling of it that still does.
+
+    Windows repeated at one length alone are extended to twice that length, until none survives; the
+    number of rounds is the logarithm of the longest shared span.
+    """
+    kind = texts.schema["record"].dataType.simpleString()
+    alive, size, levels = as_table(repeated_sides.select("record", "at").distinct(), "doubling"), MIN_SPAN, []
+    while not alive.isEmpty():
+        levels.append(alive.withColumn("longest", F.lit(size)))
+        size *= 2
+        windows = as_table(_with_texts(texts, alive).mapInPandas(_double_rows(size), f"record {kind}, at int, x long, y long"), "doubling", ("x", "y"))
+        twice = windows.groupBy("x", "y").agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select("x", "y")
+        alive = as_table(windows.join(twice, ["x", "y"], "left_semi").select("record", "at"), "doubling")
+    if not levels:
+        return alive.withColumn("longest", F.lit(size))
+    return reduce(DataFrame.unionByName, levels).groupBy("record", "at").agg(F.max("longest").alias("longest"))
+
+
+def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, start, length, longest, holders): the maximal spans of each record that are shared, character by character.
+
+    start counts from 1. A span is made of windows of MIN_SPAN characters that stand in other records
+    and touch each other; longest is the greatest doubling of MIN_SPAN that one other record holds
+    whole from one of its anchors on, 0 if the span has none; holders the number of different texts
+    that hold the most common window. Records whose whole text others repeat are one span of all of it.
+    """
+    classes = text_classes(documents, key, text)
+    texts = _texts(documents, classes, key, text)
+    repeated, sides = _repeated(texts, living_anchors(texts))
+    around = Window.partitionBy("record").orderBy("at")
+    marked = repeated.withColumn("new", (F.col("at") > F.coalesce(F.lag("at").over(around), F.lit(-MIN_SPAN - 1)) + MIN_SPAN).cast("int"))
+    regions = marked.withColumn("region", F.sum("new").over(around)).groupBy("record", "region").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("n").alias("holders"))
+    right = sides.where("side = 0").select("record", "at", "x", "y")
+    twice = right.groupBy("x", "y").agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select("x", "y")
+    long = doubled(texts, right.join(twice, ["x", "y"], "left_semi"))
+    inside = regions.join(long, "record", "left").groupBy("record", "region", "first", "last", "holders").agg(F.max(F.when(F.col("at").between(F.col("first"), F.col("last")), F.col("longest"))).alias("longest"))
+    parts = inside.select("record", (F.col("first") + 1).alias("start"), (F.col("last") - F.col("first") + MIN_SPAN).alias("length"), F.coalesce("longest", F.lit(0)).alias("longest"), "holders")
+    copies = classes.groupBy("record").agg(F.count(F.lit(1)).alias("copies"))
+    owners = classes.join(copies, "record")
+    own = owners.where("copies = 1").join(parts, "record").select(F.col("id").alias("doc_id"), "start", "length", "longest", F.col("holders").cast("long").alias("holders"))
+    size = F.col("chars").cast("int")
+    doublings = F.floor(F.log2(F.col("chars") / MIN_SPAN)).cast("int")
+    whole = owners.where("copies > 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("start"), size.alias("length"), (F.lit(MIN_SPAN) * F.pow(F.lit(2), doublings)).cast("int").alias("longest"), F.lit(1).cast("long").alias("holders"))
+    return own.unionByName(whole).distinct()
