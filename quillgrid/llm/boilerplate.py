@@ -13,65 +13,54 @@ Free text that the page wraps around the story and words anew each time (reader
 advertisements, event notes) has no recurring hash of any kind; such elements are recognised by
 their form (:mod:`quillgrid.llm.furniture`), which ``forms=False`` switches off.
 
-Plan: one scan hashes the lines in the JVM and counts (host, hash) with a map-side combine; the
-hashes above the threshold are written as one small row per host. A host has at most as many of them
-as its pages together have lines per ``MIN_PAGES`` pages; what a site repeats is its template, which
-is small. A second scan joins that row to the pages by host: Catalyst broadcasts the table when its
-file size is under the session's threshold and shuffles otherwise, where AQE splits a hot host.
+Plan: one scan hashes the elements and adds up (host, hash) first within each batch, then in one
+aggregation; the hashes above the threshold are written as one small row per host, since what a site
+repeats is its template, which is small. A second scan joins that row to the pages by host: Catalyst
+broadcasts the table when its file size is under the session's threshold and shuffles otherwise,
+where AQE splits a hot host. Hashing the elements anew in this scan is cheaper than moving hashes.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgrid.llm.furniture import page_flags
+from quillgrid.llm.furniture import elements, page_flags, squeeze
 from quillgrid.runtime import as_table
 
 #: A template is on at least this many pages of its host.
 MIN_PAGES = 8
 #: The share of the pages with an element that must show it with a list below, for the list to belong to it.
 OWNS = 0.9
-
-_SITE_LINK = r"\[[^\]\n]*\]\((?:/|#|\?|mailto:)[^)\n]*\)"
-_CRUMBS = r"(\S) (>|/|»|›|→|::) .*"
-#: Ends a line that is followed by a list item.
-_MARK = "\u0001"
-_BELOW = r"\n(?=\s*(?:[*+•-]|9[.)]) \S)"
-
-
-def _lines(text: Column) -> Column:
-    """The lines in lower case with single blanks and one mark for each run of digits; those with a list item below end with a mark."""
-    flat = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]+", "9"), "[ \t\r]+", " ")
-    return F.split(F.regexp_replace(flat, _BELOW, _MARK + "\n"), "\n")
-
-
-def _shape(line: Column) -> Column:
-    """A line without what its slots hold."""
-    linked = F.when(line.contains("]("), F.regexp_replace(line, _SITE_LINK, "[]()")).otherwise(line)
-    tagged = F.when(linked.contains("#"), F.regexp_replace(linked, r"#[\w&-]+", "#")).otherwise(linked)
-    return F.when(tagged.rlike(" [>/»›→] | :: "), F.regexp_replace(tagged, _CRUMBS, "$1 $2 *")).otherwise(tagged)
-
-
-def element_hashes(text: Column) -> Column:
-    """For each line (h, owner): xxhash64 of its shape, 0 for blank lines and titles; whether a list item follows it."""
-
-    def element(x: Column) -> Column:
-        bare = F.trim(F.translate(x, _MARK, ""))
-        return F.struct(F.when((bare == "") | bare.startswith("# "), F.lit(0).cast("long")).otherwise(F.xxhash64(_shape(bare))).alias("h"), x.endswith(_MARK).alias("owner"))
-
-    return F.transform(_lines(text), element)
+#: Hosts whose templates a worker keeps at hand.
+MAX_SITES = 1_000
+
+def _count_elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (tpl_host, h, n, with_list): the pages of a batch with an element, and with a list below it; already added up by batch."""
+    for batch in batches:
+        n, with_list = Counter(), Counter()
+        for host, value in zip(batch["tpl_host"], batch["text"]):
+            lines = [squeeze(x) for x in value.split("\n")]
+            hashes, owning = elements(lines, [x.lower() for x in lines])
+            found = dict(zip(hashes, owning)) | {h: True for h, o in zip(hashes, owning) if o}
+            found.pop(0, None)
+            n.update((host, h) for h in found)
+            with_list.update((host, h) for h, o in found.items() if o)
+        keys = list(n)
+        yield pd.DataFrame({"tpl_host": [k[0] for k in keys], "h": np.array([k[1] for k in keys], np.int64), "n": np.array([n[k] for k in keys], np.int64), "with_list": np.array([with_list[k] for k in keys], np.int64)})
 
 
 def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, templates array<long>, owners array<long>): the element hashes that recur on a host, and those of them that own a list. A null host is one host of its own."""
-    key = F.coalesce(F.col(host), F.lit("")).alias("tpl_host")
-    each = pages.where(F.col(text).isNotNull()).select(key, F.explode(F.array_distinct(element_hashes(F.col(text)))).alias("e")).select("tpl_host", "e.h", "e.owner")
-    counts = each.where("h <> 0").groupBy("tpl_host", "h").agg(F.count(F.lit(1)).alias("n"), F.count_if("owner").alias("with_list")).where(F.col("n") >= min_pages)
+    usable = pages.where(F.col(text).isNotNull()).select(F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"))
+    each = usable.mapInPandas(_count_elements, "tpl_host string, h long, n long, with_list long")
+    counts = each.groupBy("tpl_host", "h").agg(F.sum("n").alias("n"), F.sum("with_list").alias("with_list")).where(F.col("n") >= min_pages)
     return counts.groupBy("tpl_host").agg(F.collect_list("h").alias("templates"), F.collect_list(F.when(F.col("with_list") >= OWNS * F.col("n"), F.col("h"))).alias("owners"))
 
 
@@ -84,22 +73,22 @@ def annotate(pages: DataFrame, row: Callable[..., tuple], schema: T.StructType,
     more = [f"extra_{i}" for i in range(len(extra))]
     base = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(host), F.lit("")).alias("tpl_host"), F.col(text).alias("text"), *[F.col(x).alias(y) for x, y in zip(extra, more)])
     templates = as_table(site_templates(base, "tpl_host", "text"), "templates")
-    ready = (
-        base.join(templates, "tpl_host", "left")
-        .withColumn("hashes", F.when(F.col("templates").isNotNull(), F.transform(element_hashes(F.col("text")), lambda e: e["h"])))
-        # what recurs of this page, so that a line is not looked up among all templates of its host
-        .withColumns({"own": F.array_intersect("hashes", "templates"), "owning": F.array_intersect("hashes", "owners")})
-        .select("page_id", "text", *more, F.transform("hashes", lambda h: (F.array_contains("own", h).cast("byte") + F.array_contains("owning", h).cast("byte")).cast("byte")).alias("recurring"))
-    )
+    ready = base.join(templates, "tpl_host", "left").select("page_id", "tpl_host", "text", *more, "templates", "owners")
     names = schema.fieldNames()
     out = T.StructType([base.schema["page_id"], *schema.fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sites: dict[str, tuple] = {}
         for batch in batches:
             made = []
-            for value, recurring, *rest in zip(batch["text"], batch["recurring"], *[batch[x] for x in more]):
+            for at, (site, value, *rest) in enumerate(zip(batch["tpl_host"], batch["text"], *[batch[x] for x in more])):
+                known = sites.get(site)
+                if known is None:
+                    if len(sites) > MAX_SITES:
+                        sites.clear()
+                    known = sites[site] = tuple(frozenset(() if x is None else x.tolist()) for x in (batch["templates"].iat[at], batch["owners"].iat[at]))
                 lines = [] if value is None else value.split("\n")
-                flags, told = page_flags(lines, recurring.tolist() if recurring is not None and len(recurring) == len(lines) else None, forms)
+                flags, told = page_flags(lines, *known, forms)
                 made.append(row(lines, flags, told, *rest) if suspects else row(lines, flags, *rest))
             result = pd.DataFrame(made, columns=names, dtype=object)
             result.insert(0, "page_id", batch["page_id"].to_numpy())

@@ -20,6 +20,8 @@ import re
 from bisect import bisect_right
 from itertools import accumulate
 
+import xxhash
+
 from quillgrid.llm.residue import MESSAGE_KEYS, STEMS, is_filler, is_message
 
 LIST_ITEM = re.compile(r"^(?:[*\-+•]|\d{1,2}[.)])\s+\S")
@@ -201,9 +203,9 @@ def has_message(lines: list[str]) -> bool:
     return any(x and ((len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) or held.get(i, 0) & _LATIN and is_filler(x)) for i, x in enumerate(lines))
 
 
-def furniture_flags(lines: list[str], recurring: list[int] | None = None) -> list[bool]:
-    """For each line of a page, whether it is furniture. Blank lines are never furniture. ``recurring`` as in :func:`page_flags`."""
-    return page_flags(lines, recurring)[0]
+def furniture_flags(lines: list[str]) -> list[bool]:
+    """For each line of a page, whether its form is that of furniture. Blank lines are never furniture."""
+    return page_flags(lines)[0]
 
 
 def _stands_for_story(lines: list[str], out: list[bool], held: dict[int, int], i: int, step: int) -> bool:
@@ -214,14 +216,50 @@ def _stands_for_story(lines: list[str], out: list[bool], held: dict[int, int], i
     return 0 <= i < len(lines) and not out[i] and (len(lines[i]) <= SHORT or bool(held.get(i, 0) & _TOLD)) and is_message(lines[i])
 
 
-def page_flags(lines: list[str], recurring: list[int] | None = None, forms: bool = True) -> tuple[list[bool], list[str]]:
+_RUN = re.compile(r"[0-9]+")
+_SITE_LINK = re.compile(r"\[[^\]]*\]\((?:/|#|\?|mailto:)[^)]*\)")
+_TAG = re.compile(r"#[\w&-]+")
+_CRUMBS = re.compile(r"(?<=\S) (>|/|»|›|→|::) .*")
+_shapes: dict[str, int] = {}
+
+
+def element_hash(low: str) -> int:
+    """The hash of an element, a squeezed line in lower case, without what its slots hold: digits, links within the site, hash tags, the tail of a breadcrumb."""
+    known = _shapes.get(low)
+    if known is None:
+        shape = _RUN.sub("9", low)
+        if "](" in shape:
+            shape = _SITE_LINK.sub("[]()", shape)
+        if "#" in shape:
+            shape = _TAG.sub("#", shape)
+        shape = _CRUMBS.sub(r" \1 *", shape)
+        known = xxhash.xxh64_intdigest(shape) - (1 << 63)
+        if len(low) <= 2 * SHORT:  # those that may recur
+            if len(_shapes) > 100_000:
+                _shapes.clear()
+            _shapes[low] = known
+    return known
+
+
+def elements(lines: list[str], lows: list[str]) -> tuple[list[int], list[bool]]:
+    """For each squeezed line the hash of its element, 0 for blank lines and titles, and whether a list item follows it."""
+    hashes = [0 if not low or low.startswith("# ") else element_hash(low) for low in lows]
+    owning, below = [False] * len(lines), False
+    for i in range(len(lines) - 1, -1, -1):
+        if lines[i]:
+            owning[i], below = below, bool(LIST_ITEM.match(lines[i]))
+    return hashes, owning
+
+
+def page_flags(lines: list[str], templates: frozenset[int] = frozenset(), owners: frozenset[int] = frozenset(), forms: bool = True) -> tuple[list[bool], list[str]]:
     """(the furniture flags, the squeezed lines of the story that may be messages).
 
-    recurring: for each line 1 where its template recurs on the host, 2 where it recurs and owns the
-    list below it. A recurring line beside a message that stands in place of a story belongs to it.
+    templates: the hashes of the elements that recur on the host; owners: those of them that own the
+    list below them. A recurring line beside a message that stands in place of a story belongs to it.
     """
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
+    hashes = elements(lines, lows)[0] if templates else [0] * len(lines)
     starts = [0, *accumulate(len(x) + 1 for x in lows)][:-1]
     page = "\n".join(lows)
     held = hits(page, starts)
@@ -232,7 +270,7 @@ def page_flags(lines: list[str], recurring: list[int] | None = None, forms: bool
             continue
         low = lows[i]
         short, title = len(low) <= SHORT, low.startswith("# ")
-        seen = recurring[i] if recurring and not title else 0
+        seen = (hashes[i] in templates) + (hashes[i] in owners)
         item = bool(owner or seen == 2) and bool(LIST_ITEM.match(line))
         if forms and short and not title:
             kind = _label(low)
