@@ -43,18 +43,7 @@ DRUG_FORMS = frozenset(
     "tablet tablets injection injections sol solution hydrochloride hcl sc iv im oral capsule capsules cream gel spray infusion biosimilar free sodium acetate mesylate sulfate phosphate"
     " maleate tartrate potassium vial vials syringe pen patch drops er xr sr".split()
 )
-# Common short forms of given names beside those of the table.
-NICKNAMES = {
-    "hans": "johannes", "jo": "josephine", "zach": "zachary", "zack": "zachary", "zak": "zachary", "paco": "francisco", "pancho": "francisco", "fran": "francisco", "nell": "eleanor", "ellie": "eleanor",
-    "nora": "eleanor", "lena": "eleanor", "pat": "patrick", "paddy": "patrick", "rick": "patrick", "dora": "dorothea", "dot": "dorothea", "dottie": "dorothea", "thea": "dorothea", "uschi": "ursula",
-    "ulla": "ursula", "yoli": "yolanda", "yola": "yolanda", "rob": "robert", "bobby": "robert", "robbie": "robert", "bert": "robert", "kathy": "katherine", "katie": "katherine", "kit": "katherine",
-    "will": "william", "billy": "william", "liam": "william", "beth": "elizabeth", "betty": "elizabeth", "eliza": "elizabeth", "lizzie": "elizabeth", "mick": "michael", "mikey": "michael",
-    "maggie": "margaret", "meg": "margaret", "greta": "margaret", "rich": "richard", "ricky": "richard", "susan": "susanna", "susie": "susanna", "tommy": "thomas", "vic": "victoria", "tori": "victoria",
-    "ant": "anthony", "jenny": "jennifer", "kris": "christopher", "topher": "christopher", "gabi": "gabriella", "danny": "daniel", "nelly": "penelope", "freddy": "frederick", "fritz": "frederick",
-    "alex": "alexandra", "lexi": "alexandra", "sandra": "alexandra", "harry": "henry", "hal": "henry", "livvy": "olivia", "ollie": "olivia", "nicky": "nicholas", "klaus": "nicholas", "izzy": "isabella",
-    "belle": "isabella", "lars": "lawrence", "laurie": "lawrence", "jossie": "josephine", "joey": "josephine",
-}
-# Words for kinds of deals and of technologies.
+# Words for kinds of deals.
 DEALS = {
     "merger": "merger combination tie tieup fusion amalgamation",
     "acquisition": "acquisition buyout takeover purchase",
@@ -62,19 +51,13 @@ DEALS = {
     "license": "license licence licensing lic",
 }
 DEAL_REST = frozenset("agreement deal up out buy over take joint venture pact".split())
-TECHNOLOGIES = {
-    "base editing platform": ("base editing editor edit be", "platform"),
-    "antibody drug conjugate": ("antibody drug conjugate conjugates adc adcs", ""),
-    "lipid nanoparticle system": ("lipid nanoparticle nanoparticles nano particle particles lnp", "system"),
-    "protein design engine": ("protein prot design", "engine"),
-    "viral vector process": ("viral vector", "process proc"),
-    "single cell sequencing": ("single cell sc sequencing seq", ""),
-}
 #: A code: up to five letters, perhaps with points, and three to six digits, with or without a joint.
 _CODE = re.compile(r"(?<![a-z0-9])[a-z](?:\.?[a-z]){0,4}\.?[\s\-]*\d{3,6}[a-z]?(?![a-z0-9])")
 _KIND = {w: k for k, words in DEALS.items() for w in words.split()}
-_TECH = {w: k for k, (own, rest) in TECHNOLOGIES.items() for w in own.split()}
-_TECH_REST = {w for _, rest in TECHNOLOGIES.values() for w in rest.split()}
+#: A phrase is a kind of thing, and no name, when it stands beside at least so many different names, and beside this share of all names of its type.
+KIND_NAMES, KIND_SHARE, KIND_WORDS = 10, 0.02, 4
+#: Two given names are one when they are the only two of a family in so many families, and in this share of the rarer one's families.
+ALIAS_FAMILIES, ALIAS_SHARE = 2, 0.5
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -126,11 +109,39 @@ def plain(name: str) -> str:
     return " ".join(text.split())
 
 
+def kindred(word: str, phrase: list[str]) -> bool:
+    """Can a word stand for words of a phrase: misspelled, cut off, inflected, a part of one, or the initials of neighbours?"""
+    bare = word[:-1] if len(word) > 3 and word.endswith("s") else word
+    for w in phrase:
+        shared = next((i for i, (x, y) in enumerate(zip(word, w)) if x != y), min(len(word), len(w)))
+        if word == w or (len(word) >= 3 and shared == len(word)) or (shared >= 4 and shared * 5 >= 3 * min(len(word), len(w))):
+            return True
+        if (len(bare) >= 6 and bare in w) or (len(w) >= 6 and len(word) >= 5 and edit_distance(word, w, 2) <= 2):
+            return True
+    for i in range(len(phrase) - 1):  # initials: at least of two neighbours, then letters in their order
+        rest = iter("".join(x[1:] if k == 0 else x for k, x in enumerate(phrase[i + 1 :])))
+        if len(bare) >= 2 and bare[0] == phrase[i][0] and bare[1] == phrase[i + 1][0] and all(c in rest for c in bare[2:]):
+            return True
+    return False
+
+
+def kinds_of(phrases: list[str]) -> list[list[str]]:
+    """The kinds among phrases that come most frequent first: no part of a longer phrase, and no other way of writing one that came before."""
+    found: list[list[str]] = []
+    for phrase in phrases:
+        words = phrase.split()
+        longer = any(f" {phrase} " in f" {x} " and x != phrase for x in phrases)
+        if not longer and not any(all(kindred(w, k) for w in words) for k in found):
+            found.append(words)
+    return found
+
+
 class Parser:
-    """Reads names; forms: (short form, full form, kind) of the table of short forms."""
+    """Reads names; forms: (short form, full form, kind) of the table of short forms; kinds: the kinds of technologies, as words."""
 
-    def __init__(self, forms: list[tuple[str, str, str]]):
-        self.given = dict(NICKNAMES)
+    def __init__(self, forms: list[tuple[str, str, str]], kinds: list[list[str]] = ()):
+        self.kinds = list(kinds)
+        self.given: dict[str, str] = {}
         self.fields: dict[str, str] = {}
         for short, full, kind in forms:
             if short is None or full is None:
@@ -234,17 +245,11 @@ class Parser:
 
     def technology(self, name: str) -> list[tuple[str, str, str]]:
         words = [re.sub(r"[^a-z0-9]", "", w) for w in re.sub(r"'s\b", "", name.lower()).replace("-", " ").replace("(", " ").replace(")", " ").replace("/", " ").split()]
-        votes: dict[str, int] = {}
-        core = []
-        for w in words:
-            kind = _TECH.get(w) or (next((k for v, k in _TECH.items() if len(v) >= 6 and len(w) >= 5 and edit_distance(w, v, 2) <= 2), None))
-            if kind:
-                votes[kind] = votes.get(kind, 0) + 1
-            elif not w or w in LEGAL or w in _TECH_REST or any(len(v) >= 6 and edit_distance(w, v, 1) <= 1 for v in _TECH_REST):
-                pass
-            else:
-                core.append(w)
-        return [(max(sorted(votes), key=votes.get) if votes else "", "".join(core), "")]
+        words = [w for w in words if w and w not in LEGAL]
+        found = [(sum(kindred(w, k) for w in words), -i) for i, k in enumerate(self.kinds)]
+        votes, i = max(found, default=(0, 0))
+        kind = self.kinds[-i] if votes else []
+        return [(" ".join(kind), "".join(w for w in words if not kindred(w, kind)), "")]
 
     def deal(self, name: str) -> list[tuple[str, str, str]]:
         words = [w for w in re.findall(r"[a-z0-9]+", name.lower().replace("'s", "")) if w not in LEGAL]
@@ -299,16 +304,36 @@ def probe_keys(core: str, edits: Callable[[int], int] = allowed) -> set[tuple]:
     return keys
 
 
+def learned_kinds(entities: DataFrame, of: str, name: str = "name", kind: str = "entity_type") -> list[list[str]]:
+    """The phrases by which things of one type are classed, most frequent first, learned from all names of the type.
+
+    A phrase of up to KIND_WORDS words is one when it stands beside many different names; a name stands
+    beside the few ways of writing its own kind. What the driver reads is bounded: a name has no more
+    phrases than KIND_WORDS times its words, so at most that many by 1 / KIND_SHARE can have their share.
+    """
+    words = F.filter(F.split(F.regexp_replace(F.lower(name), "'s\\b", ""), "[^a-z0-9]+"), lambda x: x != "")
+    base = entities.where(F.lower(F.trim(F.col(kind))) == of).select(words.alias("w")).where("size(w) > 0").distinct()
+    parts = F.expr(
+        f"flatten(transform(sequence(1, least({KIND_WORDS}, size(w))), n -> transform(sequence(1, size(w) - n + 1), i ->"
+        " struct(array_join(slice(w, i, n), ' ') as phrase, array_join(array_sort(concat(slice(w, 1, i - 1), slice(w, i + n, size(w)))), ' ') as rest))))"
+    )
+    beside = base.select(F.explode(parts).alias("p")).select("p.*").where("rest <> ''").distinct().groupBy("phrase").agg(F.count(F.lit(1)).alias("names"))
+    least = base.agg(F.greatest(F.lit(KIND_NAMES), F.ceil(F.count(F.lit(1)) * KIND_SHARE)).alias("least"))
+    rows = beside.join(least, F.col("names") >= F.col("least")).orderBy(F.desc("names"), "phrase").collect()
+    return kinds_of([r.phrase for r in sorted(rows, key=lambda r: (-len(r.phrase.split()) * r.names, r.phrase))])
+
+
 def parsed_names(entities: DataFrame, forms: DataFrame, key: str = "id", name: str = "name", kind: str = "entity_type") -> DataFrame:
     """(id, kind, qualifier, core, given), a row for each reading. Null names and null or blank types are dropped: they name nothing."""
     rows = forms.select("short_form", "full_form", "form_kind").limit(MAX_FORMS + 1).collect()
     if len(rows) > MAX_FORMS:
         raise ValueError(f"more than {MAX_FORMS} short forms")
     table = [tuple(r) for r in rows]
+    kinds = learned_kinds(entities, "technology", name, kind)
     base = entities.select(F.col(key).alias("id"), F.lower(F.trim(F.col(kind))).alias("kind"), F.col(name).alias("name")).where("name is not null and trim(name) <> '' and kind <> ''")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parser = Parser(table)
+        parser = Parser(table, kinds)
         for batch in batches:
             out = [(i, k, q, c, g) for i, k, n in zip(batch["id"], batch["kind"], batch["name"]) for q, c, g in parser.parse(k, n)]
             yield pd.DataFrame(out, columns=["id", "kind", "qualifier", "core", "given"], dtype=object)
@@ -362,10 +387,13 @@ def _persons(named: DataFrame) -> DataFrame:
     whole = nodes.where(F.length("given") > 1)
 
     close = similar_cores(whole.select(F.col("family").alias("block"), F.col("given").alias("core")), allowed_given)
-    # a given name that is cut short ("Zach") is a prefix of the whole one
-    prefixes = whole.where(F.length("given") > 3).select(F.col("family").alias("block"), F.col("given").alias("core_a"), F.explode(F.transform(F.sequence(F.lit(3), F.length("given") - 1), lambda n: F.col("given").substr(F.lit(1), n))).alias("core_b"))
-    cut = prefixes.join(whole.select(F.col("family").alias("block"), F.col("given").alias("core_b")), ["block", "core_b"], "left_semi")
-    pairs = close.unionByName(cut)
+    # a given name that is cut short ("Zach"), or a part of one with a pet ending ("Dora"), stands in the whole one
+    spelled = whole.select(F.col("family").alias("block"), F.col("given"))
+    stems = spelled.select("block", F.col("given").alias("core_b"), F.explode(F.array_distinct(F.array("given", F.regexp_replace("given", "(?:ie|ey|[iyeao])$", "")))).alias("part")).where("length(part) >= 3")
+    parts = "flatten(transform(sequence(3, length(given)), n -> transform(sequence(1, length(given) - n + 1), i -> substr(given, i, n))))"
+    inside = spelled.where("length(given) > 3").select("block", F.col("given").alias("core_a"), F.explode(F.array_distinct(F.expr(parts))).alias("part"))
+    cut = inside.join(stems, ["block", "part"]).where("core_a <> core_b and length(core_a) > length(core_b)").select("block", "core_a", "core_b").distinct()
+    pairs = as_table(close.unionByName(cut).unionByName(_aliases(spelled)).distinct(), "given-pairs")
     node = lambda c, f="family": F.concat_ws("|", f, c)
     parts = connected_components(pairs.select(node("core_a", "block").alias("src"), node("core_b", "block").alias("dst")))
     known = whole.withColumn("node", node("given")).join(parts, "node", "left").select("family", "given", F.coalesce("component", "node").alias("class"))
@@ -381,6 +409,20 @@ def _persons(named: DataFrame) -> DataFrame:
     return named.join(known.unionByName(placed), ["family", "given"]).select("id", "class")
 
 
+def _aliases(named: DataFrame) -> DataFrame:
+    """(block, core_a, core_b): the given names of one family that are used for each other elsewhere, however unlike they look.
+
+    The evidence are the families with just two given names, one pair each: two names of different
+    people meet in few of them by chance, a name and its pet form in most families that have it.
+    """
+    two = named.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("given").alias("core_a"), F.max("given").alias("core_b")).where("n = 2").select("core_a", "core_b")
+    both = two.groupBy("core_a", "core_b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ALIAS_FAMILIES)
+    each = two.select(F.explode(F.array("core_a", "core_b")).alias("given")).groupBy("given").agg(F.count(F.lit(1)).alias("families"))
+    rarer = both.join(each.select(F.col("given").alias("core_a"), F.col("families").alias("fa")), "core_a").join(each.select(F.col("given").alias("core_b"), F.col("families").alias("fb")), "core_b")
+    known = rarer.where(F.col("n") >= ALIAS_SHARE * F.least("fa", "fb")).select("core_a", "core_b")
+    return named.withColumnRenamed("given", "core_a").join(known, "core_a").join(named.withColumnRenamed("given", "core_b"), ["block", "core_b"]).select("block", "core_a", "core_b")
+
+
 def same_entity_pairs(entities: DataFrame, forms: DataFrame, key: str = "id", name: str = "name", kind: str = "entity_type") -> DataFrame:
     """(entity_id_a, entity_id_b): every two rows of one type that name the same thing, a < b."""
     classes = as_table(entity_classes(entities, forms, key, name, kind).distinct(), "classes")
