@@ -4,8 +4,8 @@ Level 0 are windows of ``BASE`` = 50 characters at *anchors*: of each run of ``R
 positions the one with the least hash. Two records that share a span share its anchors, and a span
 of ``MIN_SPAN`` = 200 characters has one so near its start that the window of 100 characters there
 still lies inside the span. A window that stands in one record only is dropped; the others are
-extended to twice their length: 50, 100, 200. At 200 a window may lie to the right of its anchor, or
-as far to the left as the first 100 characters allow; these two are one row each (128-bit hashes).
+extended to twice their length: 50, 100, 200. At 200 a window may begin at its anchor, or
+as far before it as the first 100 characters allow; these two are kept for each anchor (128-bit hashes).
 Only where the records of an anchor disagree on both sides, so that a span may begin and end within
 these bounds, are the windows between them compared one by one. Nothing is sampled: each shared span
 is found. For the report of spans (:func:`spans`) the surviving windows are doubled further, until no
@@ -33,6 +33,10 @@ from quillgrid.runtime import as_table
 #: RUN - 1 + 2 * BASE must not exceed MIN_SPAN, nor RUN - 1 + BASE.
 MIN_SPAN, BASE, RUN = 200, 50, 101
 LEVELS = 2
+#: So far before an anchor a span of MIN_SPAN may begin that holds the anchor's window of the last level.
+BACK = MIN_SPAN - (BASE << LEVELS - 1)
+#: Characters of texts that are hashed together.
+TOGETHER = 1 << 20
 #: Texts are hashed together in pieces of so many characters; longer ones are cut into overlapping pieces.
 PIECE = 1 << 16
 
@@ -156,40 +160,63 @@ def hash_windows(codes: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarr
     return both[:, 0], both[:, 1]
 
 
+def _together(frame: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts with their living anchors, some at a time: (codes of all, number of the row, where its text begins, anchor), the last three for each anchor."""
+    codes, rows, begins, anchors, size = [], [], [], [], 0
+    for number, (text, alive) in enumerate(zip(frame["text"], frame["alive"])):
+        c, at = _codes(text), np.unique(np.asarray(alive, np.int64))
+        codes.append(c)
+        rows.append(np.full(len(at), number))
+        begins.append(np.full(len(at), size))
+        anchors.append(at)
+        size += len(c)
+        if size > TOGETHER:
+            yield np.concatenate(codes), np.concatenate(rows), np.concatenate(begins), np.concatenate(anchors)
+            codes, rows, begins, anchors, size = [], [], [], [], 0
+    if codes:
+        yield np.concatenate(codes), np.concatenate(rows), np.concatenate(begins), np.concatenate(anchors)
+
+
 def _side_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The windows of MIN_SPAN characters that begin at the living anchors (side 0), or as far before them as the anchors' windows of the last level allow (side 1)."""
-    back = MIN_SPAN - (BASE << LEVELS - 1)
+    """For each living anchor the hashes of the windows of MIN_SPAN characters that begin there (x0, y0), or BACK before (x1, y1), null where they don't fit; and the characters of both."""
     for batch in batches:
-        made = []
-        for record, text, alive, groups in zip(batch["record"], batch["text"], batch["alive"], batch["groups"]):
-            codes, at, g = _codes(text), np.asarray(alive, np.int64), np.asarray(groups, np.int64)
-            for side, start in ((0, at), (1, at - back)):
-                fits = (start >= 0) & (start + MIN_SPAN <= len(codes))
-                x, y = hash_windows(codes, start[fits], MIN_SPAN)
-                made.append(pd.DataFrame({"record": record, "anchor": at[fits].astype(np.int32), "at": start[fits].astype(np.int32), "g": g[fits], "side": np.int8(side), "x": x, "y": y}))
-        yield pd.concat(made, ignore_index=True) if made else pd.DataFrame(columns=["record", "anchor", "at", "g", "side", "x", "y"])
+        records, texts = batch["record"].to_numpy(), batch["text"].to_numpy()
+        length = np.array([len(x) for x in texts], np.int64)
+        groups = [dict(zip(a.tolist(), g.tolist())) for a, g in zip(batch["alive"], batch["groups"])]
+        for codes, row, begin, at in _together(batch):
+            out = {"record": records[row], "anchor": at.astype(np.int32), "g": np.array([groups[r][a] for r, a in zip(row.tolist(), at.tolist())], np.int64)}
+            for side, start in ((0, at), (1, at - BACK)):
+                fits = np.flatnonzero((start >= 0) & (start + MIN_SPAN <= length[row]))
+                for name, h in zip(("x", "y"), hash_windows(codes, (begin + start)[fits], MIN_SPAN)):
+                    column = pd.array(np.zeros(len(at), np.int64), dtype="Int64")
+                    column[:] = pd.NA
+                    column[fits] = h
+                    out[f"{name}{side}"] = column
+            out["start"] = np.maximum(0, at - BACK).astype(np.int32)
+            out["context"] = [texts[r][max(0, a - BACK) : a + MIN_SPAN] for r, a in zip(row.tolist(), at.tolist())]
+            yield pd.DataFrame(out)
 
 
 def _between_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All windows of MIN_SPAN characters that begin at some anchors or less than a level before them."""
-    back = MIN_SPAN - (BASE << LEVELS - 1)
+    """All windows of MIN_SPAN characters in the contexts of some anchors."""
     for batch in batches:
-        for record, text, alive in zip(batch["record"], batch["text"], batch["alive"]):
-            codes = _codes(text)
-            at = np.unique(np.asarray(alive, np.int64)[:, None] - np.arange(back + 1))
-            at = at[(at >= 0) & (at + MIN_SPAN <= len(codes))]
-            x, y = hash_windows(codes, at, MIN_SPAN)
-            yield pd.DataFrame({"record": record, "at": at.astype(np.int32), "x": x, "y": y})
+        records, begin = batch["record"].to_numpy(), batch["start"].to_numpy()
+        for codes, parts in _pieces(batch["context"]):
+            w = _starts(parts)
+            x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][w].astype(np.int64) for seed in (1, 4))
+            number, place = _owners(w, parts)
+            rows = pd.DataFrame({"record": records[number], "at": (place + begin[number]).astype(np.int32), "x": x, "y": y})
+            yield rows.drop_duplicates(["record", "at"])
 
 
 def _double_rows(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for record, text, alive in zip(batch["record"], batch["text"], batch["alive"]):
-                codes, at = _codes(text), np.unique(np.asarray(alive, np.int64))
-                at = at[at + size <= len(codes)]
-                x, y = hash_windows(codes, at, size)
-                yield pd.DataFrame({"record": record, "at": at.astype(np.int32), "x": x, "y": y})
+            records, length = batch["record"].to_numpy(), np.array([len(x) for x in batch["text"]], np.int64)
+            for codes, row, begin, at in _together(batch):
+                fits = at + size <= length[row]
+                x, y = hash_windows(codes, (begin + at)[fits], size)
+                yield pd.DataFrame({"record": records[row[fits]], "at": at[fits].astype(np.int32), "x": x, "y": y})
 
     return run
 
@@ -229,24 +256,29 @@ def _with_texts(texts: DataFrame, alive: DataFrame, *also: str) -> DataFrame:
 
 
 def side_windows(texts: DataFrame, alive: DataFrame) -> DataFrame:
-    """(record, anchor, at, g, side, x, y): the two windows of MIN_SPAN characters at each living anchor that fit, as a table."""
+    """(record, anchor, g, x0, y0, x1, y1, start, context): the two windows of MIN_SPAN characters at each living anchor, as a table."""
     kind = texts.schema["record"].dataType.simpleString()
-    return as_table(_with_texts(texts, alive, "g").mapInPandas(_side_rows, f"record {kind}, anchor int, at int, g long, side byte, x long, y long"), "sides", ("x", "y"))
+    schema = f"record {kind}, anchor int, g long, x0 long, y0 long, x1 long, y1 long, start int, context string"
+    return as_table(_with_texts(texts, alive, "g").mapInPandas(_side_rows, schema), "sides", ("x0", "y0", "x1", "y1", "context"))
 
 
-def _windows_between(texts: DataFrame, alive: DataFrame, groups: DataFrame) -> DataFrame:
+def _both_sides(sides: DataFrame) -> DataFrame:
+    """(record, at, x, y) of the windows on both sides."""
+    one = lambda n, at: sides.where(f"x{n} is not null").select("record", at.cast("int").alias("at"), F.col(f"x{n}").alias("x"), F.col(f"y{n}").alias("y"))
+    return one(0, F.col("anchor")).unionByName(one(1, F.col("anchor") - BACK))
+
+
+def _windows_between(sides: DataFrame, groups: DataFrame) -> DataFrame:
     """(record, at, x, y): the windows between the two sides of the anchors in ``groups`` (g), as a table."""
-    kind = texts.schema["record"].dataType.simpleString()
-    wanted = as_table(alive.join(groups, "g", "left_semi").select("record", "at"), "wanted")
-    return as_table(_with_texts(texts, wanted).mapInPandas(_between_rows, f"record {kind}, at int, x long, y long"), "between", ("x", "y"))
+    kind = sides.schema["record"].dataType.simpleString()
+    wanted = sides.join(groups, "g", "left_semi").select("record", "start", "context")
+    return as_table(wanted.mapInPandas(_between_rows, f"record {kind}, at int, x long, y long"), "between", ("x", "y"))
 
 
-def _disagreeing(alive: DataFrame, sides: DataFrame) -> DataFrame:
+def _disagreeing(sides: DataFrame) -> DataFrame:
     """(g): the anchors whose records differ in the window on either side; a record whose text ends there differs from all."""
     lone = F.xxhash64("record", "anchor")
-    of = lambda side: sides.where(F.col("side") == side).select("record", "anchor", F.col("x").alias(f"x{side}"))
-    both = alive.select("record", F.col("at").alias("anchor"), "g").join(of(0), ["record", "anchor"], "left").join(of(1), ["record", "anchor"], "left")
-    told = both.select("g", F.coalesce("x0", lone).alias("x0"), F.coalesce("x1", lone).alias("x1"))
+    told = sides.select("g", F.coalesce("x0", lone).alias("x0"), F.coalesce("x1", lone).alias("x1"))
     return told.groupBy("g").agg(*[f(x).alias(f"{n}_{x}") for x in ("x0", "x1") for n, f in (("min", F.min), ("max", F.max))]).where("min_x0 < max_x0 and min_x1 < max_x1").select("g")
 
 
@@ -267,8 +299,8 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = _texts(documents, classes, key, text)
     alive = living_anchors(texts)
     sides = side_windows(texts, alive)
-    between = _windows_between(texts, alive, as_table(_disagreeing(alive, sides), "disagreeing"))
-    windows = sides.select("x", "y", "record").unionByName(between.select("x", "y", "record")).distinct()
+    between = _windows_between(sides, as_table(_disagreeing(sides), "disagreeing"))
+    windows = _both_sides(sides).select("x", "y", "record").unionByName(between.select("x", "y", "record")).distinct()
     # one window stands for all that the same records hold
     chosen = as_table(_holders(windows).groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y"), "chosen")
     groups = as_table(windows.join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")
@@ -286,15 +318,15 @@ def _repeated(texts: DataFrame, alive: DataFrame) -> tuple[DataFrame, DataFrame]
     not covered by its sides' windows all around; only these anchors are looked at more closely.
     """
     sides = side_windows(texts, alive)
-    held = sides.select("x", "y", "record").distinct().transform(_holders).select("x", "y", "n")
-    plain = as_table(sides.join(held, ["x", "y"]).select("record", "at", "n"), "repeated-sides")
-    back = MIN_SPAN - (BASE << LEVELS - 1)
+    both = _both_sides(sides)
+    held = both.select("x", "y", "record").distinct().transform(_holders).select("x", "y", "n")
+    plain = as_table(both.join(held, ["x", "y"]).select("record", "at", "n"), "repeated-sides")
     around = lambda: Window.partitionBy("record").orderBy("at")
     starts = plain.select("record", "at").distinct().withColumn("new", (F.col("at") > F.coalesce(F.lag("at").over(around()), F.lit(-MIN_SPAN - 1)) + MIN_SPAN).cast("int"))
     regions = starts.withColumn("region", F.sum("new").over(around())).groupBy("record", "region").agg(F.min("at").alias("x1"), (F.max("at") + MIN_SPAN).alias("x2")).drop("region")
-    inside = alive.join(regions, "record").where(F.col("at") - back >= F.col("x1")).where(F.col("at") + MIN_SPAN <= F.col("x2")).select("record", "at")
+    inside = alive.join(regions, "record").where(F.col("at") - BACK >= F.col("x1")).where(F.col("at") + MIN_SPAN <= F.col("x2")).select("record", "at")
     edges = as_table(alive.join(inside, ["record", "at"], "left_anti").select("g").distinct(), "edges")
-    between = _windows_between(texts, alive, edges)
+    between = _windows_between(sides, edges)
     more = between.select("x", "y", "record").distinct().transform(_holders).select("x", "y", "n")
     finer = between.join(more, ["x", "y"]).select("record", "at", "n")
     return as_table(plain.unionByName(finer).groupBy("record", "at").agg(F.max("n").alias("n")), "repeated"), sides
@@ -352,7 +384,7 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     around = Window.partitionBy("record").orderBy("at")
     marked = repeated.withColumn("new", (F.col("at") > F.coalesce(F.lag("at").over(around), F.lit(-MIN_SPAN - 1)) + MIN_SPAN).cast("int"))
     regions = marked.withColumn("region", F.sum("new").over(around)).groupBy("record", "region").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("n").alias("holders"))
-    right = sides.where("side = 0").select("record", "at", "x", "y")
+    right = sides.where("x0 is not null").select("record", F.col("anchor").alias("at"), F.col("x0").alias("x"), F.col("y0").alias("y"))
     twice = right.groupBy("x", "y").agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select("x", "y")
     long = doubled(texts, right.join(twice, ["x", "y"], "left_semi"))
     inside = regions.join(long, "record", "left").groupBy("record", "region", "first", "last", "holders").agg(F.max(F.when(F.col("at").between(F.col("first"), F.col("last")), F.col("longest"))).alias("longest"))
