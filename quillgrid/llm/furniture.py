@@ -220,6 +220,7 @@ _RUN = re.compile(r"[0-9]+")
 _SITE_LINK = re.compile(r"\[[^\]]*\]\((?:/|#|\?|mailto:)[^)]*\)")
 _TAG = re.compile(r"#[\w&-]+")
 _CRUMBS = re.compile(r"(?<=\S) (>|/|»|›|→|::) .*")
+_STEPS = (" > ", " / ", " » ", " › ", " → ", " :: ")
 _shapes: dict[str, int] = {}
 
 
@@ -232,7 +233,8 @@ def element_hash(low: str) -> int:
             shape = _SITE_LINK.sub("[]()", shape)
         if "#" in shape:
             shape = _TAG.sub("#", shape)
-        shape = _CRUMBS.sub(r" \1 *", shape)
+        if any(x in shape for x in _STEPS):
+            shape = _CRUMBS.sub(r" \1 *", shape)
         known = xxhash.xxh64_intdigest(shape) - (1 << 63)
         if len(low) <= 2 * SHORT:  # those that may recur
             if len(_shapes) > 100_000:
@@ -247,7 +249,7 @@ def elements(lines: list[str], lows: list[str]) -> tuple[list[int], list[bool]]:
     owning, below = [False] * len(lines), False
     for i in range(len(lines) - 1, -1, -1):
         if lines[i]:
-            owning[i], below = below, bool(LIST_ITEM.match(lines[i]))
+            owning[i], below = below, lines[i][0] in "*-+•0123456789" and bool(LIST_ITEM.match(lines[i]))
     return hashes, owning
 
 
