@@ -1,7 +1,8 @@
-"""Feeds and sitemaps as rows: payload text to entries, with the XML functions of the JVM.
+"""Feeds and sitemaps as rows: payload text to entries, with the XML parser of the JVM (``from_xml``).
 
-Roots and names are told by local name, so any namespace prefix will do. A payload that is no XML,
-or has another root, gives no rows.
+Elements are told by local name, whatever their namespace prefix and case. A payload that is not
+well-formed, a truncated one for example, or has another root, gives no rows. Character references
+and CDATA are resolved by the parser.
 """
 
 from __future__ import annotations
@@ -11,72 +12,70 @@ from pyspark.sql import functions as F
 
 from quillgrid.functions.dates import parse_datetime
 
-_ATOM_LINK = "array<struct<href:string,rel:string,text:string>>"
+_TEXTS = "array<string>"
+_ITEM = f"array<struct<link:array<struct<_VALUE:string,_href:string,_rel:string>>,title:{_TEXTS},description:{_TEXTS},summary:{_TEXTS},content:{_TEXTS},encoded:{_TEXTS},when:{_TEXTS},text:{_TEXTS}>>"
+_FEED = f"struct<channel:array<struct<item:{_ITEM}>>,item:{_ITEM},entry:{_ITEM},_corrupt_record:string>"
+_PLACE = f"array<struct<loc:{_TEXTS},lastmod:{_TEXTS}>>"
+_SITEMAP = f"struct<url:{_PLACE},sitemap:{_PLACE},_corrupt_record:string>"
+_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+_PROLOG = r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
+#: By root: the elements that may hold the description and the date of an entry.
+_DESCRIPTIONS = {"feed": "summary|content", "rdf": "description|encoded", "rss": "description|summary"}
+_DATES = {"feed": "updated|published", "rdf": "pubDate|updated|date", "rss": "pubDate|updated|date"}
 
 
-def _plain(xml: Column) -> Column:
-    """Without declarations, comments, namespace declarations and prefixes, so that plain paths match; CDATA is unwrapped."""
-    x = F.regexp_replace(xml, r"(?s)<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>", "")
-    x = F.regexp_replace(x, r"""\sxmlns(?::[\w.\-]+)?\s*=\s*(?:"[^"]*"|'[^']*')""", "")
-    x = F.regexp_replace(x, r"(</?)[\w.\-]+:([\w.\-]+)", "$1$2")
-    return F.regexp_replace(x, r"(\s)[\w.\-]+:([\w.\-]+\s*=)", "$1$2")
-
-
-def _blocks(xml: Column, tag: str) -> Column:
-    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>.*?</{tag}>"), F.lit(0))
-
-
-def _unescape(t: Column) -> Column:
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(char))
-    return t
+def root_of(xml: Column) -> Column:
+    """The local name of the root element in lower case."""
+    return F.lower(F.regexp_extract(xml, _PROLOG + r"<(?:[\w.\-]+:)?([\w.\-]+)", 1))
 
 
-def _field(block: Column, *tags: str) -> Column:
-    """The text of the first of some elements in document order, '' where there is none."""
-    raw = F.regexp_extract(block, rf"(?s)<(?:{'|'.join(tags)})(?:\s[^>]*)?>(.*?)</(?:{'|'.join(tags)})>", 1)
-    cdata = F.regexp_extract(raw, r"(?s)<!\[CDATA\[(.*?)\]\]>", 1)
-    return F.trim(F.when(cdata != "", cdata).otherwise(_unescape(F.regexp_replace(raw, "<[^>]+>", ""))))
+def _renamed(xml: Column, tags: str, name: str) -> Column:
+    """Elements of several names under one name, so that the parser keeps their order."""
+    return F.regexp_replace(xml, rf"(?i)<(/?)(?:[\w.\-]+:)?(?:{tags})(?=[\s/>])", f"<$1{name}")
 
 
-def root_of(xml: Column) -> Column:
-    """The local name of the root element in lower case."""
-    return F.lower(F.regexp_extract(_plain(xml), r"^\s*<([\w.\-]+)", 1))
+def _first(values: Column) -> Column:
+    """The text of the first of some elements, '' where there is none."""
+    return F.trim(F.coalesce(F.get(values, F.lit(0)), F.lit("")))
 
 
-def atom_link(entry: Column) -> Column:
-    """The first link with an address whose rel is missing, empty or 'alternate', else the element's text."""
-    tags = F.regexp_extract_all(entry, F.lit(r"<link\b[^>]*>"), F.lit(0))
-    parts = F.transform(tags, lambda t: F.struct(F.regexp_extract(t, r"""href\s*=\s*["']([^"']*)["']""", 1).alias("href"), F.lower(F.regexp_extract(t, r"""rel\s*=\s*["']([^"']*)["']""", 1)).alias("rel")))
-    good = F.filter(parts, lambda p: (p["href"] != "") & p["rel"].isin("", "alternate"))
-    return F.coalesce(F.when(F.size(good) > 0, _unescape(good[0]["href"])), _field(entry, "link"))
+def _link(links: Column) -> Column:
+    """Of the links of an Atom entry the first with an address and no other relation than 'alternate', or with a text."""
+    told = F.transform(links, lambda x: F.when((F.coalesce(x["_href"], F.lit("")) != "") & F.coalesce(x["_rel"], F.lit("")).isin("", "alternate"), F.trim(x["_href"])).otherwise(F.trim(F.coalesce(x["_VALUE"], F.lit("")))))
+    return F.coalesce(F.get(F.filter(told, lambda x: x != ""), F.lit(0)), F.lit(""))
 
 
 def feed_entries(payloads: DataFrame, body: str = "body") -> DataFrame:
     """The payload's columns with (kind, pos, url, title, description, published_at) for each entry of an RSS 2.0, Atom or RSS 1.0 feed.
 
-    The description is the first of the kind's elements; the date the first of its date elements in
-    document order, null where it cannot be read. Entries without an address are dropped.
+    url, title, description and date are each the text of the first element, in document order, of
+    those that may hold it; so an item whose first link has no text has no address. A date that cannot
+    be read is null. Entries without an address are dropped. Descriptions that quote in CDATA an
+    element of the other name are looked up by name instead of by order.
     """
-    flat = payloads.withColumn("__xml", _plain(F.col(body))).withColumn("__root", F.lower(F.regexp_extract("__xml", r"^\s*<([\w.\-]+)", 1)))
-    kind = F.when(F.col("__root") == "feed", "atom").when(F.col("__root") == "rdf", "rdf").when(F.col("__root").isin("rss", "channel"), "rss")
-    entry = F.when(kind == "atom", _blocks(F.col("__xml"), "entry")).otherwise(_blocks(F.col("__xml"), "item"))
-    rows = flat.withColumn("kind", kind).where("kind is not null").select(*payloads.columns, "kind", F.posexplode(entry).alias("pos", "__e"))
-    e = F.col("__e")
-    url = F.when(F.col("kind") == "atom", atom_link(e)).otherwise(_field(e, "link"))
-    description = F.when(F.col("kind") == "atom", _field(e, "summary", "content")).when(F.col("kind") == "rdf", _field(e, "description", "encoded")).otherwise(_field(e, "description", "summary"))
-    date = F.when(F.col("kind") == "atom", _field(e, "updated", "published")).otherwise(_field(e, "pubDate", "updated", "date"))
-    made = rows.select(*payloads.columns, "kind", "pos", F.trim(url).alias("url"), _field(e, "title").alias("title"), description.alias("description"), parse_datetime(date).alias("published_at"))
+    root = F.col("__root")
+    known = payloads.withColumn("__root", root_of(F.col(body))).where(root.isin(*_DATES))
+    xml, quoted = F.col(body), rf"(?is)<!\[CDATA\[(?:(?!\]\]>).)*<(?:{'|'.join(sorted(set('|'.join(_DESCRIPTIONS.values()).split('|'))))})[\s/>]"
+    one = F.when(root == "feed", _renamed(_renamed(xml, _DATES["feed"], "when"), _DESCRIPTIONS["feed"], "text"))
+    one = one.when(root == "rdf", _renamed(_renamed(xml, _DATES["rdf"], "when"), _DESCRIPTIONS["rdf"], "text")).otherwise(_renamed(_renamed(xml, _DATES["rss"], "when"), _DESCRIPTIONS["rss"], "text"))
+    plain = _renamed(xml, "|".join(sorted({*_DATES["feed"].split("|"), *_DATES["rss"].split("|")})), "when")
+    parsed = known.withColumn("__x", F.from_xml(F.when(xml.rlike(quoted), plain).otherwise(one), _FEED, _OPTIONS)).where("__x._corrupt_record is null")
+    items = F.when(root == "feed", F.col("__x.entry")).when(root == "rdf", F.col("__x.item")).otherwise(F.get(F.col("__x.channel"), F.lit(0))["item"])
+    rows = parsed.select(*payloads.columns, F.replace(root, F.lit("feed"), F.lit("atom")).alias("kind"), F.posexplode(items).alias("pos", "__e"))
+    e, atom = F.col("__e"), F.col("kind") == "atom"
+    url = F.when(atom, _link(e["link"])).otherwise(F.trim(F.coalesce(F.get(e["link"], F.lit(0))["_VALUE"], F.lit(""))))
+    named = F.when(atom, F.coalesce(e["summary"], e["content"])).when(F.col("kind") == "rdf", F.coalesce(e["description"], e["encoded"])).otherwise(F.coalesce(e["description"], e["summary"]))
+    made = rows.select(*payloads.columns, "kind", "pos", url.alias("url"), _first(e["title"]).alias("title"), _first(F.coalesce(e["text"], named)).alias("description"), parse_datetime(_first(e["when"])).alias("published_at"))
     return made.where("url <> ''")
 
 
 def sitemap_entries(payloads: DataFrame, body: str = "body") -> DataFrame:
     """The payload's columns with (pos, url, published_at, is_sitemap) for each entry of a urlset or sitemapindex; entries without loc are dropped."""
-    flat = payloads.withColumn("__xml", _plain(F.col(body))).withColumn("__root", F.lower(F.regexp_extract("__xml", r"^\s*<([\w.\-]+)", 1)))
-    index = F.col("__root") == "sitemapindex"
-    entry = F.when(index, _blocks(F.col("__xml"), "sitemap")).otherwise(_blocks(F.col("__xml"), "url"))
-    rows = flat.where(F.col("__root").isin("urlset", "sitemapindex")).select(*payloads.columns, index.alias("is_sitemap"), F.posexplode(entry).alias("pos", "__e"))
-    made = rows.select(*payloads.columns, "pos", _field(F.col("__e"), "loc").alias("url"), parse_datetime(_field(F.col("__e"), "lastmod")).alias("published_at"), "is_sitemap")
+    index = root_of(F.col(body)) == "sitemapindex"
+    parsed = payloads.select("*", index.alias("is_sitemap"), F.from_xml(body, _SITEMAP, _OPTIONS).alias("__x")).where("__x._corrupt_record is null")
+    rows = parsed.select(*payloads.columns, "is_sitemap", F.posexplode(F.when(F.col("is_sitemap"), F.col("__x.sitemap")).otherwise(F.col("__x.url"))).alias("pos", "__e"))
+    e = F.col("__e")
+    made = rows.select(*payloads.columns, "pos", _first(e["loc"]).alias("url"), parse_datetime(_first(e["lastmod"])).alias("published_at"), "is_sitemap")
     return made.where("url <> ''")
 
 
