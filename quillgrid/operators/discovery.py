@@ -49,8 +49,8 @@ def rank_final(candidates: DataFrame, source: str, limit: int) -> DataFrame:
 def find_existing(candidates: DataFrame, articles: DataFrame, url: str = "url", normalized: str = "normalized_url") -> DataFrame:
     """Candidates with existing_id and existing_hash of the stored article with the same normalized address, else the same address. Two equi-joins; an OR would become a nested loop."""
     stored = articles.select(F.col("id").alias("__id"), F.col("content_hash").alias("__hash"), F.col("normalized_url").alias("__norm"), F.col("url").alias("__url"))
-    one = stored.select(F.struct("__id", "__hash").alias("__a"), "__norm").dropDuplicates(["__norm"])
-    two = stored.select(F.struct("__id", "__hash").alias("__b"), "__url").dropDuplicates(["__url"])
+    one = stored.groupBy("__norm").agg(F.min(F.struct("__id", "__hash")).alias("__a"))  # of several, the least id
+    two = stored.groupBy("__url").agg(F.min(F.struct("__id", "__hash")).alias("__b"))
     joined = candidates.join(one, F.col(normalized) == F.col("__norm"), "left").join(two, F.col(url) == F.col("__url"), "left")
     hit = F.coalesce("__a", "__b")
     return joined.withColumns({"existing_id": hit["__id"], "existing_hash": hit["__hash"]}).drop("__a", "__b", "__norm", "__url")
@@ -91,11 +91,47 @@ def first_working(attempts: DataFrame, key: str, order: str, failed: str, surfac
 
 
 def failure_runs(events: DataFrame, key: str, order: list[str], failed: str, trip: int = 3) -> DataFrame:
-    """The events with ``run_length``, the failures in a row up to here, and ``tripped``, true where it reaches ``trip``. A success resets."""
+    """The events with ``run_length``, the failures in a row up to here, and ``tripped``, true from the ``trip``-th on. A success resets."""
     w = Window.partitionBy(key).orderBy(*order)
     island = events.withColumn("__island", F.count_if(~F.col(failed)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     position = F.count_if(F.col(failed)).over(Window.partitionBy(key, "__island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return island.withColumn("run_length", F.when(F.col(failed), position).otherwise(0).cast("long")).drop("__island").withColumn("tripped", F.col("run_length") == trip)
+    return island.withColumn("run_length", F.when(F.col(failed), position).otherwise(0).cast("long")).drop("__island").withColumn("tripped", F.col("run_length") >= trip)
+
+
+def surface_state(events: DataFrame, key: str, order: list[str], failed: str, at: str, error: str, trip: int = 3, hours: int = 6) -> DataFrame:
+    """(key, error_count, last_error, cooldown_until, last_successful_discovery_at) after all events of a key.
+
+    Each failure from the ``trip``-th in a row on sets the cooldown anew; a success sets the count to 0
+    and error and cooldown to null.
+    """
+    judged = failure_runs(events, key, order, failed, trip)
+    last = F.max(F.struct(*order, "run_length", "tripped", failed, F.col(at).alias("__at"), F.col(error).alias("__error"))).alias("s")
+    ended = judged.groupBy(key).agg(last, F.max(F.when(~F.col(failed), F.col(at))).alias("last_successful_discovery_at"))
+    return ended.select(
+        key,
+        F.col("s.run_length").cast("int").alias("error_count"),
+        F.when(F.col(f"s.{failed}"), F.col("s.__error")).alias("last_error"),
+        F.when(F.col("s.tripped"), F.col("s.__at") + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("cooldown_until"),
+        "last_successful_discovery_at",
+    )
+
+
+def checkpoint_after(checkpoint: Column, key: Column, at: Column) -> Column:
+    """A checkpoint map with the instant of one more surface, as ISO text; a null instant changes nothing."""
+    entry = F.map_from_arrays(F.array(key), F.array(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    kept = F.map_filter(F.coalesce(checkpoint, F.create_map().cast("map<string,string>")), lambda k, v: k != key)
+    return F.when(at.isNull() | key.isNull(), checkpoint).otherwise(F.map_concat(kept, entry))
+
+
+def newest_of_target(links: DataFrame, target: str, url: str, position: str, score: str, least: int = 4) -> DataFrame:
+    """(target, newest_url): the first link of each listing, in document order, that scores enough."""
+    return links.where(F.col(score) >= least).groupBy(target).agg(F.min_by(url, position).alias("newest_url"))
+
+
+def first_in_order(candidates: DataFrame, source: str, ordinal: str, limit: int) -> DataFrame:
+    """The first rows of each source in the order in which a service gave them, with ``api_rank``."""
+    w = Window.partitionBy(source).orderBy(ordinal)
+    return candidates.withColumn("api_rank", F.row_number().over(w)).where(F.col("api_rank") <= limit)
 
 
 def processing_branch(failed: Column, lane: Column, stored_hash: Column, new_hash: Column, paywall: Column, words: Column, least: int = 300) -> Column:

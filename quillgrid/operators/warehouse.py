@@ -19,16 +19,53 @@ def insert_missing(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFra
 
 
 def dispositions(incoming: DataFrame, base: DataFrame, order: list[Column], normalized: str = "normalized_url", url: str = "url") -> DataFrame:
-    """Incoming rows with ``existing_id`` and ``disposition``: 'inserted' or 'duplicate', of a stored row or of an earlier one of the batch.
+    """Incoming rows with ``existing_id`` and ``disposition``.
 
-    A duplicate leaves the stored row as it is; its links are still written.
+    'inserted', or 'duplicate' of a stored row or of an earlier one of the batch. Where the rows have a
+    ``lane``, a stored row that is met on lane 'refresh' is 'refreshed_unchanged' if its hash is the
+    incoming one and not empty, else 'refreshed_changed'. A duplicate leaves the stored row as it is;
+    its links are still written. Of several stored rows with one address the least id counts.
     """
-    one = base.select(F.col(normalized).alias("__n"), F.col("id").alias("__i")).dropDuplicates(["__n"])
-    two = base.select(F.col(url).alias("__u"), F.col("id").alias("__j")).dropDuplicates(["__u"])
+    hashed = F.col("content_hash") if "content_hash" in base.columns else F.lit(None).cast("string")
+    stored = F.min(F.struct("id", hashed.alias("hash")))
+    one, two = base.groupBy(F.col(normalized).alias("__n")).agg(stored.alias("__i")), base.groupBy(F.col(url).alias("__u")).agg(stored.alias("__j"))
     w = Window.partitionBy(normalized).orderBy(*order)
     joined = incoming.join(one, F.col(normalized) == F.col("__n"), "left").join(two, F.col(url) == F.col("__u"), "left")
-    found = joined.withColumn("existing_id", F.coalesce("__i", "__j")).drop("__n", "__i", "__u", "__j").withColumn("__first", F.row_number().over(w))
-    return found.withColumn("disposition", F.when(F.col("existing_id").isNull() & (F.col("__first") == 1), "inserted").otherwise("duplicate")).drop("__first")
+    found = joined.withColumn("__s", F.coalesce("__i", "__j")).withColumn("existing_id", F.col("__s.id")).withColumn("__first", F.row_number().over(w))
+    kind = F.when(F.col("existing_id").isNull() & (F.col("__first") == 1), "inserted")
+    if "lane" in incoming.columns:
+        same = (F.coalesce(F.col("__s.hash"), F.lit("")) != "") & (F.col("__s.hash") == F.col("content_hash"))
+        kind = kind.when(F.col("existing_id").isNotNull() & (F.col("lane") == "refresh"), F.when(F.coalesce(same, F.lit(False)), "refreshed_unchanged").otherwise("refreshed_changed"))
+    return found.withColumn("disposition", kind.otherwise("duplicate")).drop("__n", "__i", "__u", "__j", "__s", "__first")
+
+
+def write_articles(judged: DataFrame, base: DataFrame, order: list[Column], always: list[str], if_changed: list[str]) -> DataFrame:
+    """The new table of articles: the base with the inserted rows, and with the refreshed ones' columns patched.
+
+    judged: incoming rows from :func:`dispositions`, with ``id`` of their own. Of several refreshes of
+    one stored row the last in order counts.
+    """
+    new = judged.where("disposition = 'inserted'").select(*[c for c in base.columns if c in judged.columns])
+    rank = F.row_number().over(Window.partitionBy("existing_id").orderBy(*[c.desc() for c in order]))
+    refreshed = judged.where("disposition in ('refreshed_changed', 'refreshed_unchanged')").withColumn("__n", rank).where("__n = 1")
+    updates = refreshed.select(F.col("existing_id").alias("id"), *dict.fromkeys([*always, *if_changed, "content_hash"]))
+    return patch(base, updates, "id", always, if_changed).drop("changed").unionByName(new, allowMissingColumns=True)
+
+
+def write_counts(judged: DataFrame, links: DataFrame, failed: str = "failed", source: str = "source_id") -> DataFrame:
+    """One row for each source: articles by disposition and errors, links written and lost.
+
+    judged: rows with ``disposition`` and the flag ``failed``; a failed row counts as an error only.
+    links: (source, article_id, name), article_id null where its article failed; such links and links
+    without a name are lost.
+    """
+    good = ~F.col(failed)
+    counts = [F.count_if(good & (F.col("disposition") == d)).alias(f"articles_{n}") for d, n in (("inserted", "inserted"), ("duplicate", "duplicate"), ("refreshed_changed", "refreshed_changed"), ("refreshed_unchanged", "refreshed_unchanged"))]
+    lost = F.col("article_id").isNull() | (F.coalesce(F.trim("name"), F.lit("")) == "")
+    linked = links.groupBy(source).agg(F.count_if(~lost).alias("entity_links_success"), F.count_if(lost).alias("entity_links_errors"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    made = judged.groupBy(source).agg(*counts, F.count_if(failed).alias("articles_errors")).join(linked, source, "full_outer")
+    return made.select(source, *[zero(c) for c in made.columns if c != source])
 
 
 def patch(base: DataFrame, updates: DataFrame, key: str, always: list[str], if_changed: list[str], hash_column: str = "content_hash") -> DataFrame:
@@ -42,10 +79,16 @@ def patch(base: DataFrame, updates: DataFrame, key: str, always: list[str], if_c
     return joined.select(*out, F.when(touched, changed).alias("changed"))
 
 
-def upsert_state(state: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Keyed state: for each key the update's values where not null, else the old ones; keys of either side stay."""
+def upsert_state(state: DataFrame, updates: DataFrame, key: str, given: list[str] | None = None) -> DataFrame:
+    """Keyed state: for each key of the updates their values, else the old ones; keys of either side stay.
+
+    A null in an update leaves the old value, but in the columns ``given`` it is a value like any other
+    and clears the old one.
+    """
     a, b = state.alias("a"), updates.alias("b")
-    columns = [F.coalesce(F.col(f"b.{c}"), F.col(f"a.{c}")).alias(c) if c in updates.columns else F.col(f"a.{c}").alias(c) for c in state.columns]
+    known = F.col(f"b.{key}").isNotNull()
+    new = lambda c: F.when(known, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")) if c in (given or ()) else F.coalesce(F.col(f"b.{c}"), F.col(f"a.{c}"))
+    columns = [new(c).alias(c) if c in updates.columns else F.col(f"a.{c}") for c in state.columns]
     return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer").select(*columns)
 
 
@@ -78,6 +121,32 @@ def resolve_entities(incoming: DataFrame, entities: DataFrame, canonical: str =
     return hit.withColumn("entity_id", F.coalesce("__first", "__id")).drop("__first", "__id")
 
 
+def write_entities(incoming: DataFrame, entities: DataFrame, order: list[Column], canonical: str = "canonical_name", name: str = "name", kind: str = "entity_type") -> tuple[DataFrame, DataFrame]:
+    """(the new table of entities, the incoming rows with entity_id).
+
+    Names that the table lacks are added once each, the first of the batch by ``order``: names with one
+    canonical name and type are one entity, or, without a canonical name, with one name and type.
+    ``incoming`` has an ``id`` for the entity that a row makes if it is new.
+    """
+    hit = resolve_entities(incoming, entities, canonical, name, kind)
+    blank = F.coalesce(F.trim(canonical), F.lit("")) == ""
+    w = Window.partitionBy(F.when(blank, F.concat(F.lit("n:"), name)).otherwise(F.concat(F.lit("c:"), canonical)), kind).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    new = hit.where("entity_id is null").withColumn("entity_id", F.first("id").over(w))
+    resolved = hit.where("entity_id is not null").unionByName(new)
+    made = new.where("entity_id = id").select(*[c for c in entities.columns if c in new.columns])
+    return entities.unionByName(made, allowMissingColumns=True), resolved
+
+
+def not_null(tables: dict[str, DataFrame], columns: list[tuple[str, str]]) -> DataFrame:
+    """(check_name, violations): the nulls of columns that must not have any; one scan for each table."""
+    parts = []
+    for name in dict.fromkeys(t for t, _ in columns):
+        mine = [c for t, c in columns if t == name]
+        counted = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in mine])
+        parts.append(counted.select(F.explode(F.array(*[F.struct(F.lit(f"not null {name}.{c}").alias("check_name"), F.col(c).alias("violations")) for c in mine])).alias("x")).select("x.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def add_links(links: DataFrame, incoming: DataFrame, cleared: DataFrame | None = None, keys: tuple[str, str] = ("article_id", "entity_id")) -> DataFrame:
     """Links with the incoming pairs that are missing; those of ``cleared`` articles are dropped first."""
     kept = links if cleared is None else links.join(cleared.select(keys[0]).distinct(), keys[0], "left_anti")

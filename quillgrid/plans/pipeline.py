@@ -81,7 +81,7 @@ def targets_due(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "source_category_targets").select("id", target_due(_now(), F.col("last_checked_at"), F.col("check_frequency_hours")).alias("due"))
 
 
-@query("with e as (select *, sum(case when event_type = 'error' then 0 else 1 end) over (partition by user_id order by ts, event_id) as island from events), r as (select user_id, event_id, case when event_type = 'error' then count(*) filter (where event_type = 'error') over (partition by user_id, island order by ts, event_id) else 0 end as run_length from e) select event_id, run_length, run_length = 3 as tripped from r")
+@query("with e as (select *, sum(case when event_type = 'error' then 0 else 1 end) over (partition by user_id order by ts, event_id) as island from events), r as (select user_id, event_id, case when event_type = 'error' then count(*) filter (where event_type = 'error') over (partition by user_id, island order by ts, event_id) else 0 end as run_length from e) select event_id, run_length, run_length >= 3 as tripped from r")
 def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").withColumn("failed", F.col("event_type") == "error")
     return failure_runs(e, "user_id", ["ts", "event_id"], "failed").select("event_id", "run_length", "tripped")

@@ -7,15 +7,15 @@ stored cursor. State is keyed and spread over the shuffle partitions.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quillgrid.runtime import shared_dir
+from quillgrid.runtime import as_table, scratch
 
 
 def read_stream(spark: SparkSession, folder: str, name: str, per_trigger: int = 8) -> DataFrame:
@@ -36,7 +36,7 @@ def drain(stream: DataFrame, name: str, mode: str = "append", each: Callable[[Da
     ``each`` handles a micro-batch instead of the file sink; it must be safe to repeat.
     """
     spark = stream.sparkSession
-    root = place or f"{shared_dir(spark)}/quillgrid/stream-{name}-{uuid.uuid4().hex}"
+    root = place or scratch(spark, f"stream-{name}")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
     writer = writer.foreachBatch(each) if each else writer.format("parquet").option("path", f"{root}/rows")
     writer.start().awaitTermination()
@@ -69,20 +69,53 @@ def breaker(stream: DataFrame, key: str, order: list[str], failed: str, trip: in
             run = run + 1 if bad else 0
             lengths.append(run)
         state.update((run,))
-        yield pd.DataFrame({key: rows[key].to_numpy(), order[-1]: rows[order[-1]].to_numpy(), "run_length": lengths, "tripped": [n == trip for n in lengths]})
+        yield pd.DataFrame({key: rows[key].to_numpy(), order[-1]: rows[order[-1]].to_numpy(), "run_length": lengths, "tripped": [n >= trip for n in lengths]})
 
     out = f"{key} {kinds[key]}, {order[-1]} {kinds[order[-1]]}, run_length long, tripped boolean"
     return stream.groupBy(key).applyInPandasWithState(step, out, "run long", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_batches(spark: SparkSession, root: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A micro-batch handler that adds the keys the sink lacks. Each batch has a folder of its own that is overwritten when it is repeated."""
+def upsert_batches(spark: SparkSession, root: str, key: str, buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """A micro-batch handler that adds the keys the sink lacks. Each batch has a folder of its own that is overwritten when it is repeated.
+
+    The keys are also kept apart, by bucket of their hash, so that a batch compares itself with the
+    keys of its buckets and never reads earlier rows.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates([key])
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        rows = batch.dropDuplicates([key]).withColumn("__bucket", bucket)
         if number > 0:
-            before = spark.read.schema(batch.schema).option("recursiveFileLookup", "true").parquet(*[f"{root}/rows/batch={n}" for n in range(number)])
-            rows = rows.join(before.select(key), key, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
+            touched = [r[0] for r in rows.select("__bucket").distinct().collect()]
+            known = spark.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, __bucket int, batch int").option("basePath", f"{root}/keys").parquet(f"{root}/keys")
+            rows = rows.join(known.where(F.col("__bucket").isin(touched) & (F.col("batch") < number)).select(key), key, "left_anti")
+        rows = as_table(rows, "upsert")
+        rows.select(key, "__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{root}/keys/batch={number}")
+        rows.drop("__bucket").write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
 
     return each
+
+
+class Progress(StreamingQueryListener):
+    """The progress of streams as rows (name, batch, rows, rows_per_second, state_rows, late_rows), for polling; ``running`` names those under way."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+        self.running: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.running.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.rows.append((p.name, p.batchId, p.numInputRows, p.processedRowsPerSecond, sum(s.numRowsTotal for s in p.stateOperators), late))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.running.discard(str(event.runId))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows, "name string, batch long, rows long, rows_per_second double, state_rows long, late_rows long")
