@@ -20,13 +20,16 @@ _SPACE = r"(?U)\s+"
 
 
 def nfc(text: Column) -> Column:
-    """Unicode composition; there is no built-in, so this is the one Arrow UDF of the text functions."""
+    """Unicode composition; there is no built-in, so this is the one Arrow UDF of the text functions.
+
+    Characters below U+0300 are composed already: only texts with others are sent to Python.
+    """
 
     @F.pandas_udf("string")
     def compose(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
+        return batch.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
 
-    return compose(text)
+    return F.coalesce(compose(F.when(text.rlike(r"[^\x00-\x{2FF}]"), text)), text)
 
 
 def normalize_markdown(text: Column, composed: bool = False) -> Column:
@@ -92,6 +95,13 @@ def file_name(title: Column) -> Column:
     return F.substring(F.regexp_replace(F.translate(F.coalesce(title, F.lit("")), "/:", "__"), r"[^\p{L}\p{N}_ .\-]", ""), 1, 80)
 
 
-def prompt(template: str, **fields: Column) -> Column:
-    """A template with ``%s`` for each field in order; null fields read 'N/A'."""
-    return F.format_string(template, *[F.coalesce(c.cast("string"), F.lit("N/A")) for c in fields.values()])
+def prompt(template: str, retry_note: Column | None = None, **fields: Column) -> Column:
+    """A template with ``%s`` for each field in order; null fields read 'N/A'. A retry note that is not blank follows as a paragraph."""
+    text = F.format_string(template, *[F.coalesce(c.cast("string"), F.lit("N/A")) for c in fields.values()])
+    return text if retry_note is None else F.concat(text, F.when(F.trim(retry_note) != "", F.concat(F.lit("\n\n"), F.trim(retry_note))).otherwise(F.lit("")))
+
+
+def with_defaults(answer: Column, hint: Column, stage: str) -> Column:
+    """A model answer (title, priority_level) with defaults: the hint or 'Untitled' for the title; the priority is 'low' where the answer is analysed and 'medium' where it is written."""
+    blank = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    return F.struct(F.coalesce(blank(answer["title"]), blank(hint), F.lit("Untitled")).alias("title"), F.coalesce(blank(answer["priority_level"]), F.lit({"analysis": "low", "write": "medium"}[stage])).alias("priority_level"))

@@ -4,10 +4,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from quillgrid.operators.components import connected_components
-from quillgrid.operators.discovery import after_feed_cursor, budget_mode, due_for_refresh, failure_runs, first_working, lane, processing_branch, rank_surface, surface_plan, yield_drift
+from quillgrid.operators.discovery import after_feed_cursor, budget_mode, checkpoint_after, due_for_refresh, failure_runs, first_in_order, first_working, lane, newest_of_target, processing_branch, rank_surface, surface_plan, surface_state, yield_drift
 from quillgrid.operators.graph import co_occurrence, induced, neighbourhood
-from quillgrid.operators.warehouse import add_links, cascade_delete, deletable, dispositions, duplicate_groups, insert_missing, merge_entities, merge_summary, patch, resolve_entities, upsert_state, violations
+from quillgrid.operators.warehouse import add_links, cascade_delete, deletable, dispositions, duplicate_groups, insert_missing, merge_entities, merge_summary, not_null, patch, resolve_entities, upsert_state, violations, write_articles, write_counts, write_entities
 from quillgrid.sources.feeds import expand_sitemaps, feed_entries, monthly_sitemaps
+from quillgrid.sources.payloads import credit_usage, map_links, scraped_pages
 from quillgrid.sources.html import before_last_seen, html_anchors, next_pages, walk_pages
 from quillgrid.sources.jsonl import assign_entities, read_tagged_lines
 from quillgrid.sources.manifest import manifest_errors, read_manifest
@@ -73,7 +74,66 @@ def test_surfaces_and_breaker(spark):
     assert rows(first_working(tries, "k", "o", "bad", "surface")) == [("s", "map", 1), ("t", None, 1)] or set(first_working(tries, "k", "o", "bad", "surface").collect()) == {("s", "map", 1), ("t", None, 1)}
     seq = [("a", i, c == "x") for i, c in enumerate("xx.xxxx.x")]
     got = failure_runs(spark.createDataFrame(seq, "k string, n int, bad boolean"), "k", ["n"], "bad").orderBy("n").collect()
-    assert [r.run_length for r in got] == [1, 2, 0, 1, 2, 3, 4, 0, 1] and [r.n for r in got if r.tripped] == [5]
+    assert [r.run_length for r in got] == [1, 2, 0, 1, 2, 3, 4, 0, 1] and [r.n for r in got if r.tripped] == [5, 6]
+
+
+def test_surface_state(spark):
+    seq = [("a", i, c == "x", at(f"2026-01-0{i + 1}"), f"e{i}") for i, c in enumerate("xx.xxxx")] + [("b", 0, True, at("2026-01-01"), "e"), ("b", 1, False, at("2026-01-02"), "e"), ("c", 0, True, None, None)]
+    got = {r.k: (r.error_count, r.last_error, str(r.cooldown_until), str(r.last_successful_discovery_at)) for r in surface_state(spark.createDataFrame(seq, "k string, n int, bad boolean, t timestamp, e string"), "k", ["n"], "bad", "t", "e").collect()}
+    assert got == {"a": (4, "e6", "2026-01-07 06:00:00", "2026-01-03 00:00:00"), "b": (0, None, "None", "2026-01-02 00:00:00"), "c": (1, None, "None", "None")}
+
+
+def test_checkpoints_and_listings(spark):
+    df = spark.createDataFrame([(None, at("2026-01-01")), ({"x": "1", "news": "0"}, at("2026-01-01")), ({"x": "1"}, None)], "m map<string,string>, t timestamp")
+    assert [r[0] for r in df.select(checkpoint_after(F.col("m"), F.lit("news"), F.col("t"))).collect()] == [{"news": "2026-01-01T00:00:00Z"}, {"x": "1", "news": "2026-01-01T00:00:00Z"}, {"x": "1"}]
+    links = spark.createDataFrame([("t", "u1", 1, 3), ("t", "u2", 2, 4), ("t", "u3", 3, 9), ("s", "u4", 1, 0)], "t string, u string, p int, s int")
+    assert rows(newest_of_target(links, "t", "u", "p", "s")) == [("t", "u2")]
+    assert [r.u for r in first_in_order(links, "t", "p", 1).orderBy("u").collect()] == ["u1", "u4"]
+
+
+def test_new_tables(spark):
+    base = spark.createDataFrame([("1", "http://a/", "http://a/", "t", "h"), ("2", "http://b/", "http://b/", "t", "h"), ("0", "http://a/2", "http://a/", "t", "h")], "id string, url string, normalized_url string, title string, content_hash string")
+    new = spark.createDataFrame([("n1", "u1", "http://a/", "T", "h", "refresh"), ("n2", "u2", "http://b/", "T", "g", "refresh"), ("n3", "u3", "http://c/", "T", None, "refresh"), ("n4", "u4", "http://b/", "X", "g", "new"), ("n5", "u5", "http://b/", "Y", "k", "refresh")], "id string, url string, normalized_url string, title string, content_hash string, lane string")
+    judged = dispositions(new, base, [F.col("id")])
+    assert {r.id: (r.existing_id, r.disposition) for r in judged.collect()} == {"n1": ("0", "refreshed_unchanged"), "n2": ("2", "refreshed_changed"), "n3": (None, "inserted"), "n4": ("2", "duplicate"), "n5": ("2", "refreshed_changed")}
+    assert rows(write_articles(judged, base, [F.col("id")], ["content_hash"], ["title"]).select("id", "title", F.coalesce("content_hash", F.lit("-")))) == [("0", "t", "h"), ("1", "t", "h"), ("2", "Y", "k"), ("n3", "T", "-")]
+    report = write_counts(judged.withColumns({"failed": F.col("id") == "n4", "s": F.lit("s")}), spark.createDataFrame([("s", "a", "x"), ("s", None, "x"), ("s", "a", " "), ("z", "a", None)], "s string, article_id string, name string"), source="s")
+    assert rows(report) == [("s", 1, 0, 2, 1, 1, 1, 2), ("z", 0, 0, 0, 0, 0, 0, 1)]
+    ents = spark.createDataFrame([("1", "Acme", "acme", "company", at("2026-01-02"))], "id string, name string, canonical_name string, entity_type string, created_at timestamp")
+    inc = spark.createDataFrame([("x", "Acme Inc", "acme", "company"), ("y", "Bolt", None, "company"), ("z", "Bolt", " ", "company"), ("w", "Cog Ltd", "cog", "company"), ("v", "Cog", "cog", "company")], "id string, name string, canonical_name string, entity_type string")
+    made, named = write_entities(inc, ents, [F.col("id")])
+    assert sorted(r.id for r in made.collect()) == ["1", "v", "y"] and {r.id: r.entity_id for r in named.collect()} == {"x": "1", "y": "y", "z": "y", "w": "v", "v": "v"}
+    assert rows(not_null({"e": ents, "i": inc}, [("e", "name"), ("i", "canonical_name")])) == [("not null e.name", 0), ("not null i.canonical_name", 1)]
+    s = spark.createDataFrame([("a", 1, "e"), ("b", 2, "f")], "k string, n int, e string")
+    u = spark.createDataFrame([("b", None, None), ("c", 3, None)], "k string, n int, e string")
+    assert sorted(upsert_state(s, u, "k", ["e"]).collect(), key=str) == [("a", 1, "e"), ("b", 2, None), ("c", 3, None)]
+
+
+def test_payloads(spark):
+    df = spark.createDataFrame([("a", '{"links":[{"url":"u","title":"t"},"x",{"title":"no"},{"url":""}]}'), ("b", "no json"), ("c", None), ("d", '{"links":7}')], "k string, body string")
+    assert rows(map_links(df).select("k", "pos", "url", "title")) == [("a", 0, "u", "t")]
+    df = spark.createDataFrame([("a", '{"success":true,"data":{"markdown":"one two"}}'), ("b", '{"success":false}'), ("c", None), ("d", "junk")], "k string, body string")
+    assert rows(scraped_pages(df).select("k", "success", "markdown", "word_count", F.col("content_hash").isNotNull(), "paywall_detected", F.coalesce("error", F.lit("-")))) == [
+        ("a", True, "one two", 2, True, False, "-"), ("b", False, "", 0, False, False, '{"success":false}'), ("c", False, "", 0, False, False, "no answer"), ("d", False, "", 0, False, False, "junk")]
+    assert credit_usage(spark.createDataFrame([('{"data":{"remaining_credits":5}}',)], "body string")).first().remaining_credits == 5
+
+
+def test_hostile_feeds(spark):
+    item = '<rss xmlns:a="x"><channel><item>%s</item></channel></rss>'
+    cases = {
+        "refs": (item % "<title>&#65;&amp;&#x42;</title><link>U</link>", [("U", "A&B", "")]),
+        "late prefixed link": (item % '<link>U</link><a:link rel="self" href="S"/><title>T</title>', [("U", "T", "")]),
+        "first link empty": (item % '<a:link rel="self" href="S"/><title>T</title><link>U</link>', []),
+        "cut off": ("<rss><channel><item><link>U</link></item><item>", []),
+        "cdata": (item % "<link><![CDATA[U]]></link><description><![CDATA[<summary>x</summary> y]]></description><summary>z</summary>", [("U", "", "<summary>x</summary> y")]),
+        "comment": ("<!-- <rss> --><!DOCTYPE rss>" + item % "<!-- <link>no</link> --><link>U</link>", [("U", "", "")]),
+        "html": ("<html><item><link>U</link></item></html>", []),
+    }
+    df = spark.createDataFrame([(k, b) for k, (b, _) in cases.items()], "k string, body string")
+    got = {k: [] for k in cases}
+    for r in feed_entries(df).collect():
+        got[r.k].append((r.url, r.title, r.description))
+    assert got == {k: want for k, (_, want) in cases.items()}
 
 
 def test_surface_rank_compat_keeps_lowest(spark):
