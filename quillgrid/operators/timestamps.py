@@ -106,7 +106,8 @@ def normalized(values: DataFrame, locale: DataFrame) -> DataFrame:
     or ``ambiguous`` (the best of several, by its posterior) or ``unusable`` (null instant: null,
     blank, or no existing date). A source without a locale, or null, is read as UTC without a prior.
     """
-    zones = locale.select(F.col("source_id").alias("zone_of"), F.col("time_zone").alias("zone"), F.col("date_order").alias("stated")).dropDuplicates(["zone_of"])
+    zones = locale.select(F.col("source_id").alias("zone_of"), F.col("time_zone").alias("zone"), F.col("date_order").alias("stated"))
+    zones = zones.groupBy("zone_of").agg(F.min(F.struct("zone", "stated")).alias("z")).select("zone_of", "z.*")  # one row for a source, whatever is repeated
     base = values.select("record", "source", "raw").join(zones, F.col("source") == F.col("zone_of"), "left")
     kinds = {c: base.schema[c].dataType.simpleString() for c in ("record", "source")}
     orders = ["x", *ORDERS]
@@ -131,15 +132,18 @@ def normalized(values: DataFrame, locale: DataFrame) -> DataFrame:
     return joined.select("record", "source", at.alias("utc_micros"), F.when(F.col("best") == "x", "fixed").otherwise(F.col("best")).alias("reading"), "posterior", status.alias("status"))
 
 
-def table_instants(articles: DataFrame, targets: DataFrame, locale: DataFrame) -> DataFrame:
-    """(table_name, record_id, utc_micros) of every usable timestamp of the two tables, which share one model per source."""
+def table_readings(articles: DataFrame, targets: DataFrame, locale: DataFrame) -> DataFrame:
+    """(table_name, record_id, utc_micros, reading, posterior, status) of every value of the two tables, which share one model per source."""
 
     def values(df: DataFrame, name: str, column: str) -> DataFrame:
-        return df.select(F.struct(F.lit(name).alias("table_name"), F.col("id").alias("record_id")).alias("record"), F.col("source_id").alias("source"), F.col(column).alias("raw")).where("raw is not null")
+        # Arrow passes flat columns faster than structs
+        return df.where(F.col(column).isNotNull()).select(F.concat_ws("\u0001", F.lit(name), "id").alias("record"), F.col("source_id").alias("source"), F.col(column).alias("raw"))
 
     both = values(articles, "articles", "published_at").unionByName(values(targets, "source_category_targets", "last_seen_published_at"))
-    # Arrow passes flat columns faster than structs
-    flat = both.select(F.concat_ws("\u0001", "record.table_name", "record.record_id").alias("record"), "source", "raw")
-    found = normalized(flat, locale).where("utc_micros is not null")
     parts = F.split("record", "\u0001", 2)
-    return found.select(parts[0].alias("table_name"), parts[1].alias("record_id"), "utc_micros")
+    return normalized(both, locale).select(parts[0].alias("table_name"), parts[1].alias("record_id"), "utc_micros", "reading", "posterior", "status")
+
+
+def table_instants(articles: DataFrame, targets: DataFrame, locale: DataFrame) -> DataFrame:
+    """(table_name, record_id, utc_micros) of every usable timestamp of the two tables."""
+    return table_readings(articles, targets, locale).where("utc_micros is not null").select("table_name", "record_id", "utc_micros")
