@@ -28,16 +28,22 @@ def node_weights(links: DataFrame, entity: str = "entity_id", count: str = "ment
     return links.groupBy(entity).agg(F.sum(F.coalesce(count, F.lit(0))).cast("long").alias("weight"))
 
 
-def induced(edges: DataFrame, nodes: DataFrame, node: str = "id") -> DataFrame:
-    """The edges whose two ends are among the nodes."""
-    keep = nodes.select(F.col(node).alias("__n")).distinct()
-    return edges.join(keep, F.col("source") == F.col("__n"), "left_semi").join(keep, F.col("target") == F.col("__n"), "left_semi")
+def induced(links: DataFrame, nodes: DataFrame, node: str = "id", entity: str = "entity_id", distinct: bool = False) -> DataFrame:
+    """The edges whose two ends are among the nodes. The links are cut down before they are paired."""
+    keep = nodes.select(F.col(node).alias(entity)).distinct()
+    return co_occurrence(links.join(keep, entity, "left_semi"), entity=entity, distinct=distinct)
 
 
-def neighbourhood(edges: DataFrame, centre: Column) -> DataFrame:
-    """(id): a node and all that an edge ties to it."""
-    touching = edges.where((F.col("source") == centre) | (F.col("target") == centre))
-    return touching.select(F.col("source").alias("id")).union(touching.select(F.col("target").alias("id"))).distinct()
+def neighbourhood(links: DataFrame, centre: DataFrame, article: str = "article_id", entity: str = "entity_id") -> DataFrame:
+    """(id): the entities that share an article with one of ``centre`` (entity), and it itself where it shares one; only its articles are read.
+
+    The links of an article with the centre are its neighbours; pairing is not needed. An article with
+    nothing but one link of the centre ties it to none.
+    """
+    own = links.join(centre.select(entity), entity, "left_semi").select(article).distinct()
+    near = links.join(own, article, "left_semi")
+    alone = near.groupBy(article).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(article)
+    return near.join(alone, article, "left_anti").select(F.col(entity).alias("id")).distinct()
 
 
 def edge_width(weight: Column) -> Column:

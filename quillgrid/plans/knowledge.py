@@ -85,7 +85,7 @@ def entity_edges_distinct(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_EDGES}, k as (select id from entities where lower(trim(entity_type)) = 'company') select source, target, weight from w where source in (select id from k) and target in (select id from k)")
 def entity_subgraph(spark: SparkSession, d: str) -> DataFrame:
     companies = table(spark, d, "entities").where("lower(trim(entity_type)) = 'company'")
-    return induced(co_occurrence(table(spark, d, "article_entities")), companies)
+    return induced(table(spark, d, "article_entities"), companies)
 
 
 @query(
@@ -93,8 +93,8 @@ def entity_subgraph(spark: SparkSession, d: str) -> DataFrame:
 )
 def entity_neighbourhood(spark: SparkSession, d: str) -> DataFrame:
     links = table(spark, d, "article_entities")
-    centre = links.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("entity_id", F.struct("n", "entity_id")).alias("centre"))
-    return neighbourhood(co_occurrence(links).crossJoin(centre), F.col("centre"))
+    centre = links.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("entity_id", F.struct("n", "entity_id")).alias("entity_id"))
+    return neighbourhood(links, centre)
 
 
 @query(

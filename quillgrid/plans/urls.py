@@ -71,7 +71,7 @@ _LINKS = r"""l as (select a.id as article_id, s.url as base, unnest(range(least(
 def _anchors(spark: SparkSession, d: str) -> DataFrame:
     sites = table(spark, d, "sources").select(F.col("id").alias("source_id"), F.col("url").alias("base"))
     pages = table(spark, d, "articles").where("raw_markdown is not null").select(F.col("id").alias("article_id"), "source_id", "raw_markdown")
-    return markdown_anchors(pages, "article_id", "raw_markdown").join(pages.select("article_id", "source_id"), "article_id").join(sites, "source_id").drop("source_id")
+    return markdown_anchors(pages, "article_id", "raw_markdown", carry=("source_id",)).join(sites, "source_id").drop("source_id")
 
 
 @query(

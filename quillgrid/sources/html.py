@@ -56,11 +56,11 @@ def html_anchors(pages: DataFrame, key: str, html: str, most: int = 250) -> Data
     return base.mapInPandas(run, f"key {kind}, pos int, href string, text string, rel string").withColumnRenamed("key", key)
 
 
-def markdown_anchors(pages: DataFrame, key: str, text: str, most: int = 250) -> DataFrame:
-    """(key, pos, href, text) of each link of a markdown page, JVM-side."""
+def markdown_anchors(pages: DataFrame, key: str, text: str, most: int = 250, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, carried columns, pos, href, text) of each link of a markdown page, JVM-side."""
     found = F.slice(F.regexp_extract_all(F.col(text), F.lit(_MARKDOWN_LINK), F.lit(0)), 1, most)
-    rows = pages.select(F.col(key), F.posexplode(found).alias("pos", "__a"))
-    return rows.select(key, "pos", F.regexp_extract("__a", _MARKDOWN_LINK, 2).alias("href"), F.trim(F.regexp_extract("__a", _MARKDOWN_LINK, 1)).alias("text"))
+    rows = pages.select(key, *carry, F.posexplode(found).alias("pos", "__a"))
+    return rows.select(key, *carry, "pos", F.regexp_extract("__a", _MARKDOWN_LINK, 2).alias("href"), F.trim(F.regexp_extract("__a", _MARKDOWN_LINK, 1)).alias("text"))
 
 
 def site_links(anchors: DataFrame, base_url: str, href: str = "href", dots: bool = False) -> DataFrame:

@@ -164,8 +164,8 @@ def test_co_occurrence_example(spark):
     df = spark.createDataFrame(links, "article_id string, entity_id string")
     assert rows(co_occurrence(df)) == [("x", "x", 1), ("x", "y", 2), ("x", "z", 1), ("y", "z", 1)]
     assert rows(co_occurrence(df, distinct=True)) == [("x", "y", 2), ("x", "z", 1), ("y", "z", 1)]
-    assert rows(induced(co_occurrence(df), spark.createDataFrame([("x",), ("z",)], "id string"))) == [("x", "x", 1), ("x", "z", 1)]
-    assert rows(neighbourhood(co_occurrence(df), F.lit("z"))) == [("x",), ("y",), ("z",)]
+    assert rows(induced(df, spark.createDataFrame([("x",), ("z",)], "id string"))) == [("x", "x", 1), ("x", "z", 1)]
+    assert rows(neighbourhood(df, spark.createDataFrame([("z",)], "entity_id string"))) == [("x",), ("y",), ("z",)]
 
 
 def test_writes(spark):
