@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quillgrid.llm.mixture import fill, mixture
+from quillgrid.llm.mixture import mixture, water_level
 from quillgrid.llm.shared_spans import BASE, LEVELS, MIN_SPAN, RUN, run_anchors, shared_amounts, span_pairs, window_hashes
 from quillgrid.llm.tokenize import RANKS, chunks, corpus_ids, cuts, encoding, join_chunks
 
@@ -138,12 +138,36 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     assert {tuple(r) for r in span_pairs(documents(spark, texts)).collect()} == pairs and pairs
 
 
-def test_filling():
-    assert fill([("a", 0.5, 100, 1), ("b", 0.5, 1000, 1)], 600) == {"a": 100.0, "b": 500.0}
-    assert fill([("a", 0.6, 100, 2), ("b", 0.3, 100, 1), ("c", 0.1, 1000, 1)], 600) == {"a": 200.0, "b": 100.0, "c": 300.0}
-    assert fill([("a", 1.0, 10, 2)], 600) == {"a": 20.0}
-    assert fill([("a", 1.0, 0, 2), ("b", 0.0, 50, 1)], 600) == {"a": 0.0, "b": 0.0}
-    assert fill([], 10) == {}
+def fill(sources, total):
+    """Water-filling step by step: clamp whatever is over its cap, spread the rest, again."""
+    caps = {n: size * max(0, repeats) for n, _, size, repeats in sources}
+    share = {n: s for n, s, _, _ in sources if s > 0 and caps[n] > 0}
+    given, left = {n: 0.0 for n, *_ in sources}, float(total)
+    while share and left > 0:
+        weight = sum(share.values())
+        over = [n for n, s in share.items() if left * s / weight >= caps[n]]
+        if not over:
+            given.update({n: left * s / weight for n, s in share.items()})
+            break
+        for n in over:
+            given[n] = float(caps[n])
+            left -= caps[n]
+            del share[n]
+    return given
+
+
+def test_filling(spark):
+    rng = random.Random(11)
+    cases = [([("a", 0.5, 100, 1), ("b", 0.5, 1000, 1)], 600), ([("a", 0.6, 100, 2), ("b", 0.3, 100, 1), ("c", 0.1, 1000, 1)], 600), ([("a", 1.0, 10, 2)], 600), ([("a", 1.0, 0, 2), ("b", 0.0, 50, 1)], 600), ([("a", 0.5, 10, 1)], 0)]
+    cases += [([(f"s{i}", rng.choice([0.0, 0.1, 0.3, 1.0]), rng.choice([0, 7, 50, 900]), rng.randrange(0, 4)) for i in range(9)], rng.choice([10, 500, 5000])) for _ in range(5)]
+    for sources, total in cases:
+        sized = spark.createDataFrame([(n, size) for n, _, size, _ in sources if size], "source string, tokens int")
+        targets = spark.createDataFrame([(n, s, r) for n, s, _, r in sources], "source string, target_share double, max_repeats int")
+        got = {r.source: r for r in water_level(sized, targets, total).collect()}
+        want = fill(sources, total)
+        assert all(abs(got[n].due - want[n]) <= 1 for n in want), (sources, total)
+        assert all(r.due == r.whole * r.available + r.rest and 0 <= r.rest <= max(r.available - 1, 0) for r in got.values())
+    assert water_level(sized.limit(0), targets.limit(0)).count() == 0
 
 
 def test_mixture(spark):
