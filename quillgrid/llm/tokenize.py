@@ -3,11 +3,11 @@
 1. A rolling hash over ``WINDOW`` characters cuts each text where the hash falls on a boundary
    value, so equal passages are cut alike wherever they stand.
 2. Equal chunks are encoded once: one row for each distinct chunk is encoded, all others join it.
-3. Joins are repaired until they agree exactly. Around each cut the text from the last certain
-   token boundary before it to the first one after it is encoded anew. A boundary is certain where
-   a letter is followed by a non-letter, since no piece of the tokenizer's splitting pattern runs
-   over such a place; if a chunk's own tokens have no boundary there, the span grows to the next
-   certain place.
+3. Joins are repaired until they agree exactly. A token boundary is certain where a letter is followed
+   by a non-letter, since no piece of the tokenizer's splitting pattern runs over such a place. Of an
+   encoded chunk the ids between its first and its last certain boundary stand whatever is beside it;
+   only the few characters before and after them travel as text and are encoded anew, together with
+   those of the neighbouring chunk. A chunk without such a place travels whole.
 
 The result is the same, id by id, as encoding each text whole. Null and empty texts give an empty
 list. Chunks are known by 128-bit hashes; a chunk that stands in a third of all texts is encoded
@@ -17,13 +17,15 @@ once and its skewed join is split.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.runtime import as_table
@@ -37,12 +39,18 @@ WINDOW, EVERY = 16, 512
 _encodings: dict[str, tuple] = {}
 
 
+def send_ranks(spark: SparkSession, ranks: str) -> None:
+    """Send a rank file from the driver to every executor."""
+    if os.path.basename(ranks) not in {os.path.basename(x) for x in spark.sparkContext.listFiles}:
+        spark.sparkContext.addFile(ranks)
+
+
 def encoding(ranks: str = RANKS):
-    """(encoding, bytes of each id) of a rank file; loaded once for each worker."""
+    """(encoding, bytes of each id) of a rank file; loaded once for each worker, from its own path or from the files that were sent."""
     if ranks not in _encodings:
         import tiktoken
 
-        with open(ranks, "rb") as f:
+        with open(ranks if os.path.exists(ranks) else SparkFiles.get(os.path.basename(ranks)), "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         size = np.zeros(max(table.values()) + 1, np.int64)
         for piece, i in table.items():
@@ -75,44 +83,43 @@ def _certain(text: str, i: int) -> bool:
     return text[i - 1].isalpha() and not text[i].isalpha()
 
 
-def join_chunks(parts: list[str], ids: list[np.ndarray], ranks: str = RANKS) -> np.ndarray:
-    """The ids of the joined chunks, exactly as if they had been encoded as one text."""
-    if len(parts) == 1:
-        return ids[0]
+def settle(part: str, ranks: str = RANKS) -> tuple[str, np.ndarray, str | None]:
+    """(head, ids, tail) of a chunk: the ids that stand whatever its neighbours are, and the texts before and after them; tail is null where nothing stands, and head is all."""
     enc, size = encoding(ranks)
-    text = "".join(parts)
-    seams = np.cumsum([len(p) for p in parts])[:-1]
-    tokens = np.concatenate(ids)
-    # where each token ends, and each character begins, in bytes
-    ends = np.cumsum(size[tokens])
-    if text.isascii():
-        byte = np.arange(len(text) + 1)
+    tokens = np.asarray(enc.encode_ordinary(part), np.int64)
+    starts = np.concatenate([[0], np.cumsum(size[tokens])])
+    if part.isascii():
+        byte = None
     else:
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         byte = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
-    starts = np.concatenate([[0], ends])
-
-    def boundary(i: int) -> bool:
-        k = np.searchsorted(starts, byte[i])
-        return k < len(starts) and starts[k] == byte[i]
-
-    out, done, k = [], 0, 0
-    while k < len(seams):
-        left = right = int(seams[k])
-        if _certain(text, left):
-            k += 1
-            continue
-        while left > 0 and not (_certain(text, left) and boundary(left)):
-            left -= 1
-        while right < len(text) and not (right > seams[k] and _certain(text, right) and boundary(right)):
-            right += 1
-        while k < len(seams) and seams[k] < right:  # seams inside the span are repaired with it
-            k += 1
-        a, b = np.searchsorted(starts, byte[left]), np.searchsorted(starts, byte[right])
-        out.append(tokens[done:a])
-        out.append(np.asarray(enc.encode_ordinary(text[left:right]), np.int64))
-        done = b
-    out.append(tokens[done:])
+
+    def token_at(i: int) -> int:
+        """The number of the token that begins at a character, or -1."""
+        at = i if byte is None else byte[i]
+        k = int(np.searchsorted(starts, at))
+        return k if k < len(starts) and starts[k] == at else -1
+
+    def find(places) -> tuple[int, int] | None:
+        return next(((i, k) for i in places if _certain(part, i) and (k := token_at(i)) >= 0), None)
+
+    first = find(range(1, len(part)))
+    if first is None:
+        return part, tokens[:0], None
+    last = find(range(len(part) - 1, 0, -1))
+    return part[: first[0]], tokens[first[1] : last[1]], part[last[0] :]
+
+
+def join_chunks(settled: list[tuple[str, np.ndarray, str | None]], ranks: str = RANKS) -> np.ndarray:
+    """The ids of the joined chunks, exactly as if they had been encoded as one text."""
+    enc, _ = encoding(ranks)
+    out, open_ = [], ""
+    for head, ids, tail in settled:
+        open_ += head
+        if tail is not None:
+            out += [np.asarray(enc.encode_ordinary(open_), np.int64), ids]
+            open_ = tail
+    out.append(np.asarray(enc.encode_ordinary(open_), np.int64))
     return np.concatenate(out)
 
 
@@ -136,27 +143,29 @@ def corpus_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", ra
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "whole", "n", "chunk", "part"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, _ = encoding(ranks)
         for batch in batches:
-            ids = [enc.encode_ordinary(x) for x in batch.column("part").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), _lists(ids)], ["chunk", "part", "ids"])
+            made = [settle(x, ranks) for x in batch.column("part").to_pylist()]
+            columns = [batch.column("chunk"), pa.array([m[0] for m in made], pa.string()), _lists([m[1] for m in made]), pa.array([m[2] for m in made], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "head", "ids", "tail"])
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups = batch.column("pieces")
             ends, flat = groups.offsets.to_numpy(), groups.values
-            number, part, ids = flat.field("n").to_numpy(), flat.field("part").to_pylist(), flat.field("ids")
+            number, ids = flat.field("n").to_numpy(), flat.field("ids")
+            heads, tails = flat.field("head").to_pylist(), flat.field("tail").to_pylist()
             at, values = ids.offsets.to_numpy(), ids.values.to_numpy()
             made = []
             for x, y in zip(ends, ends[1:]):
                 order = np.unique(number[x:y], return_index=True)[1] + x  # by number; a repeated row gives its pieces again
-                made.append(join_chunks([part[i] for i in order], [values[at[i] : at[i + 1]].astype(np.int64) for i in order], ranks))
+                made.append(join_chunks([(heads[i], values[at[i] : at[i + 1]].astype(np.int64), tails[i]) for i in order], ranks))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(made)], ["doc_id", "ids"])
 
+    send_ranks(documents.sparkSession, ranks)
     parts = as_table(base.where("text <> ''").mapInArrow(split, f"doc_id {kind}, whole long, n int, chunk binary, part string"), "chunks")
-    once = parts.groupBy("chunk").agg(F.first("part").alias("part")).mapInArrow(encode, "chunk binary, part string, ids array<int>")
+    once = parts.groupBy("chunk").agg(F.first("part").alias("part")).mapInArrow(encode, "chunk binary, head string, ids array<int>, tail string")
     found = parts.select("doc_id", "whole", "n", "chunk").join(once, "chunk")
-    whole = found.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("n", "part", "ids")).alias("pieces")).select("doc_id", "pieces").mapInArrow(mend, f"doc_id {kind}, ids array<int>")
+    whole = found.groupBy("doc_id", "whole").agg(F.collect_list(F.struct("n", "head", "ids", "tail")).alias("pieces")).select("doc_id", "pieces").mapInArrow(mend, f"doc_id {kind}, ids array<int>")
     blank = base.where("text is null or text = ''").select("doc_id", F.array().cast("array<int>").alias("ids")).dropDuplicates(["doc_id"])
     return whole.unionByName(blank)
 
@@ -176,4 +185,5 @@ def token_counts(documents: DataFrame, text: str = "text", ranks: str = RANKS, n
         enc, _ = encoding(ranks)
         return batch.map(lambda x: len(enc.encode_ordinary(x)) if x else 0).astype("int32")
 
+    send_ranks(documents.sparkSession, ranks)
     return documents.withColumn(name, count(F.col(text)))

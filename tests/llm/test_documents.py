@@ -9,8 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillgrid.llm.mixture import mixture, water_level
-from quillgrid.llm.shared_spans import BASE, LEVELS, MIN_SPAN, RUN, run_anchors, shared_amounts, span_pairs, window_hashes
-from quillgrid.llm.tokenize import RANKS, chunks, corpus_ids, cuts, encoding, join_chunks
+from quillgrid.llm.shared_spans import BASE, LEVELS, MIN_SPAN, RUN, run_anchors, shared_amounts, span_pairs, spans, window_hashes
+from quillgrid.llm.tokenize import RANKS, chunks, corpus_ids, cuts, encoding, join_chunks, settle
 
 SCHEMA = "doc_id long, text string, source string, record string, n int, at int, h0 long, ids string, part string"
 
@@ -39,7 +39,7 @@ def test_joined_chunks_equal_whole(text):
     for every in (3, 17, 512):
         at = [0, *cuts(text, 16, every), len(text)]
         parts = [text[x:y] for x, y in zip(at, at[1:])]
-        assert join_chunks(parts, [np.asarray(enc.encode_ordinary(p), np.int64) for p in parts]).tolist() == enc.encode_ordinary(text)
+        assert join_chunks([settle(p) for p in parts]).tolist() == enc.encode_ordinary(text)
 
 
 @settings(max_examples=150, deadline=None)
@@ -48,7 +48,7 @@ def test_any_cut_is_repaired(text, at):
     enc, _ = encoding(RANKS)
     at = [0, *sorted({x for x in at if x < len(text)}), len(text)]
     parts = [text[x:y] for x, y in zip(at, at[1:])]
-    assert join_chunks(parts, [np.asarray(enc.encode_ordinary(p), np.int64) for p in parts]).tolist() == enc.encode_ordinary(text)
+    assert join_chunks([settle(p) for p in parts]).tolist() == enc.encode_ordinary(text)
 
 
 def test_corpus_ids(spark):
@@ -116,24 +116,58 @@ def test_spans_against_brute_force(spark):
     assert sorted(again) == sorted(pairs)
 
 
+def brute_spans(texts):
+    """(doc, start, length): the maximal unions of touching shared windows."""
+    holders = defaultdict(set)
+    for i, t in enumerate(texts):
+        for p in range(len(t or "") - MIN_SPAN + 1):
+            holders[t[p : p + MIN_SPAN]].add(i)
+    found = set()
+    for i, t in enumerate(texts):
+        at = [p for p in range(len(t or "") - MIN_SPAN + 1) if len(holders[t[p : p + MIN_SPAN]]) > 1]
+        first = None
+        for k, p in enumerate(at):
+            first = p if first is None else first
+            if k + 1 == len(at) or at[k + 1] > p + MIN_SPAN:
+                found.add((i, first + 1, p - first + MIN_SPAN))
+                first = None
+    return found
+
+
+def test_maximal_spans_against_brute_force(spark):
+    rng = random.Random(14)
+    passages = [text_of(rng, 400)[:n] for n in (200, 215, 299, 640, 1700)]
+    texts = [text_of(rng, rng.randrange(20, 90)) + rng.choice(passages) + text_of(rng, rng.randrange(20, 60)) + (rng.choice(passages) if i % 3 else "") for i in range(40)]
+    texts += [None, "", "a" * 199, texts[0], texts[0]]
+    rows = spans(documents(spark, texts)).collect()
+    got = {(r.doc_id, r.start, r.length): r for r in rows}
+    copies = {i for i, t in enumerate(texts) if t and texts.count(t) > 1}
+    assert len(rows) == len(got) and {k for k in got if k[0] not in copies} == {x for x in brute_spans(texts) if x[0] not in copies}
+    assert {k for k in got if k[0] in copies} == {(i, 1, len(texts[i])) for i in copies}
+    for (i, start, length), r in got.items():
+        assert r.holders >= 1 and r.longest <= length and (r.longest == 0 or any(texts[i][p : p + r.longest] in (t or "") for p in range(start - 1, start + length - r.longest) for j, t in enumerate(texts) if j != i))
+    assert max(r.longest for r in rows) >= 800
+    assert spans(documents(spark, texts).limit(0)).count() == 0
+
+
 def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
-    import quillgrid.llm.shared_spans as spans
+    import quillgrid.llm.shared_spans as module
 
     rng = random.Random(8)
     shared = text_of(rng, 400)
     texts = [text_of(rng, 300) + shared[k * 40 : k * 40 + 700] + text_of(rng, 200) for k in range(12)]
     pairs, amounts = brute(texts)
-    monkeypatch.setattr(spans, "PIECE", 700)
-    packed = list(spans._pieces(texts))
+    monkeypatch.setattr(module, "PIECE", 700)
+    packed = list(module._pieces(texts))
     assert len(packed) > 12 and max(len(c) for c, _ in packed) <= 700
-    pieces = spans._anchor_rows
+    pieces = module._anchor_rows
     frame = __import__("pandas").DataFrame({"record": range(12), "text": texts})
     small = {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
-    frame["alive"] = [np.arange(len(t)) for t in texts]
-    windows = [(r.record, r.at, r.x, r.y) for f in spans._span_rows(iter([frame])) for r in f.itertuples()]
+    frame["context"], frame["start"] = texts, 0
+    windows = [(r.record, r.at, r.x, r.y) for f in module._between_rows(iter([frame])) for r in f.itertuples()]
     assert len(windows) == len(set(windows)) == sum(len(t) - MIN_SPAN + 1 for t in texts)
-    monkeypatch.setattr(spans, "PIECE", 1 << 20)
-    assert set(windows) == {(r.record, r.at, r.x, r.y) for f in spans._span_rows(iter([frame])) for r in f.itertuples()}
+    monkeypatch.setattr(module, "PIECE", 1 << 20)
+    assert set(windows) == {(r.record, r.at, r.x, r.y) for f in module._between_rows(iter([frame])) for r in f.itertuples()}
     assert small == {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
     assert {tuple(r) for r in span_pairs(documents(spark, texts)).collect()} == pairs and pairs
 
