@@ -100,17 +100,19 @@ _LATIN = (
 ).split()
 #: Filler is often garbled, so words count by their first letters.
 STEM = 5
-STEMS = frozenset(w[:STEM] for w in _LATIN if len(w) >= STEM)
+#: Beginnings of words of today's languages; of these only the whole word counts.
+_AMBIGUOUS = frozenset("phase tempo labor dolor minim commo offic conse excep exerc repre incid magna curab venen place fauci".split())
+STEMS = frozenset(w[:STEM] if w[:STEM] not in _AMBIGUOUS else w for w in _LATIN if len(w) >= STEM)
 _FUNCTION = re.compile(r"\b(?:the|of|and|to|in|for|is|was|with|that|by|der|die|das|und|le|la|les|des|el|los|en|de|une?|von|im|zu|que|del)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 BLANKS = re.compile(r"\s+")
 
 
 def is_filler(line: str) -> bool:
-    """Pseudo-Latin: two words or more, and a fifth of all, begin like those of the filler, and no small word of a language stands between them."""
+    """Pseudo-Latin: two different words or more, and a fifth of all, begin like those of the filler, and no small word of a language stands between them."""
     words = _WORD.findall(line.lower())
-    hits = sum(w[:STEM] in STEMS for w in words)
-    return hits >= 2 and hits * 5 >= len(words) and ("lorem" in words or not _FUNCTION.search(line))
+    hits = [w for w in words if w[:STEM] in STEMS or w in STEMS]
+    return len(set(hits)) >= 2 and len(hits) * 5 >= len(words) and ("lorem" in words or not _FUNCTION.search(line))
 
 
 _seen: dict[str, bool] = {}

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from quillgrid.llm.boilerplate import furniture_lines, main_content
 from quillgrid.llm.furniture import furniture_flags, is_form
-from quillgrid.llm.near_duplicates import RADIUS, VantageTree, same_story_pairs, shingle_hashes, similar_stories, sketch, story_sketches
-from quillgrid.llm.repeated_lines import count_lines, excess_lines, merge_counts, rebuild
+from quillgrid.llm.near_duplicates import RADIUS, VantageTree, distances, same_story_pairs, search_counts, shingle_hashes, similar_stories, sketch, story_sketches
+from quillgrid.llm.repeated_lines import LineStore, bodies, merged_store
 from quillgrid.llm.residue import has_placeholder, is_filler, is_message
-from quillgrid.llm.template_residue import is_residue, residue_fields, slug
+from quillgrid.llm.template_residue import compare, is_residue, residue_fields, slug
+from quillgrid.runtime import scratch
 from tests.llm.pages import articles
 
 WORDS = "cell gene trial dose cohort assay vector payload linker antibody signal reader site phase label adult tumor marker panel viral load serum titer weekly".split()
@@ -52,6 +53,22 @@ def test_site_templates_need_recurrence(spark):
     assert furniture_lines(df.limit(0)).count() == 0
 
 
+def test_subtrees_and_slots(spark):
+    """Without any rule of form: lists below a recurring label, links within the site, tags and breadcrumbs are slots."""
+    rng = random.Random(12)
+    page = lambda i: f"Trail » {i} {rng.random()}\nFurther things\n\n- {rng.random()} a\n- {rng.random()} b\n{story(rng)}\n\nNext to it [{rng.random()}](/x{i})\nMarks: #a{i} #b\nThe list of {chr(97 + i) * 5}\n- {chr(97 + i) * 4} c"
+    rows = [{"id": f"a{i}", "source_id": "s", "raw_markdown": page(i)} for i in range(9)]
+    rows += [{"id": f"b{i}", "source_id": "t", "raw_markdown": page(i)} for i in range(7)]
+    rows += [{"id": f"m{i}", "source_id": "s", "raw_markdown": f"502 Bad Gateway\nserver {i} closed\nodd footer"} for i in range(9)]
+    got = defaultdict(list)
+    for r in furniture_lines(articles(spark, rows), forms=False).collect():
+        got[r.article_id].append(r.line_no)
+    assert set(got) == {f"a{i}" for i in range(9)}  # seven pages are no template, and a line beside a message belongs to it
+    for i in range(9):
+        lines = rows[i]["raw_markdown"].split("\n")
+        assert [lines[n - 1][:9] for n in sorted(got[f"a{i}"])] == [lines[n][:9] for n in (0, 1, 3, 4, len(lines) - 4, len(lines) - 3)]
+
+
 def test_repeated_lines_against_brute_force(spark):
     rng = random.Random(2)
     pool = [f"Line number {k} of the house, all rights" for k in range(25)] + ["short", "x" * 19, "y" * 20]
@@ -67,36 +84,66 @@ def test_repeated_lines_against_brute_force(spark):
                 holders[key].add(r["id"])
     want = {p for k, ps in places.items() if len(holders[k]) >= 8 for p in ps}
     df = articles(spark, rows)
-    for newest in (F.lit(False), F.col("id") > "d5", F.lit(None).cast("boolean")):
-        got = [tuple(r) for r in excess_lines(df, newest).collect()]
-        assert sorted(got) == sorted(want) and want
-    # merging partitions one by one gives the table of all at once, and each crossing once
-    state, crossed = None, 0
-    for k in range(3):
-        state = merge_counts(state, count_lines(df.where(f"id rlike '^d[0-9]*[{'369' if k == 0 else '147' if k == 1 else '0258'}]$'")))
-        crossed += state.where("crossed").count()
-    whole = {(r.source, r.line): r.n for r in count_lines(df).collect()}
-    assert {(r.source, r.line): r.n for r in state.collect()} == whole and crossed == sum(n >= 8 for n in whole.values())
-    bodies = {r.document: r.body for r in rebuild(df, state, only_crossed=False).collect()}
+    batch = F.when(F.col("id").rlike("[369]$"), 1).when(F.col("id").rlike("[147]$"), 2).when(F.col("id").rlike("[258]$"), 3)  # null counts as 0
+    stores = {name: merged_store(df, by, scratch(spark, "lines")) for name, by in (("one", F.lit(5)), ("four", batch))}
+    assert stores["one"].batches() == [5] and stores["four"].batches() == [0, 1, 2, 3]
+    for store in stores.values():
+        assert sorted(tuple(r) for r in store.repeated().collect()) == sorted(want) and want
+    assert bodies(df, stores["four"].repeated()).count() == len(rows)
+    whole = {r.document: r.body for r in bodies(df, stores["four"].repeated()).collect()}
     for r in rows:
         kept = None if r["raw_markdown"] is None else "\n".join(x for n, x in enumerate(r["raw_markdown"].split("\n"), 1) if (r["id"], n) not in want)
-        assert bodies[r["id"]] == kept
-    only = {r.document for r in rebuild(df, state).collect()}
-    assert only <= {i for i, _ in want}
-    assert excess_lines(df.limit(0), F.lit(True)).count() == 0
+        assert whole[r["id"]] == kept
+    # what each merge rebuilds is exactly what differs from the bodies before it
+    number = {r["id"]: 1 if r["id"][-1] in "369" else 2 if r["id"][-1] in "147" else 3 if r["id"][-1] in "258" else 0 for r in rows}
+
+    def bodies_upto(b):
+        held = defaultdict(set)
+        for k, ps in places.items():
+            for i, n in ps:
+                if number[i] <= b:
+                    held[k].add(i)
+        over = {p for k, ps in places.items() if len(held[k]) >= 8 for p in ps}
+        return {r["id"]: "\n".join(x for n, x in enumerate(r["raw_markdown"].split("\n"), 1) if (r["id"], n) not in over) for r in rows if r["raw_markdown"] is not None and number[r["id"]] <= b}
+
+    text = {r["id"]: r["raw_markdown"] for r in rows}
+    before = {}
+    for b in range(4):
+        now = bodies_upto(b)
+        changed = {i: x for i, x in now.items() if before.get(i, text[i]) != x}
+        assert {r.document: r.body for r in stores["four"].rebuilt(df, b).collect()} == changed
+        before = now
+    empty = merged_store(df.limit(0), F.lit(1), scratch(spark, "lines"))
+    assert empty.repeated().count() == 0 and empty.rebuilt(df.limit(0), empty.batches()[-1]).count() == 0
+
+
+def test_new_document_loses_lines_that_crossed_before(spark):
+    store = LineStore(spark, scratch(spark, "lines"))
+    row = lambda i: {"id": f"n{i}", "source_id": "s", "raw_markdown": f"Story {chr(97 + i) * 3} in its own words\nThe same long line again"}
+    old, new = articles(spark, [row(i) for i in range(9)]), articles(spark, [row(9)])
+    store.merge(old, 1)
+    store.merge(new, 2)
+    assert {(r.document, r.body) for r in store.rebuilt(old.unionByName(new), 2).collect()} == {("n9", "Story jjj in its own words")}
+    store.merge(new, 2)  # a merge may be run again
+    assert store.batches() == [1, 2] and store.repeated().count() == 10
+    with pytest.raises(ValueError):
+        store.merge(new, 0)
 
 
 def test_vantage_tree_finds_all_and_prunes():
     rng = np.random.default_rng(3)
-    centres = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
-    points = np.concatenate([c ^ (np.uint64(1) << rng.integers(0, 63, 30).astype(np.uint64)) for c in centres])
-    tree = VantageTree(points)
-    for q in points[::50]:
-        assert sorted(tree.near(q, 6)) == sorted(np.flatnonzero(np.bitwise_count(points ^ q) <= 6))
-    tree.visited = 0
-    for q in points:
-        tree.near(q, 4)
-    assert tree.visited < 0.9 * len(points) ** 2
+    centres = rng.integers(0, 1 << 63, (40, 4), dtype=np.uint64)
+    points = np.concatenate([c ^ (np.uint64(1) << rng.integers(0, 63, (20, 4)).astype(np.uint64)) for c in centres])
+    for radius in (0, 6, 40, 120, 256):
+        tree = VantageTree(points, radius)
+        i, j = tree.pairs()
+        near = distances(points[:, None, :], points[None, :, :]) <= radius
+        assert sorted(zip(i.tolist(), j.tolist())) == [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near, 1)))]
+        if radius == 40:
+            assert tree.nodes and tree.excluded and tree.compared < 0.75 * len(points) ** 2
+    for few in (points[:0], points[:1], np.repeat(points[:1], 9, axis=0)):
+        n = len(few)
+        assert len(VantageTree(few).pairs()[0]) == n * (n - 1) // 2
 
 
 def test_sketches_track_similarity():
@@ -106,7 +153,10 @@ def test_sketches_track_similarity():
     a, b = shingle_hashes(words), shingle_hashes(near)
     share = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     (fa, ka), (fb, kb) = sketch(a), sketch(b)
-    assert share > 0.8 and bin((fa ^ fb) & (2**64 - 1)).count("1") <= RADIUS and set(ka) & set(kb)
+    bits = distances(*(np.frombuffer(x, np.uint64) for x in (fa, fb)))
+    assert share > 0.8 and len(fa) == 32 and bits <= RADIUS and set(ka) & set(kb)
+    far = np.frombuffer(sketch(shingle_hashes([f"u{i}" for i in range(400)]))[0], np.uint64)
+    assert distances(far, np.frombuffer(fa, np.uint64)) > RADIUS
 
 
 def test_same_story_against_brute_force(spark):
@@ -130,7 +180,11 @@ def test_same_story_against_brute_force(spark):
     want = {(a, b) for a in g for b in g if a < b and g[a] and g[b] and len(g[a] & g[b]) >= 0.6 * len(g[a] | g[b])}
     df = articles(spark, rows)
     got = [tuple(r) for r in same_story_pairs(df).collect()]
-    assert len(got) == len(set(got)) and set(got) <= want and len(want - set(got)) <= 0.01 * len(want)
+    assert len(got) == len(set(got)) and set(got) <= want and len(want - set(got)) <= 0.001 * len(want)
+    exact = [tuple(r) for r in same_story_pairs(df, exact=True).collect()]
+    assert sorted(exact) == sorted(want)
+    counts = search_counts(story_sketches(df)).first()
+    assert counts.compared > 0 and counts.trees > 0
     assert same_story_pairs(df.limit(0)).count() == 0
 
 
@@ -147,8 +201,10 @@ def test_hot_shard_is_cut_into_blocks(spark, monkeypatch):
     df = articles(spark, rows)
     whole = {tuple(sorted((bytes(r.story_a), bytes(r.story_b)))) for r in similar_stories(story_sketches(df)).collect()}
     monkeypatch.setattr(nd, "BLOCK", 7)
+    hot = search_counts(story_sketches(df)).first()
     cut = {tuple(sorted((bytes(r.story_a), bytes(r.story_b)))) for r in similar_stories(story_sketches(df)).collect()}
-    assert whole == cut and len(whole) == 60 * 59 // 2
+    exact = {tuple(sorted((bytes(r.story_a), bytes(r.story_b)))) for r in similar_stories(story_sketches(df), exact=True).collect()}
+    assert whole == cut == exact and len(whole) == 60 * 59 // 2 and hot.trees > 0
 
 
 RESIDUE = [
@@ -178,12 +234,15 @@ def test_residue_fields(spark):
     rng = random.Random(7)
     rows = [{"id": f"ok{i}", "source_id": "s", "raw_markdown": story(rng), "title": "Cell gene trial", "url": "https://e/cell-gene-trial"} for i in range(10)]
     rows += [{"id": "bad", "source_id": "s", "raw_markdown": "Home > x / y\n502 Bad Gateway", "analysis_notes": "null"}, {"id": "slot", "source_id": "s", "raw_markdown": story(rng) + " in {{place}}"}]
-    # a response that no detector knows: short, without heading, unlike its address, and given again and again
-    rows += [{"id": f"odd{i}", "source_id": "s", "raw_markdown": f"Quux garply waldo fred plugh {chr(97 + i) * 6}", "title": "Rapid tumor burden for adults", "url": f"https://e/rapid-tumor-burden-{i}"} for i in range(5)]
+    # a response that no detector knows: unlike its address and title, and given again and again
+    rows += [{"id": f"odd{i}", "source_id": "s", "raw_markdown": f'Quux garply waldo fred plugh "Rapid tumor burden for adults" ({chr(97 + i) * 6})', "title": "Rapid tumor burden for adults", "url": f"https://e/rapid-tumor-burden-{i}"} for i in range(5)]
     rows += [{"id": "once", "source_id": "s", "raw_markdown": "Completely different little note", "title": "Rapid tumor burden", "url": "https://e/rapid"}, {"id": "match", "source_id": "s", "raw_markdown": "Tumor burden fell", "title": "Tumor burden fell", "url": "https://e/x"}]
     rows += [{"id": "n"}, {"id": "e", "source_id": "s", "raw_markdown": "", "analysis_notes": ""}, {"id": "f", "source_id": "s", "raw_markdown": "Advertisement\n\nFiled under: A (B)"}]
     got = sorted(tuple(r) for r in residue_fields(articles(spark, rows)).collect())
     assert got == sorted([("bad", "raw_markdown"), ("bad", "analysis_notes"), ("slot", "raw_markdown")] + [(f"odd{i}", "raw_markdown") for i in range(5)])
+    without = sorted(tuple(r) for r in residue_fields(articles(spark, rows), messages=False).collect())
+    assert without == sorted([("slot", "raw_markdown")] + [(f"odd{i}", "raw_markdown") for i in range(5)])
     assert residue_fields(articles(spark, rows).limit(0)).count() == 0
+    assert compare(["# Tumor burden fell", "x"], "Tumor burden fell", None)[0] is False and compare(['We lost "Tumor burden fell"'], "Tumor burden fell", None)[0] is True and compare(["x"], None, None)[0] is True
     assert slug("https://e/a/b-c_d.html?x#y") == "b c d" and slug(None) == ""
     assert is_message("Not Found") and not is_message("The drug was not found in plasma of the mice that were given it.") and is_filler("Tempori egestor lorem deseri") and has_placeholder("a {{b}}")
