@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillgrid.llm.names import Parser, allowed, edit_distance, index_keys, probe_keys, same_entity_pairs, similar_cores
+from quillgrid.llm.names import Parser, allowed, edit_distance, index_keys, kindred, learned_kinds, probe_keys, same_entity_pairs, similar_cores
 
 FORMS = [("Bob", "Robert", "given_name"), ("Labs", "Laboratories", "field_word"), ("Bio Sciences", "Biosciences", "field_word"), ("Tech", "Technologies", "field_word"), ("Genom.", "Genomics", "field_word"), (None, None, None)]
 FULL = FORMS + [(x, x, "field_word") for x in ("Therapeutics", "Diagnostics", "International", "Pharmaceuticals")]
@@ -82,8 +82,33 @@ OTHERS = [
 ]
 
 
+#: Names that show what the kinds of technologies are.
+KINDS = [f"{a}{b}or {b}{a}ex {kind}" for kind in ("base editing platform", "antibody drug conjugate", "lipid nanoparticle system") for a in ("zum", "rix", "kel", "tov") for b in ("bal", "fid", "gon")]
+
+
+def test_kinds_are_learned(spark):
+    names = KINDS + ["Prate Trelkivci ADC", "Prate Trelkivci LNP", "Base editing platform (Moss Hale)", None, ""]
+    df = spark.createDataFrame([(n, " Technology ") for n in names] + [("base editing platform", "drug")], "name string, entity_type string")
+    kinds = learned_kinds(df, "technology")
+    assert sorted(map(" ".join, kinds)) == ["antibody drug conjugate", "base editing platform", "lipid nanoparticle system"]
+    assert learned_kinds(df.limit(3), "technology") == [] and learned_kinds(df.limit(0), "technology") == []
+    assert all(kindred(w, ["lipid", "nanoparticle", "system"]) for w in ("lipid", "lnp", "nano", "particles", "sytem", "lnps"))
+    assert all(kindred(w, ["antibody", "drug", "conjugate"]) for w in ("adc", "adcs", "conjugates", "antib")) and kindred("be", ["base", "editing"]) and kindred("editor", ["base", "editing"])
+    assert not any(kindred(w, ["base", "editing", "platform"]) for w in ("prate", "adc", "lnp", "bp", "ba", "e", "forma"))
+
+
+def test_pet_names_are_learned(spark):
+    rows = [(f"{f}-{g}", f"{g} {f}ov-{f}ax") for f in ("brum", "klix", "zond") for g in ("Francisco", "Paco")]
+    rows += [("x-1", "Francisco Helm-Oster"), ("x-2", "Paco Helm-Oster"), ("x-3", "Thomas Helm-Oster"), ("y-1", "Thomas Wix-Yale"), ("y-2", "Paco Wix-Yale"), ("z-1", "Dorothea Quell-Rast"), ("z-2", "Dora Quell-Rast"), ("z-3", "Zach Quell-Rast"), ("z-4", "Zachary Quell-Rast")]
+    df = spark.createDataFrame(rows, "id string, name string").withColumn("entity_type", F.lit("person"))
+    forms = spark.createDataFrame(FULL, "short_form string, full_form string, form_kind string")
+    want = {(f"{f}-Francisco", f"{f}-Paco") for f in ("brum", "klix", "zond")} | {("x-1", "x-2"), ("z-1", "z-2"), ("z-3", "z-4")}
+    assert {tuple(r) for r in same_entity_pairs(df, forms).collect()} == want
+
+
 def test_variants(spark):
     rows, want = [], set()
+    rows += [(f"k{i:02d}", n, "technology", "clash", "clash", "clash") for i, n in enumerate(KINDS)]
     for g, (kind, name, variants) in enumerate(SAME):
         ids = []
         for n, v in enumerate([name, *variants]):
