@@ -109,3 +109,9 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_spans(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.spans(table(spark, d, "documents"))
+
+
+@query
+def p9_places(spark: SparkSession, d: str) -> DataFrame:
+    """Where the shared spans are."""
+    return shared_spans.spans(table(spark, d, "documents"), doubling=False).select("doc_id", "start", "length")

@@ -370,13 +370,14 @@ def doubled(texts: DataFrame, repeated_sides: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, levels).groupBy("record", "at").agg(F.max("longest").alias("longest"))
 
 
-def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", doubling: bool = True) -> DataFrame:
     """(doc_id, start, length, longest, holders): the maximal spans of each record that are shared, character by character.
 
     start counts from 1. A span is made of windows of MIN_SPAN characters that stand in other records
     and touch each other; longest is the greatest doubling of MIN_SPAN that one other record holds
     whole from one of its anchors on, 0 if the span has none; holders the number of different texts
     that hold the most common window. Records whose whole text others repeat are one span of all of it.
+    Without ``doubling`` longest is not looked for, and is 0.
     """
     classes = text_classes(documents, key, text)
     texts = _texts(documents, classes, key, text)
@@ -386,7 +387,8 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     regions = marked.withColumn("region", F.sum("new").over(around)).groupBy("record", "region").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("n").alias("holders"))
     right = sides.where("x0 is not null").select("record", F.col("anchor").alias("at"), F.col("x0").alias("x"), F.col("y0").alias("y"))
     twice = right.groupBy("x", "y").agg(F.min("record").alias("a"), F.max("record").alias("b")).where("a < b").select("x", "y")
-    long = doubled(texts, right.join(twice, ["x", "y"], "left_semi"))
+    found = right.join(twice, ["x", "y"], "left_semi")
+    long = doubled(texts, found) if doubling else found.select("record", "at", F.lit(0).alias("longest"))
     inside = regions.join(long, "record", "left").groupBy("record", "region", "first", "last", "holders").agg(F.max(F.when(F.col("at").between(F.col("first"), F.col("last")), F.col("longest"))).alias("longest"))
     parts = inside.select("record", (F.col("first") + 1).alias("start"), (F.col("last") - F.col("first") + MIN_SPAN).alias("length"), F.coalesce("longest", F.lit(0)).alias("longest"), "holders")
     copies = classes.groupBy("record").agg(F.count(F.lit(1)).alias("copies"))
@@ -394,5 +396,5 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     own = owners.where("copies = 1").join(parts, "record").select(F.col("id").alias("doc_id"), "start", "length", "longest", F.col("holders").cast("long").alias("holders"))
     size = F.col("chars").cast("int")
     doublings = F.floor(F.log2(F.col("chars") / MIN_SPAN)).cast("int")
-    whole = owners.where("copies > 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("start"), size.alias("length"), (F.lit(MIN_SPAN) * F.pow(F.lit(2), doublings)).cast("int").alias("longest"), F.lit(1).cast("long").alias("holders"))
+    whole = owners.where("copies > 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("start"), size.alias("length"), (F.lit(MIN_SPAN) * F.pow(F.lit(2), doublings) if doubling else F.lit(0)).cast("int").alias("longest"), F.lit(1).cast("long").alias("holders"))
     return own.unionByName(whole).distinct()
