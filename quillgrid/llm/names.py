@@ -9,7 +9,8 @@
    different cuts are used: each swap straddles the cut of at most one of them. Segments go into an
    inverted index keyed by (type, qualifier, length, cutting, segment, text); the other side looks
    up only the substrings whose shift is compatible with k edits on either side of the segment.
-3. Candidates are verified with a banded edit distance.
+3. Candidates are verified with a banded edit distance; a plain distance that bounds it is tried
+   first, in the JVM.
 4. Links are closed to components. Persons are linked within one family name only where the given
    names agree; initials join a person only where exactly one person fits.
 
@@ -20,9 +21,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ from quillgrid.runtime import as_table
 
 #: Cores of at least 10 letters may differ by two edits, of at least 6 by one.
 TWO_EDITS, ONE_EDIT = 10, 6
+#: Given names are shorter but lie within one family name.
+GIVEN_EDITS = (7, 4)
 #: The table of short forms is a dictionary of words, not data; more rows than this are refused.
 MAX_FORMS = 100_000
 
@@ -91,16 +97,6 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(rows[n][m], over)
 
 
-def allowed(length: int) -> int:
-    """Edits between two cores, by the length of the shorter one."""
-    return 2 if length >= TWO_EDITS else 1 if length >= ONE_EDIT else 0
-
-
-def allowed_given(length: int) -> int:
-    """Edits between two given names, which are shorter but lie within one family name."""
-    return 2 if length >= 7 else 1 if length >= 4 else 0
-
-
 def plain(name: str) -> str:
     """Without accents, with plain dashes, quotes and blanks; case kept."""
     text = unicodedata.normalize("NFKD", name)
@@ -274,33 +270,38 @@ class Parser:
         return found
 
 
-def _cuts(length: int, k: int, cutting: int) -> list[tuple[int, int]]:
-    """(start, length) of the k + 1 segments of a core in one of its k + 1 cuttings, whose cuts are all different."""
+@lru_cache(maxsize=4096)
+def _cuts(length: int, k: int) -> list[tuple[int, int, int, int]]:
+    """(cutting, segment, start, length) of the k + 1 segments of a core in each of its k + 1 cuttings, whose cuts are all different."""
     base = [round(length * i / (k + 1)) for i in range(k + 2)]
-    shift = (0, 1, -1)[cutting] if k else 0
-    at = [0, *(x + shift for x in base[1:-1]), length]
-    return [(x, y - x) for x, y in zip(at, at[1:])]
-
-
-def index_keys(core: str, edits: Callable[[int], int] = allowed) -> list[tuple]:
-    """(length, cutting, segment, text) under which a core stands in the inverted index."""
-    k = edits(len(core))
-    return [(len(core), c, s, core[x : x + n]) for c in range(k + 1) for s, (x, n) in enumerate(_cuts(len(core), k, c))]
-
-
-def probe_keys(core: str, edits: Callable[[int], int] = allowed) -> set[tuple]:
-    """The keys to look up: for each shorter or equal length within k, the substrings at compatible shifts."""
-    keys = set()
-    for length in range(max(1, len(core) - 2), len(core) + 1):
-        k = edits(length)
-        extra = len(core) - length
-        if extra > k:
-            continue
-        for c in range(k + 1):
-            for s, (x, n) in enumerate(_cuts(length, k, c)):
-                for shift in range(-k, k + 1):
-                    if abs(shift) + abs(extra - shift) <= k and 0 <= x + shift <= len(core) - n:
-                        keys.add((length, c, s, core[x + shift : x + shift + n]))
+    made = []
+    for c, shift in zip(range(k + 1), (0, 1, -1)):
+        at = [0, *(x + shift for x in base[1:-1]), length]
+        made += [(c, s, x, y - x) for s, (x, y) in enumerate(zip(at, at[1:]))]
+    return made
+
+
+def edits_of(length: int, edits: tuple[int, int]) -> int:
+    """Edits between two cores, by the length of the shorter one. edits: the least lengths for two edits and for one."""
+    return 2 if length >= edits[0] else 1 if length >= edits[1] else 0
+
+
+def segment_keys(block: str, core: str, edits: tuple[int, int], probe: bool) -> set[int]:
+    """The hashes under which a core stands in the inverted index or, with ``probe``, is looked up.
+
+    A key is (block, length, cutting, segment, text). Looked up are, for each shorter or equal length
+    within k edits, the substrings whose shift is compatible with k edits on either side of the segment.
+    Lengths that allow no edit have no keys.
+    """
+    keys, n = set(), len(core)
+    for extra in range(3 if probe else 1):
+        length = n - extra  # of the core in the index
+        k = edits_of(length, edits)
+        for c, s, start, size in _cuts(length, k) if k and extra <= k else ():
+            for shift in range(-k, k + 1) if probe else (0,):
+                x = start + shift
+                if (not probe or abs(shift) + abs(extra - shift) <= k) and 0 <= x <= n - size:
+                    keys.add(xxhash.xxh64_intdigest(f"{block}|{length}|{c}|{s}|{core[x : x + size]}") - (1 << 63))
     return keys
 
 
@@ -341,25 +342,29 @@ def parsed_names(entities: DataFrame, forms: DataFrame, key: str = "id", name: s
     return base.mapInPandas(run, f"id {base.schema['id'].dataType.simpleString()}, kind string, qualifier string, core string, given string")
 
 
-def similar_cores(cores: DataFrame, edits: Callable[[int], int] = allowed) -> DataFrame:
+def similar_cores(cores: DataFrame, edits: tuple[int, int] = (TWO_EDITS, ONE_EDIT)) -> DataFrame:
     """(block, core_a, core_b): the different cores of one block within the allowed edits of the shorter one. Input (block, core), distinct."""
+    # each core makes dozens of keys, so the cores are spread out first, however few bytes they are
+    cores = cores.where(F.length("core") >= edits[1]).repartition(int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def keys(make):
+    def keyed(probe: bool) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = [(b, c, "|".join(map(str, k))) for b, c in zip(batch["block"], batch["core"]) for k in make(c, edits)]
-                yield pd.DataFrame(rows, columns=["block", "core", "k"], dtype=object)
+                keys = [np.fromiter(segment_keys(b, c, edits, probe), np.int64) for b, c in zip(batch["block"], batch["core"])]
+                yield batch.assign(keys=pd.Series(keys, batch.index, dtype=object))
 
-        return cores.mapInPandas(run, "block string, core string, k string").select("block", "core", F.xxhash64("block", "k").alias("k"))
+        return cores.select("block", "core").mapInPandas(run, "block string, core string, keys array<long>").select("block", "core", F.explode("keys").alias("k"))
 
-    # each core makes dozens of keys, so the cores are spread out first, however few bytes they are
-    cores = cores.repartition(int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    index = keys(index_keys).withColumnRenamed("core", "other").withColumnRenamed("block", "block2")
-    near = keys(probe_keys).join(index, "k").where("block = block2 and core <> other and (length(core) > length(other) or core > other)").select("block", "core", "other").distinct()
+    index = keyed(False).select(F.col("block").alias("block2"), F.col("core").alias("other"), "k")
+    # a swap is one edit but two of Levenshtein's: within k edits that distance is at most 2 k
+    most = F.when(F.least(F.length("core"), F.length("other")) >= edits[0], 4).otherwise(2)
+    close = F.when(most == 4, F.levenshtein("core", "other", 4)).otherwise(F.levenshtein("core", "other", 2)) >= 0
+    met = keyed(True).join(index, "k").where("block = block2 and core <> other and (length(core) > length(other) or core > other)").where(close)
+    near = met.select("block", "core", "other").distinct()
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = [edit_distance(a, b, k) <= k if (k := edits(min(len(a), len(b)))) else False for a, b in zip(batch["core"], batch["other"])]
+            keep = [edit_distance(a, b, k) <= k for a, b in zip(batch["core"], batch["other"]) for k in (edits_of(min(len(a), len(b)), edits),)]
             yield batch[keep].rename(columns={"core": "core_a", "other": "core_b"})
 
     return near.mapInPandas(verify, "block string, core_a string, core_b string")
@@ -386,7 +391,7 @@ def _persons(named: DataFrame) -> DataFrame:
     nodes = named.select("family", "given").distinct()
     whole = nodes.where(F.length("given") > 1)
 
-    close = similar_cores(whole.select(F.col("family").alias("block"), F.col("given").alias("core")), allowed_given)
+    close = similar_cores(whole.select(F.col("family").alias("block"), F.col("given").alias("core")), GIVEN_EDITS)
     # a given name that is cut short ("Zach"), or a part of one with a pet ending ("Dora"), stands in the whole one
     spelled = whole.select(F.col("family").alias("block"), F.col("given"))
     stems = spelled.select("block", F.col("given").alias("core_b"), F.explode(F.array_distinct(F.array("given", F.regexp_replace("given", "(?:ie|ey|[iyeao])$", "")))).alias("part")).where("length(part) >= 3")
