@@ -22,10 +22,9 @@ where AQE splits a hot host. Hashing the elements anew in this scan is cheaper t
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,16 +43,14 @@ MAX_SITES = 1_000
 def _count_elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (tpl_host, h, n, with_list): the pages of a batch with an element, and with a list below it; already added up by batch."""
     for batch in batches:
-        n, with_list = Counter(), Counter()
+        n, with_list = defaultdict(Counter), defaultdict(Counter)
         for host, value in zip(batch["tpl_host"], batch["text"]):
             lines = [squeeze(x) for x in value.split("\n")]
             hashes, owning = elements(lines, [x.lower() for x in lines])
-            found = dict(zip(hashes, owning)) | {h: True for h, o in zip(hashes, owning) if o}
-            found.pop(0, None)
-            n.update((host, h) for h in found)
-            with_list.update((host, h) for h, o in found.items() if o)
-        keys = list(n)
-        yield pd.DataFrame({"tpl_host": [k[0] for k in keys], "h": np.array([k[1] for k in keys], np.int64), "n": np.array([n[k] for k in keys], np.int64), "with_list": np.array([with_list[k] for k in keys], np.int64)})
+            n[host].update(set(hashes))
+            with_list[host].update({h for h, o in zip(hashes, owning) if o})
+        rows = [(host, h, k, with_list[host][h]) for host, counts in n.items() for h, k in counts.items() if h]
+        yield pd.DataFrame(rows, columns=["tpl_host", "h", "n", "with_list"])
 
 
 def site_templates(pages: DataFrame, host: str = "host", text: str = "text", min_pages: int = MIN_PAGES) -> DataFrame:

@@ -186,12 +186,11 @@ def _words():
     return _machine
 
 
-def hits(text: str, starts: list[int]) -> dict[int, int]:
-    """For the numbers of the lines of a text that hold a word of a list: which lists; starts: where its lines begin."""
-    found: dict[int, int] = {}
+def hits(text: str, starts: list[int]) -> list[int]:
+    """For each line of a text, the lists whose words it holds; starts: where the lines begin."""
+    found = [0] * len(starts)
     for at, lists in _words().iter(text):
-        n = bisect_right(starts, at) - 1
-        found[n] = found.get(n, 0) | lists
+        found[bisect_right(starts, at) - 1] |= lists
     return found
 
 
@@ -200,7 +199,7 @@ def has_message(lines: list[str]) -> bool:
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
     held = hits("\n".join(lows), [0, *accumulate(len(x) + 1 for x in lows)][:-1])
-    return any(x and ((len(x) <= SHORT or held.get(i, 0) & _TOLD) and is_message(x) or held.get(i, 0) & _LATIN and is_filler(x)) for i, x in enumerate(lines))
+    return any(x and ((len(x) <= SHORT or held[i] & _TOLD) and is_message(x) or held[i] & _LATIN and is_filler(x)) for i, x in enumerate(lines))
 
 
 def furniture_flags(lines: list[str]) -> list[bool]:
@@ -208,19 +207,18 @@ def furniture_flags(lines: list[str]) -> list[bool]:
     return page_flags(lines)[0]
 
 
-def _stands_for_story(lines: list[str], out: list[bool], held: dict[int, int], i: int, step: int) -> bool:
+def _stands_for_story(lines: list[str], out: list[bool], held: list[int], i: int, step: int) -> bool:
     """Is the next line with text, in one direction, a message of the story?"""
     i += step
     while 0 <= i < len(lines) and not lines[i]:
         i += step
-    return 0 <= i < len(lines) and not out[i] and (len(lines[i]) <= SHORT or bool(held.get(i, 0) & _TOLD)) and is_message(lines[i])
+    return 0 <= i < len(lines) and not out[i] and (len(lines[i]) <= SHORT or bool(held[i] & _TOLD)) and is_message(lines[i])
 
 
 _RUN = re.compile(r"[0-9]+")
 _SITE_LINK = re.compile(r"\[[^\]]*\]\((?:/|#|\?|mailto:)[^)]*\)")
 _TAG = re.compile(r"#[\w&-]+")
 _CRUMBS = re.compile(r"(?<=\S) (>|/|»|›|→|::) .*")
-_STEPS = (" > ", " / ", " » ", " › ", " → ", " :: ")
 _shapes: dict[str, int] = {}
 
 
@@ -233,7 +231,7 @@ def element_hash(low: str) -> int:
             shape = _SITE_LINK.sub("[]()", shape)
         if "#" in shape:
             shape = _TAG.sub("#", shape)
-        if any(x in shape for x in _STEPS):
+        if " > " in shape or " / " in shape or " » " in shape or " › " in shape or " → " in shape or " :: " in shape:
             shape = _CRUMBS.sub(r" \1 *", shape)
         known = xxhash.xxh64_intdigest(shape) - (1 << 63)
         if len(low) <= 2 * SHORT:  # those that may recur
@@ -243,9 +241,14 @@ def element_hash(low: str) -> int:
     return known
 
 
+def element_hashes(lows: list[str]) -> list[int]:
+    """For each squeezed line in lower case the hash of its element, 0 for blank lines and titles."""
+    return [0 if not low or low.startswith("# ") else element_hash(low) for low in lows]
+
+
 def elements(lines: list[str], lows: list[str]) -> tuple[list[int], list[bool]]:
     """For each squeezed line the hash of its element, 0 for blank lines and titles, and whether a list item follows it."""
-    hashes = [0 if not low or low.startswith("# ") else element_hash(low) for low in lows]
+    hashes = element_hashes(lows)
     owning, below = [False] * len(lines), False
     for i in range(len(lines) - 1, -1, -1):
         if lines[i]:
@@ -261,7 +264,7 @@ def page_flags(lines: list[str], templates: frozenset[int] = frozenset(), owners
     """
     lines = [squeeze(x) for x in lines]
     lows = [x.lower() for x in lines]
-    hashes = elements(lines, lows)[0] if templates else [0] * len(lines)
+    hashes = element_hashes(lows) if templates else [0] * len(lines)
     starts = [0, *accumulate(len(x) + 1 for x in lows)][:-1]
     page = "\n".join(lows)
     held = hits(page, starts)
@@ -285,19 +288,19 @@ def page_flags(lines: list[str], templates: frozenset[int] = frozenset(), owners
         if owner == "list" and item:
             out[i] = True
             continue
-        if forms and held.get(i, 0) & _FORMED and COMMENT.match(low):
+        if forms and held[i] & _FORMED and COMMENT.match(low):
             out[i] = True
             continue
         owner = None
         if title:
             continue
-        formed = forms and (short or held.get(i, 0) & _FORMED) and is_form(line)
+        formed = forms and (short or held[i] & _FORMED) and is_form(line)
         if seen or formed:
-            out[i] = not ((short or held.get(i, 0) & _TOLD) and is_message(line))
+            out[i] = not ((short or held[i] & _TOLD) and is_message(line))
             if out[i] and not formed:
                 told.append(i)
     for i in told:
         if any(_stands_for_story(lines, out, held, i, step) for step in (-1, 1)):
             out[i] = False
-    suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held.get(i, 0) & (_TOLD | _LATIN))]
+    suspects = [x for i, x in enumerate(lines) if x and not out[i] and (len(x) <= SHORT or held[i] & (_TOLD | _LATIN))]
     return out, suspects
