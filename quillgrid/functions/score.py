@@ -34,9 +34,9 @@ NON_ARTICLE = (
     r"/content/early/",
     r"\.xml$",
 )
+# Dated addresses, labels of links to the next page, words of feed addresses; the points and bonuses of the score below are fixed too.
 DATED = r"/20\d{2}/\d{2}/(?:\d{2}/)?"
 NEXT_LABELS = ("next", "next page", ">", ">>", "›", "→", "older", "older posts")
-SURFACE_BONUS = {"rss": 4, "category_page": 2, "sitemap": 0, "map": 0}
 
 
 def is_non_article(url: Column, exceptions: Column, excludes: Column) -> Column:
@@ -49,6 +49,7 @@ def link_score(url: Column, title: Column, description: Column, mode: Column, ke
     """The additive score of a link under its source's rule; null texts count as ''."""
     low = F.lower(url)
     t, d = F.trim(F.coalesce(title, F.lit(""))), F.trim(F.coalesce(description, F.lit("")))
+    # the points of each sign
     has = lambda words: F.lit(False) if not words else _any(low, words)
     word, pattern = any_match(low, keywords, pattern=False), any_match(url, regexes)
     points = [
