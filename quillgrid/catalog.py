@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.operators import timestamps
-from quillgrid.plans import content, dashboard, knowledge, pipeline, runs, streams, urls, writes  # noqa: F401 - they register their queries
+from quillgrid.plans import content, dashboard, knowledge, pipeline, relations, runs, streams, urls, writes  # noqa: F401 - they register their queries
 from quillgrid.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from quillgrid.runtime import table
 

@@ -194,6 +194,13 @@ def deletable(parents: DataFrame, children: DataFrame, child_key: str, parent_ke
     return parents.join(children.select(F.col(child_key).alias(parent_key)).distinct(), parent_key, "left_anti")
 
 
+def delete_guarded(parents: DataFrame, wanted: DataFrame, children: DataFrame, child_key: str, parent_key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(the parents that stay, those of ``wanted`` whose deletion is refused): a parent that a child refers to is not deleted."""
+    used = children.where(F.col(child_key).isNotNull()).select(F.col(child_key).alias(parent_key)).distinct()
+    asked = wanted.select(parent_key).distinct()
+    return parents.join(asked.join(used, parent_key, "left_anti"), parent_key, "left_anti"), asked.join(used, parent_key, "left_semi")
+
+
 def violations(tables: dict[str, DataFrame], unique: dict[str, list[tuple[str, ...]]], references: list[tuple[str, str, str]]) -> DataFrame:
     """(check_name, violations) for each unique key (surplus rows) and reference (rows that point nowhere; null points nowhere too only if not null)."""
     parts = []

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quillgrid.operators.components import connected_components
 from quillgrid.operators.discovery import after_feed_cursor, budget_mode, checkpoint_after, due_for_refresh, failure_runs, first_in_order, first_working, lane, newest_of_target, processing_branch, rank_surface, surface_plan, surface_state, yield_drift
 from quillgrid.operators.graph import co_occurrence, induced, neighbourhood
-from quillgrid.operators.warehouse import add_links, cascade_delete, deletable, dispositions, duplicate_groups, insert_missing, merge_entities, merge_summary, not_null, patch, resolve_entities, upsert_state, violations, write_articles, write_counts, write_entities
+from quillgrid.operators.warehouse import add_links, cascade_delete, deletable, delete_guarded, dispositions, duplicate_groups, insert_missing, merge_entities, merge_summary, not_null, patch, resolve_entities, upsert_state, violations, write_articles, write_counts, write_entities
 from quillgrid.sources.feeds import expand_sitemaps, feed_entries, monthly_sitemaps
 from quillgrid.sources.payloads import credit_usage, map_links, scraped_pages
 from quillgrid.sources.html import before_last_seen, html_anchors, next_pages, walk_pages
@@ -109,6 +109,13 @@ def test_new_tables(spark):
     assert sorted(upsert_state(s, u, "k", ["e"]).collect(), key=str) == [("a", 1, "e"), ("b", 2, None), ("c", 3, None)]
 
 
+def test_guarded_delete(spark):
+    p = spark.createDataFrame([("1",), ("2",), ("3",)], "id string")
+    c = spark.createDataFrame([("a", "1"), ("b", None)], "id string, p string")
+    left, refused = delete_guarded(p, spark.createDataFrame([("1",), ("2",), ("2",), ("9",)], "id string"), c, "p")
+    assert rows(left) == [("1",), ("3",)] and rows(refused) == [("1",)]
+
+
 def test_payloads(spark):
     df = spark.createDataFrame([("a", '{"links":[{"url":"u","title":"t"},"x",{"title":"no"},{"url":""}]}'), ("b", "no json"), ("c", None), ("d", '{"links":7}')], "k string, body string")
     assert rows(map_links(df).select("k", "pos", "url", "title")) == [("a", 0, "u", "t")]
