@@ -82,7 +82,10 @@ def same_domain_links(spark: SparkSession, d: str) -> DataFrame:
     return site_links(_anchors(spark, d), "base").select("article_id", "pos", "text", "url")
 
 
-@query()
+@query(
+    r"with b as (select id, regexp_extract_all(raw_markdown, '\[([^\[\]]*)\]\(([^()\s]+)\)') as m from articles where raw_markdown is not null), l as (select id, unnest(range(least(len(m), 250)))::int as pos, unnest(m[1:250]) as a from b)"
+    r" select id, pos, regexp_extract(a, '\[([^\[\]]*)\]\(([^()\s]+)\)', 2) as href, trim(regexp_extract(a, '\[([^\[\]]*)\]\(([^()\s]+)\)', 1)) as text, '' as rel from l"
+)
 def anchor_scan_exact(spark: SparkSession, d: str) -> DataFrame:
     """Pages rendered to HTML, read with a real parser."""
     body = F.regexp_replace("raw_markdown", r"\[([^\[\]]*)\]\(([^()\s]+)\)", '<a href="$2"><b>$1</b></a>')
