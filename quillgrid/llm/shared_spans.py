@@ -198,15 +198,16 @@ def _side_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _between_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All windows of MIN_SPAN characters in the contexts of some anchors."""
+    """The windows of MIN_SPAN characters in the contexts of some anchors, each at the anchor of its own first run, so that none comes twice."""
     for batch in batches:
-        records, begin = batch["record"].to_numpy(), batch["start"].to_numpy()
+        records, begin, anchor = batch["record"].to_numpy(), batch["start"].to_numpy(), batch["anchor"].to_numpy()
         for codes, parts in _pieces(batch["context"]):
             w = _starts(parts)
-            x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][w].astype(np.int64) for seed in (1, 4))
             number, place = _owners(w, parts)
-            rows = pd.DataFrame({"record": records[number], "at": (place + begin[number]).astype(np.int32), "x": x, "y": y})
-            yield rows.drop_duplicates(["record", "at"])
+            own = run_anchors(window_hashes(codes, (BASE,))[BASE])[w] - w + place + begin[number] == anchor[number]
+            w, number, place = w[own], number[own], place[own]
+            x, y = (window_hashes(codes, (MIN_SPAN,), seed)[MIN_SPAN][w].astype(np.int64) for seed in (1, 4))
+            yield pd.DataFrame({"record": records[number], "at": (place + begin[number]).astype(np.int32), "x": x, "y": y})
 
 
 def _double_rows(size: int):
@@ -271,7 +272,7 @@ def _both_sides(sides: DataFrame) -> DataFrame:
 def _windows_between(sides: DataFrame, groups: DataFrame) -> DataFrame:
     """(record, at, x, y): the windows between the two sides of the anchors in ``groups`` (g), as a table."""
     kind = sides.schema["record"].dataType.simpleString()
-    wanted = sides.join(groups, "g", "left_semi").select("record", "start", "context")
+    wanted = sides.join(groups, "g", "left_semi").select("record", "anchor", "start", "context")
     return as_table(wanted.mapInPandas(_between_rows, f"record {kind}, at int, x long, y long"), "between", ("x", "y"))
 
 
@@ -283,7 +284,11 @@ def _disagreeing(sides: DataFrame) -> DataFrame:
 
 
 def _holders(windows: DataFrame) -> DataFrame:
-    """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number. windows: (record, x, y), distinct."""
+    """(x, y, holders, n) of the windows that stand in two records: the sum of the records' hashes, and their number.
+
+    windows: (record, x, y); a record that comes twice with a window counts twice in both, which only
+    sets such windows apart from others of the same records.
+    """
     one = F.xxhash64("record").cast("decimal(20,0)")
     counted = windows.groupBy("x", "y").agg(F.sum(one).alias("holders"), F.count(F.lit(1)).alias("n"), F.min("record").alias("a"), F.max("record").alias("b"))
     return counted.where("a < b").select("x", "y", "holders", "n")
@@ -300,7 +305,7 @@ def span_pairs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     alive = living_anchors(texts)
     sides = side_windows(texts, alive)
     between = _windows_between(sides, as_table(_disagreeing(sides), "disagreeing"))
-    windows = _both_sides(sides).select("x", "y", "record").unionByName(between.select("x", "y", "record")).distinct()
+    windows = _both_sides(sides).select("x", "y", "record").unionByName(between.select("x", "y", "record"))
     # one window stands for all that the same records hold
     chosen = as_table(_holders(windows).groupBy("holders", "n").agg(F.min(F.struct("x", "y")).alias("w")).select("w.x", "w.y"), "chosen")
     groups = as_table(windows.join(chosen, ["x", "y"], "left_semi").select("x", "y", "record"), "span-groups")

@@ -163,11 +163,14 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     pieces = module._anchor_rows
     frame = __import__("pandas").DataFrame({"record": range(12), "text": texts})
     small = {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
-    frame["context"], frame["start"] = texts, 0
+    # each window comes once, at the anchor of its first run
+    contexts = [(i, a, max(0, a - 100), t[max(0, a - 100) : a + MIN_SPAN]) for i, t in enumerate(texts) for a in {r[1] for r in small if r[0] == i}]
+    frame = __import__("pandas").DataFrame(contexts, columns=["record", "anchor", "start", "context"])
     windows = [(r.record, r.at, r.x, r.y) for f in module._between_rows(iter([frame])) for r in f.itertuples()]
-    assert len(windows) == len(set(windows)) == sum(len(t) - MIN_SPAN + 1 for t in texts)
+    assert len(windows) == len({x[:2] for x in windows}) == sum(len(t) - MIN_SPAN + 1 for t in texts)
     monkeypatch.setattr(module, "PIECE", 1 << 20)
     assert set(windows) == {(r.record, r.at, r.x, r.y) for f in module._between_rows(iter([frame])) for r in f.itertuples()}
+    frame = __import__("pandas").DataFrame({"record": range(12), "text": texts})
     assert small == {(r.record, r.at, r.h0, r.h1) for f in pieces(iter([frame])) for r in f.itertuples()}
     assert {tuple(r) for r in span_pairs(documents(spark, texts)).collect()} == pairs and pairs
 
