@@ -27,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillgrid.llm.boilerplate import annotate
 from quillgrid.llm.furniture import has_message
+from quillgrid.llm.near_duplicates import word_hash
 from quillgrid.llm.residue import has_placeholder, is_filler, is_message, is_script_notice
 from quillgrid.runtime import as_table
 
@@ -45,8 +45,6 @@ FLAT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTED = re.compile(r'"[^"]*"|“[^”]*”|„[^“]*“|«[^»]*»|\([^()]*\)')
 
-_word_hash: dict[str, int] = {}
-
 
 def terms(text: str | None) -> set[str]:
     return {w for w in _WORD.findall((text or "").lower()) if len(w) > 3}
@@ -79,15 +77,7 @@ def compare(story: list[str], title: str | None, url: str | None) -> tuple[bool,
 
 
 def _hashes(words: set[str]) -> np.ndarray:
-    if len(_word_hash) > 500_000:
-        _word_hash.clear()
-    out = []
-    for w in words:
-        h = _word_hash.get(w)
-        if h is None:
-            h = _word_hash[w] = xxhash.xxh64_intdigest(w) - (1 << 63)
-        out.append(h)
-    return np.array(out, np.int64)
+    return np.fromiter(map(word_hash.__getitem__, words), np.uint64, len(words)).view(np.int64)
 
 
 def _judge(messages: bool):
