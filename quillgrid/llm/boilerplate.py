@@ -7,7 +7,8 @@ the site, hash tags and the tail of a breadcrumb; and a list below a label is a
 subtree. The hashes are counted per host in Spark. An element whose hash recurs on ``MIN_PAGES``
 pages of its host is deleted; where nine in ten of a recurring element's pages show it with a list
 below, the whole subtree is deleted, whatever the items say. The threshold is a number of pages
-and the same for hosts of any size; versions of one story within a host stay under it.
+and the same for hosts of any size; versions of one story within a host stay under it. Pages that are
+nothing but a message (no title, and a line that is one) are not counted.
 
 Free text that the page wraps around the story and words anew each time (reader comments,
 advertisements, event notes) has no recurring hash of any kind; such elements are recognised by
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillgrid.llm.furniture import elements, page_flags, squeeze
+from quillgrid.llm.furniture import elements, is_response, page_flags, squeeze
 from quillgrid.runtime import as_table
 
 #: A template is on at least this many pages of its host.
@@ -46,6 +47,8 @@ def _count_elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, with_list = defaultdict(Counter), defaultdict(Counter)
         for host, value in zip(batch["tpl_host"], batch["text"]):
             lines = [squeeze(x) for x in value.split("\n")]
+            if is_response(lines):
+                continue
             hashes, owning = elements(lines, [x.lower() for x in lines])
             n[host].update(set(hashes))
             with_list[host].update({h for h, o in zip(hashes, owning) if o})

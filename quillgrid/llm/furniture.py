@@ -218,7 +218,8 @@ def _stands_for_story(lines: list[str], out: list[bool], held: list[int], i: int
 _RUN = re.compile(r"[0-9]+")
 _SITE_LINK = re.compile(r"\[[^\]]*\]\((?:/|#|\?|mailto:)[^)]*\)")
 _TAG = re.compile(r"#[\w&-]+")
-_CRUMBS = re.compile(r"(?<=\S) (>|/|»|›|→|::) .*")
+#: A breadcrumb begins with a short name; a sign of comparison within a sentence is none.
+_CRUMBS = re.compile(r"^([^{}()\[\].,;:]{1,24}?) (>|/|»|›|→|::) .*")
 _shapes: dict[str, int] = {}
 
 
@@ -232,7 +233,7 @@ def element_hash(low: str) -> int:
         if "#" in shape:
             shape = _TAG.sub("#", shape)
         if " > " in shape or " / " in shape or " » " in shape or " › " in shape or " → " in shape or " :: " in shape:
-            shape = _CRUMBS.sub(r" \1 *", shape)
+            shape = _CRUMBS.sub(r"\1 \2 *", shape)
         known = xxhash.xxh64_intdigest(shape) - (1 << 63)
         if len(low) <= 2 * SHORT:  # those that may recur
             if len(_shapes) > 100_000:
@@ -246,6 +247,11 @@ def element_hashes(lows: list[str]) -> list[int]:
     return [0 if not low or low.startswith("# ") else element_hash(low) for low in lows]
 
 
+def is_response(lines: list[str]) -> bool:
+    """Is a page without a title a message that was given in place of the page? What recurs on such pages is no template of the site."""
+    return not any(x.startswith("# ") for x in lines) and any(x and is_message(x) for x in lines)
+
+
 def elements(lines: list[str], lows: list[str]) -> tuple[list[int], list[bool]]:
     """For each squeezed line the hash of its element, 0 for blank lines and titles, and whether a list item follows it."""
     hashes = element_hashes(lows)

@@ -109,8 +109,10 @@ BLANKS = re.compile(r"\s+")
 
 
 def is_filler(line: str) -> bool:
-    """Pseudo-Latin: two different words or more, and a fifth of all, begin like those of the filler, and no small word of a language stands between them."""
+    """Pseudo-Latin: two different words or more, and a fifth of all, begin like those of the filler, or one of its first two words is there; and no small word of a language stands between them."""
     words = _WORD.findall(line.lower())
+    if len(words) >= 2 and not {"lorem", "ipsum"}.isdisjoint(words) and not _FUNCTION.search(line):
+        return True
     hits = [w for w in words if w[:STEM] in STEMS or w in STEMS]
     return len(set(hits)) >= 2 and len(hits) * 5 >= len(words) and ("lorem" in words or not _FUNCTION.search(line))
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.llm.boilerplate import furniture_lines, main_content
-from quillgrid.llm.furniture import furniture_flags, is_form
+from quillgrid.llm.furniture import element_hash, furniture_flags, is_form, is_response
 from quillgrid.llm.near_duplicates import RADIUS, VantageTree, distances, same_story_pairs, search_counts, shingle_hashes, similar_stories, sketch, story_sketches
 from quillgrid.llm.repeated_lines import LineStore, bodies, merged_store
 from quillgrid.llm.residue import has_placeholder, is_filler, is_message
@@ -69,6 +69,17 @@ def test_subtrees_and_slots(spark):
         assert [lines[n - 1][:9] for n in sorted(got[f"a{i}"])] == [lines[n][:9] for n in (0, 1, 3, 4, len(lines) - 4, len(lines) - 3)]
 
 
+def test_what_is_no_slot_and_no_template(spark):
+    """A comparison within a sentence is no breadcrumb, and what recurs on pages that are only a message is no template."""
+    assert element_hash("responders had {x : body weight > 45} in set a") != element_hash("responders had {x : body weight > 45} in set b")
+    assert element_hash("home > a / b") == element_hash("home > c") != element_hash("start > c") and element_hash("see [a](/x) #b1") == element_hash("see [c d](/y) #e")
+    assert is_response(["502 Bad Gateway", "nginx"]) and not is_response(["# A title", "502 Bad Gateway"]) and not is_response(["nginx"]) and not is_response([])
+    rng = random.Random(13)
+    rows = [{"id": f"m{i}", "source_id": "s", "raw_markdown": f"502 Bad Gateway\n\nAdvertisement\nodd server name"} for i in range(9)]
+    rows += [{"id": f"a{i}", "source_id": "s", "raw_markdown": story(rng)} for i in range(9)]
+    assert {(r.article_id, r.line_no) for r in furniture_lines(articles(spark, rows)).collect()} == {(f"m{i}", 3) for i in range(9)}
+
+
 def test_repeated_lines_against_brute_force(spark):
     rng = random.Random(2)
     pool = [f"Line number {k} of the house, all rights" for k in range(25)] + ["short", "x" * 19, "y" * 20]
