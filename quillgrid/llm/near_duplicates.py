@@ -9,16 +9,18 @@ share at least ``THRESHOLD`` of their distinct three-word sequences.
   in a hundred thousand, and unrelated stories lie four deviations beyond it.
 * Shards: distances between unrelated stories crowd within a few bits of the middle, closer together
   than the radius is wide, so pivots chosen among the stories put every story within the radius of
-  every border (the README has figures). The spheres that do separate are those around parts of a
-  fingerprint: all stories that are at distance 0 in one of ``BANDS`` pairs of min-hashes. A story is
-  in one sphere for each pair, the spheres overlap, and two stories meet unless they differ in every
-  pair: 2e-5 at the threshold, less above. With ``exact`` the spheres are instead the rarest
-  sequences of each story, as many as no match can do without, and no pair is lost.
+  every border (the README has figures). The spheres that do separate are those around the rarest
+  sequences of each story, so many that two stories that match have ``TOGETHER`` of them in common (or
+  all that they must share), so no pair is lost. What is rare is told by counts of ``BUCKETS`` hash buckets, a table of
+  fixed size; the counts give nothing but one common order, and every common order is as complete.
 * Each shard is searched with one vantage-point tree, all its members together. A node is split where
   the triangle bound excludes the most, and is a leaf where it excludes nothing; no size decides.
-* An oversized shard is split again by every other pair of min-hashes; what is still oversized (and in
-  exact mode any oversized shard) is cut into blocks, and each pair of blocks is one unit of work. So
-  no task ever holds a hot shard.
+  Two sets that must share s members have, of the first k that they share, each at least s - k + 1 to
+  go; members and pairs with less to go are left out, and pairs that meet in fewer than k such shards.
+* A shard that may be oversized is cut into blocks, and each pair of blocks is one unit of work, so no
+  task ever holds a hot shard and no pair of its members is left out.
+* With ``exact=False`` the spheres are those around ``BANDS`` pairs of min-hashes. That is cheaper, but
+  loses 2e-5 of the pairs at the threshold, less above; no query uses it.
 * Every candidate is verified exactly on the sets of sequences.
 
 Equal stories are one class from the start: only one representative of each class is searched, and
@@ -32,28 +34,34 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from quillgrid.llm.boilerplate import annotate
 from quillgrid.operators.components import connected_components
 from quillgrid.runtime import as_table
 
 MIN_WORDS, SHINGLE, THRESHOLD = 60, 3, 0.6
+#: Two stories of n and m sequences match when they share this part of n + m.
+SHARED = THRESHOLD / (1 + THRESHOLD)
 #: 24 pairs of min-hashes: two stories at the threshold of 0.6 differ in all of them with probability (1 - 0.36) ** 24 = 2e-5.
 BANDS, ROWS = 24, 2
 MINS, BITS = 64, 256
 #: Stories at the threshold differ in 51 bits on average with a deviation of 9.3; unrelated ones in 128 with a deviation of 8.
 RADIUS = 91
-#: In exact mode: seven deviations, lost with probability 1e-12.
+#: In the spheres of rare sequences: seven deviations, lost with probability 1e-12.
 WIDE_RADIUS = 116
 #: Members of a shard that one unit of work holds at most.
 BLOCK = 2048
+#: Buckets in which sequences are counted, and parts of that table that are summed apart. The driver reads a byte for each bucket.
+BUCKETS, PARTS = 1 << 21, 64
+#: Two stories that match have so many of their first sequences in common, or all that they must share if those are fewer.
+TOGETHER = 8
 #: Vantage points that a node tries, and members of a leaf: so few are compared faster than they are split.
-TRIES, LEAF = 4, 4
+TRIES, LEAF = 4, 16
 
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -132,7 +140,12 @@ def _sketch_row(lines: list[str], flags: list[bool]) -> tuple:
 
 def distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     """Hamming distances of fingerprints, rows of 64-bit words."""
-    return np.bitwise_count(points ^ to).sum(axis=-1, dtype=np.int32)
+    ones = np.bitwise_count(points ^ to)
+    if ones.shape[-1] != 4 or not ones.flags.c_contiguous:
+        return ones.sum(axis=-1, dtype=np.int32)
+    four = ones.view(np.uint32)[..., 0]  # the counts of four words are added in one
+    two = (four & np.uint32(0x00FF00FF)) + (four >> np.uint32(8) & np.uint32(0x00FF00FF))
+    return (two + (two >> np.uint32(16)) & np.uint32(0x1FF)).view(np.int32)
 
 
 class VantageTree:
@@ -177,7 +190,7 @@ class VantageTree:
             if split is None:
                 self.leaves += 1
                 self.compared += len(at) * len(queries)
-                step = max(1, (1 << 21) // max(1, len(at)))
+                step = max(1, (1 << 16) // max(1, len(at)))
                 for x in range(0, len(queries), step):
                     part = queries[x : x + step]
                     i, j = np.nonzero(distances(self.points[part][:, None, :], self.points[at][None, :, :]) <= self.radius)
@@ -200,70 +213,114 @@ class VantageTree:
         return i[i < j], j[i < j]
 
 
-_NO_PAIRS = {"story_a": np.empty(0, object), "story_b": np.empty(0, object)}
+#: A row of a unit of work: meta holds n, rest and side + 1.
+_UNIT, _META = "shard long, meta long, story_0 long, story_1 long, " + ", ".join(f"fingerprint_{i} long" for i in range(BITS // 64)), 28
+_NEAR = "story_a binary, story_b binary, need int"
 
 
-def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Whole units of work (rows of one shard), some at a time, from batches sorted by shard."""
-    rest: pd.DataFrame | None = None
+    rest = None
     for batch in batches:
-        if batch.empty:
+        if not batch.num_rows:
             continue
-        frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = frame["shard"].to_numpy()
-        cut = int(np.flatnonzero(last != last[-1])[-1]) + 1 if last[0] != last[-1] else 0
-        rest = frame.iloc[cut:]
+        rows = np.stack([x.to_numpy() for x in batch.columns], axis=1)
+        rows = rows if rest is None else np.concatenate([rest, rows])
+        cut = int(np.searchsorted(-(rows[:, 0] != rows[-1, 0]).astype(np.int8), 0))
+        rest = rows[cut:]
         if cut:
-            yield frame.iloc[:cut].reset_index(drop=True)
+            yield rows[:cut]
     if rest is not None and len(rest):
-        yield rest.reset_index(drop=True)
+        yield rest
 
 
-def _searched(frame: pd.DataFrame, radius: int = RADIUS, tally: list[int] | None = None) -> pd.DataFrame:
-    """(story_a, story_b), a < b, of the stories near each other in the units of a frame. tally: trees, inner nodes, leaves, comparisons made and excluded."""
-    key, side = frame["shard"].to_numpy(), frame["side"].to_numpy()
-    story = frame["story"].to_numpy()
-    points = np.frombuffer(b"".join(frame["fingerprint"]), np.uint64).reshape(len(frame), -1)
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    sizes = np.diff(np.r_[starts, len(key)])
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of equal keys."""
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    return starts, np.diff(np.r_[starts, len(key)])
+
+
+def _sizes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(n, rest) of rows."""
+    return rows[:, 1] & ((1 << _META) - 1), rows[:, 1] >> _META & ((1 << _META) - 1)
+
+
+def _able(rows: np.ndarray) -> np.ndarray:
+    """The members, by shard and n, that can match another of their shard if this sequence is one of the first that both have."""
+    rows = rows[np.lexsort((_sizes(rows)[0], rows[:, 0]))]
+    while len(rows):
+        n, rest = _sizes(rows)
+        reach = (rest + TOGETHER - 1 + 1e-6) / SHARED - n  # the longest partner
+        starts, sizes = _runs(rows[:, 0])
+        least = np.repeat(n[starts], sizes)
+        least[starts] = n[np.minimum(starts + 1, len(n) - 1)]
+        keep = (np.maximum(least, THRESHOLD * n) <= reach) & (n <= np.repeat(np.maximum.reduceat(reach, starts), sizes))
+        keep &= np.repeat(np.add.reduceat(keep, starts, dtype=np.int64), sizes) > 1
+        if keep.all():
+            break
+        rows = rows[keep]
+    return rows
+
+
+def _searched(rows: np.ndarray, radius: int = RADIUS, tally: list[int] | None = None) -> pa.RecordBatch:
+    """(story_a, story_b, need), a < b, of the stories near each other in some units, a row for each shard that can be one of the first in common; those that match have ``need`` rows. tally: what ``_TALLY`` names."""
+    rows = _able(rows)
+    (n, rest), side = _sizes(rows), (rows[:, 1] >> 2 * _META) - 1
+    points = np.ascontiguousarray(rows[:, 4:]).view(np.uint64)
+    starts, sizes = _runs(rows[:, 0])
+
+    def shared(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The sequences that these pairs must share."""
+        return np.ceil(SHARED * (n[i] + n[j]) - 1e-6).astype(np.int32)
+
+    def possible(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        good = (np.minimum(rest[i], rest[j]) > shared(i, j) - TOGETHER) & (np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j]) - 1e-6)
+        return good & ((side[i] != side[j]) | (side[i] < 0)) & (rows[i, 2:4] != rows[j, 2:4]).any(axis=1)
+
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    leaf = np.repeat(sizes <= LEAF, sizes)
+    single = sizes <= LEAF
+    last = np.repeat(np.where(single, starts + sizes, 0), sizes)
     for o in range(1, LEAF):  # trees of one leaf, all at once
-        i = np.flatnonzero(leaf[:-o] & (key[:-o] == key[o:]))
+        i = np.flatnonzero(np.arange(o, len(rows) + o) < last)
+        i = i[possible(i, i + o)]
+        if tally is not None:
+            tally[4] += len(i)
         i = i[distances(points[i], points[i + o]) <= radius]
         a.append(i)
         b.append(i + o)
-    for s, n in zip(starts[sizes > LEAF], sizes[sizes > LEAF]):
-        tree = VantageTree(points[s : s + n], radius)
+    for s, size in zip(starts[~single], sizes[~single]):
+        tree = VantageTree(points[s : s + size], radius)
         i, j = tree.pairs()
-        a.append(i + s)
-        b.append(j + s)
+        good = possible(i + s, j + s)
+        a.append(i[good] + s)
+        b.append(j[good] + s)
         if tally is not None:
-            for k, x in enumerate((1, tree.nodes, tree.leaves, tree.compared, tree.excluded)):
+            for k, x in enumerate((1, 0, tree.nodes, tree.leaves, tree.compared, tree.excluded)):
                 tally[k] += x
+    if tally is not None:
+        for k in range(2):
+            tally[k] += int(single.sum())
     i, j = np.concatenate(a), np.concatenate(b)
-    keep = (side[i] != side[j]) | (side[i] < 0)
-    x, y = story[i[keep]], story[j[keep]]
-    if not len(x):
-        return pd.DataFrame(_NO_PAIRS)
-    swap = x > y
-    pairs = pd.DataFrame({"story_a": np.where(swap, y, x), "story_b": np.where(swap, x, y)})
-    return pairs[pairs["story_a"] != pairs["story_b"]].drop_duplicates()
+    swap = (rows[i, 2] > rows[j, 2]) | (rows[i, 2] == rows[j, 2]) & (rows[i, 3] > rows[j, 3])
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    stories = [pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(0, 16 * len(x) + 1, 16, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows[x, 2:4]))]) for x in (i, j)]
+    return pa.RecordBatch.from_arrays([*stories, pa.array(np.minimum(shared(i, j), TOGETHER))], names=["story_a", "story_b", "need"])
 
 
-_TALLY = ["trees", "inner_nodes", "leaves", "compared", "excluded"]
+#: single: trees of one leaf's points, compared at once; the leaves are those of the other trees.
+_TALLY = ["trees", "single", "inner_nodes", "leaves", "compared", "excluded"]
 
 
-def _search(radius: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    return lambda batches: (_searched(frame, radius) for frame in _units(batches))
+def _search(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: (_searched(rows, radius) for rows in _units(batches))
 
 
-def _count(radius: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _units(batches):
+def _count(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _units(batches):
             tally = [0] * len(_TALLY)
-            _searched(frame, radius, tally)
-            yield pd.DataFrame([tally], columns=_TALLY)
+            _searched(rows, radius, tally)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in tally], names=_TALLY)
 
     return run
 
@@ -279,67 +336,103 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def story_sketches(articles: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown") -> DataFrame:
-    """(page_id, story, fingerprint, bands, shingles) of the articles whose story has enough words, as a table."""
-    return as_table(annotate(articles, _sketch_row, _SKETCH, key, host, text).where("story is not null"), "sketches")
-
-
-def _blocks(shards: DataFrame, big: DataFrame) -> DataFrame:
-    """(shard, side, fingerprint, story): units of work; a shard in ``big`` is cut into blocks, and each pair of its blocks is a unit."""
-    m = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
-    cut = shards.join(big, "shard", "left").select("shard", "story", "fingerprint", m.alias("m"), F.pmod(F.xxhash64("story"), m).cast("int").alias("mine"))
-    return cut.select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("other")).select(
-        F.when(F.col("m") == 1, F.col("shard")).otherwise(F.xxhash64("shard", F.least("mine", "other"), F.greatest("mine", "other"))).alias("shard"),
-        F.when(F.col("mine") == F.col("other"), F.lit(-1)).otherwise((F.col("mine") > F.col("other")).cast("int")).cast("byte").alias("side"),
-        "fingerprint",
-        "story",
-    )
+    """(page_id, story, fingerprint, bands, shingles, row) of the articles whose story has enough words, as a table; row is a number of its own."""
+    return as_table(annotate(articles, _sketch_row, _SKETCH, key, host, text).where("story is not null").withColumn("row", F.monotonically_increasing_id()), "sketches")
+
 
+def search_units(sketches: DataFrame, exact: bool = True) -> DataFrame:
+    """The units of work (rows of ``_UNIT``), each unit in one partition and sorted; every two members of a shard meet in one of its units.
 
-def _oversized(shards: DataFrame, name: str) -> DataFrame:
-    """(shard, n) of the shards that no unit of work may hold; nothing but keys is counted, and the table is small."""
-    return as_table(shards.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK), name)
-
-
-def search_units(sketches: DataFrame, exact: bool = False) -> DataFrame:
-    """(shard, side, fingerprint, story): the units of work, each unit in one partition and sorted."""
-    distinct = sketches.groupBy("story").agg(F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands"), *[F.first("shingles").alias("shingles")] * exact)
-    if exact:
-        spheres = _rare_spheres(as_table(distinct.drop("bands"), "distinct"))
-        units = _blocks(spheres, _oversized(spheres, "oversized"))
-    else:
-        spheres = distinct.select("story", "fingerprint", F.posexplode("bands").alias("i", "shard"))
-        hot = _oversized(spheres, "oversized")
-        units = _blocks(spheres.join(hot.select("shard"), "shard", "left_anti").select("shard", "story", "fingerprint"), hot)
-        if not hot.isEmpty():  # split by every other pair of min-hashes
-            again = distinct.select("story", "fingerprint", "bands", F.posexplode("bands").alias("i", "shard")).join(hot.select("shard"), "shard", "left_semi")
-            again = again.select("story", "fingerprint", "i", "shard", F.posexplode("bands").alias("j", "other")).where("i <> j").select(F.xxhash64("shard", "other").alias("shard"), "story", "fingerprint")
-            units = units.unionByName(_blocks(again, _oversized(again, "oversized")))
+    n: the sequences of the story; rest: those from the one of this shard on, in the common order (both
+    0 where shards are no sequences); side: of two blocks that are one unit, else -1.
+    """
+    copies = as_table(sketches.groupBy("story").agg(F.min("row").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("story").alias("copied"), "kept"), "copies")
+    keys = sketches.select("story", "fingerprint", F.col("shingles" if exact else "bands").alias("keys"), "row")
+    distinct = keys.join(copies, keys["story"] == copies["copied"], "left").where("kept is null or row = kept").select("story", "fingerprint", "keys")
+    units = distinct.mapInArrow(_spheres(key_ranks(keys.select("keys")), BLOCK, exact), _UNIT)
     return units.repartition("shard").sortWithinPartitions("shard")
 
 
-def _rare_spheres(distinct: DataFrame) -> DataFrame:
-    """(shard, story, fingerprint): each story under its rarest sequences, so many that every match has one of them in common.
+def _bucket(keys: np.ndarray) -> np.ndarray:
+    """By the upper bits of keys that are hashes."""
+    u = keys.view(f"u{keys.itemsize}")
+    return (u >> u.dtype.type(8 * u.itemsize + 1 - BUCKETS.bit_length())).astype(np.int64)
 
-    Of two sets with similarity t or more each shares at least t of its n members, so the n - ceil(t n) + 1
-    members that come first in any common order hold one that both have. Costs some 0.4 rows a word.
+
+def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        counts += np.bincount(_bucket(batch.column(0).flatten().to_numpy()), minlength=BUCKETS)
+    if counts.any():
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(counts.astype(np.uint32), PARTS)], pa.binary())], names=["part", "counts"])
+
+
+def _rank_buckets(rows: pd.DataFrame) -> pd.DataFrame:
+    counts = np.sum([np.frombuffer(x, np.uint32) for x in rows["counts"]], axis=0, dtype=np.uint64)
+    return pd.DataFrame({"part": rows["part"].iloc[:1], "ranks": [np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.uint8).tobytes()]})
+
+
+def key_ranks(keys: DataFrame) -> np.ndarray:
+    """For each bucket of keys floor(8 log2 n) of the stories n that have them: an order of keys from rare to frequent, and a bound of how many share one."""
+    counted = keys.mapInArrow(_count_buckets, "part int, counts binary")
+    ranks = np.zeros((PARTS, BUCKETS // PARTS), np.uint8)
+    for row in counted.groupBy("part").applyInPandas(_rank_buckets, "part int, ranks binary").collect():
+        ranks[row.part] = np.frombuffer(row.ranks, np.uint8)
+    return ranks.ravel()
+
+
+def _spheres(ranks: np.ndarray, block: int, exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of :func:`search_units`: each story under its keys; if exact under its rarest sequences, so many that every match has ``TOGETHER`` of them in common.
+
+    Of two sets with similarity t or more each shares at least t of its n members, so the n - ceil(t n) + k
+    members that come first in any common order hold the first k that both have. Costs some 0.4 rows a word.
     """
-    each = distinct.select("story", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    counts = as_table(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")), "holders")
-    order = F.row_number().over(Window.partitionBy("story").orderBy("holders", "shingle"))
-    first = each.join(counts, "shingle").withColumn("at", order).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * THRESHOLD - 1e-9) + 1).where("holders > 1")
-    return first.select("story", F.col("shingle").cast("long").alias("shard")).join(distinct.select("story", "fingerprint"), "story").select("shard", "story", "fingerprint")
+    shared = SparkSession.active().sparkContext.broadcast(ranks)
+    # a rank r stands for fewer than 2 ** ((r + 1) / 8) stories
+    cuts = np.ceil(2.0 ** ((np.arange(256) + 1) / 8) / block).astype(np.int64)
+    mix = np.uint64(0x9E3779B97F4A7C15)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            story, fingerprint = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.int64).reshape(batch.num_rows, -1) for x in (0, 1))
+            n = batch.column(2).value_lengths().to_numpy().astype(np.int64)
+            keys = batch.column(2).flatten().to_numpy()
+            rank = shared.value[_bucket(keys)]
+            keys = keys.view(f"u{keys.itemsize}").astype(np.uint64)
+            owner = np.repeat(np.arange(len(n)), n)
+            meta = np.zeros(len(keys), np.int64)
+            if exact:
+                order = np.argsort(owner.astype(np.uint64) << np.uint64(40) | rank.astype(np.uint64) << np.uint64(32) | keys)
+                at = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n)
+                first = at < np.repeat(n - np.ceil(n * THRESHOLD - 1e-9).astype(np.int64) + TOGETHER, n)
+                keys, rank, owner = keys[order[first]], rank[order[first]], owner[first]
+                meta = n[owner] | (n[owner] - at[first]) << _META
+            m = cuts[rank]
+            mine = (story.view(np.uint64)[owner, 0] % m.astype(np.uint64)).astype(np.int64)
+            each = np.repeat(np.arange(len(keys)), m)
+            other = np.arange(len(each)) - np.repeat(np.cumsum(m) - m, m)
+            keys, owner, meta, m, mine = keys[each], owner[each], meta[each], m[each], mine[each]
+            unit = (np.minimum(mine, other) * m + np.maximum(mine, other) + 1).astype(np.uint64)
+            shard = np.where(m > 1, (keys ^ unit * mix) * mix, keys)  # shards that happen to be one only cost comparisons
+            side = np.where(mine == other, -1, mine > other)
+            columns = [shard.view(np.int64), meta | (side + 1) << 2 * _META, *story[owner].T, *fingerprint[owner].T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=[x.split()[0] for x in _UNIT.split(", ")])
+
+    return run
 
 
-def search_counts(sketches: DataFrame, exact: bool = False) -> DataFrame:
-    """One row of what the search does: trees of more than one leaf's points, inner nodes, leaves, comparisons made and comparisons that the triangle bound excluded."""
-    tallies = search_units(sketches, exact).mapInPandas(_count(WIDE_RADIUS if exact else RADIUS), ", ".join(f"{x} long" for x in _TALLY))
+def search_counts(sketches: DataFrame, exact: bool = True) -> DataFrame:
+    """One row of what the search does: trees, those of one leaf's points, inner nodes, leaves, comparisons made and comparisons that the triangle bound excluded."""
+    tallies = search_units(sketches, exact).mapInArrow(_count(WIDE_RADIUS if exact else RADIUS), ", ".join(f"{x} long" for x in _TALLY))
     return tallies.agg(*[F.sum(x).alias(x) for x in _TALLY])
 
 
-def similar_stories(sketches: DataFrame, exact: bool = False) -> DataFrame:
+def similar_stories(sketches: DataFrame, exact: bool = True) -> DataFrame:
     """(story_a, story_b, similarity): the pairs of different stories that match, one row each."""
-    near = search_units(sketches, exact).mapInPandas(_search(WIDE_RADIUS if exact else RADIUS), "story_a binary, story_b binary")
-    pairs = as_table(near.distinct(), "near")
+    near = search_units(sketches, exact).mapInArrow(_search(WIDE_RADIUS if exact else RADIUS), _NEAR)
+    pairs = as_table(near.groupBy("story_a", "story_b", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("story_a", "story_b"), "near")
     named = pairs.select(F.col("story_a").alias("story")).union(pairs.select("story_b"))
     bodies = as_table(sketches.select("story", "shingles").join(named, "story", "left_semi").dropDuplicates(["story"]), "bodies")
     both = pairs.join(bodies.select(F.col("story").alias("story_a"), F.col("shingles").alias("x")), "story_a").join(
@@ -348,10 +441,10 @@ def similar_stories(sketches: DataFrame, exact: bool = False) -> DataFrame:
     return both.select("story_a", "story_b", "x", "y").mapInPandas(_shared, "story_a binary, story_b binary, similarity double")
 
 
-def same_story_pairs(articles: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown", exact: bool = False) -> DataFrame:
+def same_story_pairs(articles: DataFrame, key: str = "id", host: str = "source_id", text: str = "raw_markdown", exact: bool = True) -> DataFrame:
     """(article_id_a, article_id_b): every two articles with the same story, a < b.
 
-    ``exact``: search the spheres of rare sequences, which lose no pair, within the wider radius, at several times the cost.
+    ``exact=False`` searches the spheres of pairs of min-hashes instead, which lose 2e-5 of the pairs at the threshold.
     Null and short texts match nothing. Articles with a repeated key count as one.
     """
     sketches = story_sketches(articles, key, host, text)

@@ -218,6 +218,24 @@ def test_hot_shard_is_cut_into_blocks(spark, monkeypatch):
     assert whole == cut == exact and len(whole) == 60 * 59 // 2 and hot.trees > 0
 
 
+def test_no_pair_hangs_on_the_size_of_a_shard(spark, monkeypatch):
+    import quillgrid.llm.near_duplicates as nd
+
+    # every two of 20 stories share 80 of 120 sequences, and only one pair of min-hashes, or none
+    monkeypatch.setattr(nd, "BLOCK", 7)
+    schema = "story binary, fingerprint binary, bands array<long>, shingles array<int>, row long"
+    for met in (True, False):
+        rows = []
+        for i in range(20):
+            own = range((i + 1) << 20, (i + 1 << 20) + 20)
+            bands = [1 << 50 if met and not k else (i * 24 + k + 1) << 51 for k in range(24)]
+            rows.append((bytes([i] * 16), bytes(32), bands, [*range(80), *own], i))
+        df = spark.createDataFrame(rows, schema)
+        for searched in [similar_stories(df), similar_stories(df, exact=True), *[similar_stories(df, exact=False)] * met]:
+            found = [(bytes(r.story_a), bytes(r.story_b)) for r in searched.collect()]
+            assert len(found) == len({tuple(sorted(x)) for x in found}) == 190
+
+
 RESIDUE = [
     "{{author.title}}", "Note for {% block x %}", "<%= a.summary %>", "Written on ${date}", "%%FIRST_NAME%%", "[[my-headline]]", "By __NAME__", "in {name_city}", "[INSERT NAN QUOTE]", "<vlor name here>", "[object Object]", "XX figure to come XX", "TK name TK", "TODO fill in caveat",
     "undefined", "null", "NaN", "undefined, NaN foo null, undefined", "Lorem ipsum dolor sit amet", "502 Bad Gateway", "# Error 404", "Fehler 404", "HTTP 429 from x while rendering", "Access denied (abc)", "Access to site/x was denied.", "Too many requests", "Please enable JavaScript to view the content",
