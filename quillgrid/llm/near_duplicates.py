@@ -213,25 +213,35 @@ class VantageTree:
         return i[i < j], j[i < j]
 
 
-#: A row of a unit of work: meta holds n, rest and side + 1.
-_UNIT, _META = "shard long, meta long, story_0 long, story_1 long, " + ", ".join(f"fingerprint_{i} long" for i in range(BITS // 64)), 28
+#: Rows of units of work, packed: the shard of each row; its story in ``stories``, and its side + 1 in two bits; what ``rest`` says; and n, story and fingerprint of the stories.
+_PACKED = "part int, shards binary, members binary, rests binary, stories binary"
 _NEAR = "story_a binary, story_b binary, need int"
+#: Bits of n and of rest in the second number of a row, which holds n, rest and side + 1.
+_META = 28
+#: Rows of one part, about, and rows that are searched at a time.
+PART, STEP = 1 << 20, 10_000
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Whole units of work (rows of one shard), some at a time, from batches sorted by shard."""
-    rest = None
+    """Whole units of work from the packed rows of a part, some at a time: (shard, meta, story, fingerprint), by shard."""
+    packed: tuple[list, ...] = ([], [], [], [])
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = np.stack([x.to_numpy() for x in batch.columns], axis=1)
-        rows = rows if rest is None else np.concatenate([rest, rows])
-        cut = int(np.searchsorted(-(rows[:, 0] != rows[-1, 0]).astype(np.int8), 0))
-        rest = rows[cut:]
-        if cut:
-            yield rows[:cut]
-    if rest is not None and len(rest):
-        yield rest
+        for values, column, kind in zip(packed, batch.columns[1:], (np.int64, np.uint32, np.uint32, np.int64)):
+            values.extend(np.frombuffer(x, kind) for x in column.to_pylist())
+    if not packed[0]:
+        return
+    told = [x.reshape(-1, 3 + BITS // 64) for x in packed[3]]
+    base = np.cumsum([0, *map(len, told[:-1])])
+    members = np.concatenate([(x >> np.uint32(2)).astype(np.int64) + y for x, y in zip(packed[1], base)])
+    sides = np.concatenate(packed[1]) & np.uint32(3)
+    shards, rests, stories = np.concatenate(packed[0]), np.concatenate(packed[2]), np.concatenate(told)
+    order = np.argsort(shards)
+    bounds = _runs(shards[order])[0]
+    cuts = np.unique(np.r_[bounds[np.searchsorted(bounds, np.arange(0, len(shards), STEP), side="right") - 1], len(shards)])
+    for at in (order[x:y] for x, y in zip(cuts[:-1], cuts[1:])):
+        of = stories[members[at]]
+        meta = of[:, 0] | rests[at].astype(np.int64) << _META | sides[at].astype(np.int64) << 2 * _META
+        yield np.concatenate([np.stack([shards[at], meta], axis=1), of[:, 1:]], axis=1)
 
 
 def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -341,7 +351,7 @@ def story_sketches(articles: DataFrame, key: str = "id", host: str = "source_id"
 
 
 def search_units(sketches: DataFrame, exact: bool = True) -> DataFrame:
-    """The units of work (rows of ``_UNIT``), each unit in one partition and sorted; every two members of a shard meet in one of its units.
+    """The units of work (``_PACKED``), each unit in one partition; every two members of a shard meet in one of its units.
 
     n: the sequences of the story; rest: those from the one of this shard on, in the common order (both
     0 where shards are no sequences); side: of two blocks that are one unit, else -1.
@@ -349,8 +359,10 @@ def search_units(sketches: DataFrame, exact: bool = True) -> DataFrame:
     copies = as_table(sketches.groupBy("story").agg(F.min("row").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("story").alias("copied"), "kept"), "copies")
     keys = sketches.select("story", "fingerprint", F.col("shingles" if exact else "bands").alias("keys"), "row")
     distinct = keys.join(copies, keys["story"] == copies["copied"], "left").where("kept is null or row = kept").select("story", "fingerprint", "keys")
-    units = distinct.mapInArrow(_spheres(key_ranks(keys.select("keys")), BLOCK, exact), _UNIT)
-    return units.repartition("shard").sortWithinPartitions("shard")
+    ranks, total = key_ranks(keys.select("keys"))
+    rows = total * (1 - THRESHOLD) if exact else total
+    parts = max(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(rows) // PART + 1)
+    return distinct.mapInArrow(_spheres(ranks, BLOCK, parts, exact), _PACKED).repartitionById(parts, F.col("part"))
 
 
 def _bucket(keys: np.ndarray) -> np.ndarray:
@@ -369,19 +381,20 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _rank_buckets(rows: pd.DataFrame) -> pd.DataFrame:
     counts = np.sum([np.frombuffer(x, np.uint32) for x in rows["counts"]], axis=0, dtype=np.uint64)
-    return pd.DataFrame({"part": rows["part"].iloc[:1], "ranks": [np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.uint8).tobytes()]})
+    return pd.DataFrame({"part": rows["part"].iloc[:1], "ranks": [np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.uint8).tobytes()], "total": [int(counts.sum())]})
 
 
-def key_ranks(keys: DataFrame) -> np.ndarray:
-    """For each bucket of keys floor(8 log2 n) of the stories n that have them: an order of keys from rare to frequent, and a bound of how many share one."""
+def key_ranks(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """For each bucket of keys floor(8 log2 n) of the stories n that have them: an order of keys from rare to frequent, and a bound of how many share one. And how many keys there are."""
     counted = keys.mapInArrow(_count_buckets, "part int, counts binary")
-    ranks = np.zeros((PARTS, BUCKETS // PARTS), np.uint8)
-    for row in counted.groupBy("part").applyInPandas(_rank_buckets, "part int, ranks binary").collect():
+    ranks, total = np.zeros((PARTS, BUCKETS // PARTS), np.uint8), 0
+    for row in counted.groupBy("part").applyInPandas(_rank_buckets, "part int, ranks binary, total long").collect():
         ranks[row.part] = np.frombuffer(row.ranks, np.uint8)
-    return ranks.ravel()
+        total += row.total
+    return ranks.ravel(), total
 
 
-def _spheres(ranks: np.ndarray, block: int, exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _spheres(ranks: np.ndarray, block: int, parts: int, exact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows of :func:`search_units`: each story under its keys; if exact under its rarest sequences, so many that every match has ``TOGETHER`` of them in common.
 
     Of two sets with similarity t or more each shares at least t of its n members, so the n - ceil(t n) + k
@@ -392,6 +405,26 @@ def _spheres(ranks: np.ndarray, block: int, exact: bool) -> Callable[[Iterator[p
     cuts = np.ceil(2.0 ** ((np.arange(256) + 1) / 8) / block).astype(np.int64)
     mix = np.uint64(0x9E3779B97F4A7C15)
 
+    def packed(keys: np.ndarray, owner: np.ndarray, rest: np.ndarray, m: np.ndarray, mine: np.ndarray, told: np.ndarray) -> pa.RecordBatch:
+        """A row for each part; a key that is cut into m blocks has one in each of m units."""
+        each = np.repeat(np.arange(len(keys)), m)
+        other = np.arange(len(each)) - np.repeat(np.cumsum(m) - m, m)
+        keys, owner, rest, m, mine = keys[each], owner[each], rest[each], m[each], mine[each]
+        unit = (np.minimum(mine, other) * m + np.maximum(mine, other) + 1).astype(np.uint64)
+        shard = np.where(m > 1, (keys ^ unit * mix) * mix, keys)  # shards that happen to be one only cost comparisons
+        side = np.where(mine == other, 0, 1 + (mine > other)).astype(np.uint32)
+        part = (shard * mix >> np.uint64(33)) % np.uint64(parts)
+        order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+        part, owner = part[order], owner[order]
+        begin, sizes = _runs(part)
+        fresh = np.r_[True, owner[1:] != owner[:-1]]
+        fresh[begin] = True
+        at = np.cumsum(fresh) - 1  # among the stories of all parts
+        member = (at - np.repeat(at[begin], sizes)).astype(np.uint32) << np.uint32(2) | side[order]
+        columns = (shard[order], begin), (member, begin), (rest[order].astype(np.uint32), begin), (told[owner[fresh]], at[begin])
+        blobs = [pa.array([x.tobytes() for x in np.split(values, starts[1:])], pa.binary()) for values, starts in columns]
+        return pa.RecordBatch.from_arrays([pa.array(part[begin].astype(np.int32)), *blobs], names=[x.split()[0] for x in _PACKED.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -402,23 +435,20 @@ def _spheres(ranks: np.ndarray, block: int, exact: bool) -> Callable[[Iterator[p
             rank = shared.value[_bucket(keys)]
             keys = keys.view(f"u{keys.itemsize}").astype(np.uint64)
             owner = np.repeat(np.arange(len(n)), n)
-            meta = np.zeros(len(keys), np.int64)
+            rest = np.zeros(len(keys), np.int64)
             if exact:
                 order = np.argsort(owner.astype(np.uint64) << np.uint64(40) | rank.astype(np.uint64) << np.uint64(32) | keys)
                 at = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n)
                 first = at < np.repeat(n - np.ceil(n * THRESHOLD - 1e-9).astype(np.int64) + TOGETHER, n)
                 keys, rank, owner = keys[order[first]], rank[order[first]], owner[first]
-                meta = n[owner] | (n[owner] - at[first]) << _META
+                rest = n[owner] - at[first]
             m = cuts[rank]
             mine = (story.view(np.uint64)[owner, 0] % m.astype(np.uint64)).astype(np.int64)
-            each = np.repeat(np.arange(len(keys)), m)
-            other = np.arange(len(each)) - np.repeat(np.cumsum(m) - m, m)
-            keys, owner, meta, m, mine = keys[each], owner[each], meta[each], m[each], mine[each]
-            unit = (np.minimum(mine, other) * m + np.maximum(mine, other) + 1).astype(np.uint64)
-            shard = np.where(m > 1, (keys ^ unit * mix) * mix, keys)  # shards that happen to be one only cost comparisons
-            side = np.where(mine == other, -1, mine > other)
-            columns = [shard.view(np.int64), meta | (side + 1) << 2 * _META, *story[owner].T, *fingerprint[owner].T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=[x.split()[0] for x in _UNIT.split(", ")])
+            told = np.concatenate([(n if exact else 0 * n)[:, None], story, fingerprint], axis=1)
+            ends = np.cumsum(m)
+            cuts_at = np.unique(np.r_[np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, PART)), len(m)])
+            for x, y in zip(cuts_at[:-1], cuts_at[1:]):
+                yield packed(keys[x:y], owner[x:y], rest[x:y], m[x:y], mine[x:y], told)
 
     return run
 
