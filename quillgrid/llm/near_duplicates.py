@@ -11,10 +11,11 @@ share at least ``THRESHOLD`` of their distinct three-word sequences.
   than the radius is wide, so pivots chosen among the stories put every story within the radius of
   every border (the README has figures). The spheres that do separate are those around the rarest
   sequences of each story, so many that two stories that match have ``TOGETHER`` of them in common (or
-  all that they must share), so no pair is lost. What is rare is told by counts of ``BUCKETS`` hash buckets, a table of
-  fixed size; the counts give nothing but one common order, and every common order is as complete.
+  all that they must share), so no pair is lost; the radius is ``WIDE_RADIUS`` there. What is rare is
+  told by counts of ``BUCKETS`` hash buckets, a table of fixed size; the counts give nothing but one
+  common order, and every common order is as complete.
 * Each shard is searched with one vantage-point tree, all its members together. A node is split where
-  the triangle bound excludes the most, and is a leaf where it excludes nothing; no size decides.
+  the triangle bound excludes the most, and is a leaf where it excludes nothing or holds ``LEAF`` at most.
   Two sets that must share s members have, of the first k that they share, each at least s - k + 1 to
   go; members and pairs with less to go are left out, and pairs that meet in fewer than k such shards.
 * A shard that may be oversized is cut into blocks, and each pair of blocks is one unit of work, so no
